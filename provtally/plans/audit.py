@@ -51,21 +51,64 @@ def _single(spark: SparkSession, root: str, path: str, contract: ct.Record, *val
     return rows.first()
 
 
-def _expected_pages(spark: SparkSession, root: str, release_id: str, digests: DataFrame) -> DataFrame:
-    """(path, country, sort_order) of every page a verified shard lists."""
-    shards = read_artifacts(spark, root, f"releases/{release_id}/countries/*").withColumn(
-        "v", parsed(F.col("content"))
-    )
-    verified = (
-        shards.withColumn("found", digest_of(F.col("content")))
+def _verified(files: DataFrame, digests: DataFrame, contract: ct.Record) -> DataFrame:
+    """Files that are listed, intact and fit their contract, as (path, v)."""
+    return (
+        files.withColumn("v", parsed(F.col("content")))
+        .withColumn("found", digest_of(F.col("content")))
         .join(digests, "path")
-        .where((F.col("found") == F.col("digest")) & (F.size(ct.issues(ct.COUNTRY_SHARD, "v")) == 0))
-        .where(F.expr(ct.text_at("v", "country")) == F.regexp_extract("path", r"countries/(.*)\.json\z", 1))
+        .where((F.col("found") == F.col("digest")) & (F.size(ct.issues(contract, "v")) == 0))
+        .select("path", "v")
+    )
+
+
+def _wanted(spark: SparkSession, root: str, release_id: str, manifest: DataFrame, digests: DataFrame) -> DataFrame:
+    """(path, wanted_kind, want_country, want_sort) of every artifact the release's own documents refer to.
+
+    The manifest names the overviews, the release's overview the countries, each shard its pages.
+    References are followed only out of documents that are themselves in order.
+    """
+    default_at = overview_path(release_id)
+    overviews = manifest.select(
+        F.explode(
+            F.array_union(
+                F.expr(
+                    "transform(try_variant_get(v, '$.filters', 'array<variant>'),"
+                    " f -> try_variant_get(f, '$.path', 'string'))"
+                ),
+                F.array(F.lit(default_at)),
+            )
+        ).alias("path")
+    )
+    countries = (
+        _verified(read_artifacts(spark, root, default_at), digests, ct.OVERVIEW)
+        .where(F.expr(ct.text_at("v", "releaseId")) == release_id)
+        .select(F.explode(F.expr("try_variant_get(v, '$.countries', 'array<variant>')")).alias("c"))
+        .select(F.expr(ct.text_at("c", "country")).alias("country"))
+    )
+    folder = f"releases/{release_id}/countries/"
+    shards = (
+        _verified(read_artifacts(spark, root, f"{folder}*"), digests, ct.COUNTRY_SHARD)
+        .withColumn("country", F.expr(ct.text_at("v", "country")))
+        .where(F.col("path") == F.concat(F.lit(folder), "country", F.lit(".json")))
     )
     index = F.expr("try_variant_get(v, '$.pageIndex', 'map<string,array<string>>')")
+    pages = shards.select("country", F.explode(index)).select(
+        F.explode("value").alias("path"), "country", F.col("key").alias("sort_order")
+    )
+    nothing = F.lit(None).cast("string")
     return (
-        verified.select(F.expr(ct.text_at("v", "country")).alias("want_country"), F.explode(index))
-        .select("want_country", F.col("key").alias("want_sort"), F.explode("value").alias("path"))
+        overviews.select("path", F.lit("overview").alias("wanted_kind"), nothing.alias("want_country"),
+                         nothing.alias("want_sort"))
+        .unionByName(
+            countries.select(F.concat(F.lit(folder), "country", F.lit(".json")).alias("path"),
+                             F.lit("shard").alias("wanted_kind"), F.col("country").alias("want_country"),
+                             nothing.alias("want_sort"))
+        )
+        .unionByName(
+            pages.select("path", F.lit("page").alias("wanted_kind"), F.col("country").alias("want_country"),
+                         F.col("sort_order").alias("want_sort"))
+        )
     )
 
 
@@ -114,23 +157,22 @@ def _audit_listed(spark: SparkSession, root: str, manifest_at: str, release_id:
     digests = manifest.select(
         F.explode(F.expr("try_variant_get(v, '$.artifactDigests', 'map<string,string>')")).alias("path", "digest")
     )
-    # One row per published filter, and the overview of the whole release.
-    overviews = manifest.select(
+    shard = r"\Areleases/" + release_id.replace(".", r"\.") + r"/countries/(.*)\.json\z"
+    named = manifest.select(
         F.explode(
-            F.array_union(
-                F.expr(
-                    "transform(try_variant_get(v, '$.filters', 'array<variant>'),"
-                    " f -> try_variant_get(f, '$.path', 'string'))"
-                ),
-                F.array(F.lit(overview_path(release_id))),
+            F.expr(
+                "transform(try_variant_get(v, '$.filters', 'array<variant>'),"
+                " f -> try_variant_get(f, '$.path', 'string'))"
             )
         ).alias("path")
-    ).withColumn("is_overview", F.lit(True))
-    shard = r"\Areleases/" + release_id.replace(".", r"\.") + r"/countries/(.*)\.json\z"
+    ).distinct().withColumn("named", F.lit(True))
     files = read_artifacts(spark, root).where(~F.col("path").isin(POINTER_PATH, manifest_at))
-    typed = files.join(F.broadcast(overviews), "path", "left").withColumn(
+    # One row per published filter.
+    typed = files.join(F.broadcast(named), "path", "left").withColumn(
         "kind",
-        F.when(F.col("is_overview"), "overview").when(F.col("path").rlike(shard), "shard").otherwise("page"),
+        F.when(F.col("named") | (F.col("path") == overview_path(release_id)), "overview")
+        .when(F.col("path").rlike(shard), "shard")
+        .otherwise("page"),
     )
     # Everything read from a file is reduced here, so no content is shuffled.
     checked = typed.withColumn("v", parsed(F.col("content"))).select(
@@ -144,15 +186,12 @@ def _audit_listed(spark: SparkSession, root: str, manifest_at: str, release_id:
         F.expr(ct.text_at("v", "sortOrder")).alias("sort_order"),
     ).withColumn("message", _first_message("issues")).withColumn("bad_schema", F.size("issues") > 0).drop("issues")
     joined = digests.join(checked, "path", "full_outer").join(
-        _expected_pages(spark, root, release_id, digests), "path", "left"
-    )
-    kind = F.coalesce(
-        "kind", F.when(F.col("path").rlike(shard), "shard").when(F.col("path").rlike("overview|/filters/"), "overview")
-        .otherwise("page")
+        _wanted(spark, root, release_id, manifest, digests), "path", "full_outer"
     )
+    kind = F.coalesce("kind", "wanted_kind", F.when(F.col("path").rlike(shard), "shard"), F.lit("page"))
     wrong_release = (F.col("kind") == "overview") & ~F.col("release").eqNullSafe(F.lit(release_id))
     wrong_shard = (F.col("kind") == "shard") & ~F.col("country").eqNullSafe(F.regexp_extract("path", shard, 1))
-    wrong_page = F.col("want_country").isNotNull() & (
+    wrong_page = (F.col("wanted_kind") == "page") & (
         ~F.col("country").eqNullSafe(F.col("want_country")) | ~F.col("sort_order").eqNullSafe(F.col("want_sort"))
     )
 

@@ -211,16 +211,13 @@ def shard_frame(
     numbers = F.when(page_count > 0, F.sequence(F.lit(0).cast("long"), page_count - 1)).otherwise(
         F.array().cast("array<bigint>")
     )
-    index = F.create_map(
-        *[
-            c
-            for s in cr.SORT_ORDERS
-            for c in (
-                F.lit(s),
-                F.transform(numbers, lambda n, s=s: cr.page_path(release_id, F.col("country"), F.lit(s), n)),
-            )
-        ]
-    )
+
+    def paths(sort_order: str) -> Column:
+        return F.transform(
+            numbers, lambda n: cr.page_path(release_id, F.col("country"), F.lit(sort_order), n)
+        )
+
+    index = F.create_map(*[c for s in cr.SORT_ORDERS for c in (F.lit(s), paths(s))])
     unknown = F.when(F.col("country") == "XX", F.col("creator_count")).otherwise(0)
     videos = F.col("represented_video_count")
     zero = F.lit(0).cast("long")

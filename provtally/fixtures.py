@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from provtally.functions.sql import text_array
 from provtally.sources.catalog import Catalog, Dataset, PublishedFilter
 
 RELEASE_ID = "fixture-1"
@@ -33,9 +34,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _video_id(key: str) -> Column:
-    k = F.col(key)
-    return F.when(k % 97 == 0, F.concat(F.lit("bad!"), k.cast("string"))).otherwise(
-        F.concat(F.lit("V"), F.lpad(k.cast("string"), 10, "0"))
+    return F.expr(
+        f"if({key} % 97 = 0, concat('bad!', {key}), concat('V', lpad(cast({key} as string), 10, '0')))"
     )
 
 
@@ -44,7 +44,7 @@ def _dataset_id() -> Column:
 
 
 def nation_code(key: str) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in NATION_CODES]), F.col(key) + 1)
+    return F.expr(f"element_at({text_array(NATION_CODES)}, {key} + 1)")
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,36 +150,27 @@ def catalog() -> Catalog:
     return Catalog(tuple(rows), tuple(filters))
 
 
-def links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """View links as they might be shared: valid, unknown and malformed values, from the event log."""
-    e, u = F.col("event_id"), F.col("user_id")
+# One SQL term per parameter, null when the link does not carry it.
+_LINK_PARAMETERS = (
+    "case event_id % 7 when 0 then 'release=fixture-1' when 1 then 'release=a%20b' end",
+    "case when event_id % 4 = 0 then 'datasets=ds-ro%2Cds-af'"
+    " when event_id % 4 = 1 then 'datasets=ds-af,DS!,ds-zz,+ds-af'"
+    " when event_id % 4 = 2 and user_id % 3 = 0 then 'datasets=ds-nf' end",
+    "case user_id % 4 when 0 then 'corpus=Candidate' when 1 then 'corpus=Comparison,Other' end",
+    "case event_id % 5 when 0 then 'country=usa' when 1 then 'country=us' when 2 then 'country=IT'"
+    " when 3 then 'country=DE' end",
+    "case event_id % 3 when 0 then 'metric=videos' when 1 then 'metric=creators' else 'metric=likes' end",
+    "case user_id % 5 when 0 then 'view=table' when 1 then 'view=grid' end",
+    "case user_id % 6 when 0 then 'sort=displayNameAsc' when 1 then 'sort=newest' end",
+    "case event_id % 11 when 0 then concat('cursor=', user_id % 9) when 1 then 'cursor=%21bad' end",
+)
 
-    def param(name: str, value: Column) -> Column:
-        return F.concat(F.lit(name + "="), value)
 
-    release = F.when(e % 7 == 0, param("release", F.lit("fixture-1"))).when(e % 7 == 1, param("release", F.lit("a%20b")))
-    ds = F.when(e % 4 == 0, param("datasets", F.lit("ds-ro%2Cds-af"))).when(
-        e % 4 == 1, param("datasets", F.lit("ds-af,DS!,ds-zz,+ds-af"))
-    ).when((e % 4 == 2) & (u % 3 == 0), param("datasets", F.lit("ds-nf")))
-    corpus = F.when(u % 4 == 0, param("corpus", F.lit("Candidate"))).when(
-        u % 4 == 1, param("corpus", F.lit("Comparison,Other"))
-    )
-    country = F.when(e % 5 == 0, param("country", F.lit("usa"))).when(
-        e % 5 == 1, param("country", F.lit("us"))
-    ).when(e % 5 == 2, param("country", F.lit("IT"))).when(e % 5 == 3, param("country", F.lit("DE")))
-    metric = F.when(e % 3 == 0, param("metric", F.lit("videos"))).when(
-        e % 3 == 1, param("metric", F.lit("creators"))
-    ).otherwise(param("metric", F.lit("likes")))
-    view = F.when(u % 5 == 0, param("view", F.lit("table"))).when(u % 5 == 1, param("view", F.lit("grid")))
-    sort = F.when(u % 6 == 0, param("sort", F.lit("displayNameAsc"))).when(
-        u % 6 == 1, param("sort", F.lit("newest"))
-    )
-    cursor = F.when(e % 11 == 0, param("cursor", (u % 9).cast("string"))).when(
-        e % 11 == 1, param("cursor", F.lit("%21bad"))
-    )
-    query = F.concat_ws("&", release, ds, corpus, country, metric, view, sort, cursor)
+def links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """View links as they might be shared: valid, unknown and malformed values, from the event log."""
+    query = f"concat_ws('&', {', '.join(_LINK_PARAMETERS)})"
     return table(spark, sf_dir, "events").select(
-        e.alias("event_id"), F.concat(F.lit("https://example.org/map?"), query).alias("url")
+        "event_id", F.expr(f"concat('https://example.org/map?', {query})").alias("url")
     )
 
 
@@ -188,7 +179,7 @@ def page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, u = F.col("event_id"), F.col("user_id")
     return table(spark, sf_dir, "events").select(
         e.alias("request_id"),
-        F.element_at(F.array(*[F.lit(c) for c in [*NATION_CODES, "XX"]]), (u % 26).cast("int") + 1).alias("country"),
+        F.expr(f"element_at({text_array([*NATION_CODES, 'XX'])}, cast(user_id % 26 as int) + 1)").alias("country"),
         F.when(e % 10 == 9, "newest").when(e % 2 == 0, "displayNameAsc").otherwise("representedVideoCountDesc").alias(
             "sort_order"
         ),

@@ -185,7 +185,8 @@ def paged(listing: DataFrame, page_size: int) -> DataFrame:
 def first_page(listing: DataFrame, page_size: int, sort_order: str = BY_VIDEOS) -> DataFrame:
     """Top rows of each country. Each task keeps its own top rows before the shuffle."""
     w = W.partitionBy("country").orderBy(*sort_columns(sort_order))
-    return listing.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= page_size)
+    top = listing.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= page_size)
+    return top.withColumn("rank", F.col("rank").cast("long"))
 
 
 def page_counts(listing: DataFrame, page_size: int) -> DataFrame:

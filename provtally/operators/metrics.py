@@ -18,14 +18,14 @@ more datasets than a long has bits take ``filter_channel_counts`` instead.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from provtally.functions.countries import UNKNOWN_COUNTRY, country_bucket
 from provtally.functions.identifiers import is_video_id
+from provtally.functions.sql import quote, text_list
 from provtally.sources.catalog import Catalog
 
 # The resolution states, in published order.
@@ -35,16 +35,13 @@ PENDING = "retryableOrPending"
 INVALID = "invalid"
 
 
-def _n(i: int) -> str:
-    return f"n{i}"
+def _columns(catalog: Catalog) -> list[str]:
+    """Names of the per-dataset occurrence counts, in catalogue order."""
+    return [f"n{i}" for i in range(len(catalog.datasets))]
 
 
-def _has_bit(mask: Column, i: int) -> Column:
-    return mask.bitwiseAND(F.lit(1 << i)) != 0
-
-
-def _sum_columns(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, columns, F.lit(0).cast("long"))
+def _total(terms: Iterable[str]) -> str:
+    return " + ".join(["0L", *terms])
 
 
 def effective_state(video_id: Column, state: Column) -> Column:
@@ -54,14 +51,14 @@ def effective_state(video_id: Column, state: Column) -> Column:
 
 def video_profile(observations: DataFrame, catalog: Catalog) -> DataFrame:
     """One row per video: occurrences per dataset (``n0``, ``n1``, ...) and its dataset set (``mask``)."""
-    ids = catalog.dataset_ids
-    counts = [F.count_if(F.col("dataset_id") == d).alias(_n(i)) for i, d in enumerate(ids)]
-    mask = _sum_columns([F.when(F.col(_n(i)) > 0, F.lit(1 << i)).otherwise(F.lit(0)) for i in range(len(ids))])
+    ns = _columns(catalog)
+    counts = [F.expr(f"count_if(dataset_id = {quote(d)}) as {n}") for n, d in zip(ns, catalog.dataset_ids, strict=True)]
+    mask = _total(f"if({n} > 0, {1 << i}L, 0L)" for i, n in enumerate(ns))
     return (
-        observations.where(F.col("dataset_id").isin(ids))
+        observations.where(f"dataset_id in ({text_list(catalog.dataset_ids)})")
         .groupBy("video_id")
         .agg(*counts)
-        .withColumn("mask", mask.cast("long"))
+        .selectExpr("video_id", *ns, f"{mask} as mask")
     )
 
 
@@ -72,35 +69,28 @@ def channel_counts(observations: DataFrame, resolutions: DataFrame, catalog: Cat
     resolved = profile.join(resolutions.select("video_id", "state", "channel_key"), "video_id", "left").withColumn(
         "state", state
     )
-    ns = [_n(i) for i in range(len(catalog.datasets))]
+    ns = _columns(catalog)
     return (
         resolved.withColumn("channel_key", F.when(F.col("state") == RESOLVED, F.col("channel_key")))
         .groupBy("state", "channel_key", "mask")
-        .agg(F.count("*").alias("videos"), *[F.sum(n).alias(n) for n in ns])
+        .agg(*_sums("count(*) as videos", ns))
     )
 
 
+def _sums(first: str, columns: Iterable[str]) -> list[Column]:
+    return [F.expr(first), *[F.expr(f"sum({c}) as {c}") for c in columns]]
+
+
 def in_filters(df: DataFrame, catalog: Catalog) -> DataFrame:
     """Each counted row once per filter its dataset set touches, with the occurrences that filter keeps."""
-    choices = F.array(
-        *[
-            F.struct(F.lit(f.key).alias("key"), F.lit(catalog.mask(f)).cast("long").alias("mask"))
-            for f in catalog.filters
-        ]
+    ns = _columns(catalog)
+    choices = ", ".join(
+        f"named_struct('key', {quote(f.key)}, 'mask', {catalog.mask(f)}L)" for f in catalog.filters
     )
-    matched = df.withColumn(
-        "_f", F.explode(F.filter(choices, lambda c: c["mask"].bitwiseAND(F.col("mask")) != 0))
-    )
-    occurrences = _sum_columns(
-        [
-            F.when(_has_bit(F.col("_f.mask"), i), F.col(_n(i))).otherwise(F.lit(0))
-            for i in range(len(catalog.datasets))
-        ]
-    )
-    return (
-        matched.withColumn("filter_key", F.col("_f.key"))
-        .withColumn("occurrences", occurrences)
-        .drop("_f", *[_n(i) for i in range(len(catalog.datasets))])
+    occurrences = _total(f"if((_f.mask & {1 << i}L) <> 0, {n}, 0L)" for i, n in enumerate(ns))
+    kept = [c for c in df.columns if c not in ns]
+    return df.selectExpr("*", f"explode(filter(array({choices}), c -> (c.mask & mask) <> 0)) as _f").selectExpr(
+        *kept, "_f.key as filter_key", f"{occurrences} as occurrences"
     )
 
 
@@ -144,27 +134,19 @@ def dataset_set_cells(
     A channel is represented in a filter when any of its videos is, so it is counted once, under
     the union of its videos' sets. The window sees a channel's few counted rows, not its videos.
     """
-    ns = [_n(i) for i in range(len(catalog.datasets))]
+    ns = _columns(catalog)
     counts = with_country(channel_counts(observations, resolutions, catalog), channels)
-    whole = W.partitionBy("channel_key")
-    marked = counts.select(
+    of_videos = ", ".join(f"'{c}', {c}" for c in ["mask", "videos", *ns])
+    of_channel = ", ".join(f"'{c}', 0L" for c in ["videos", *ns])
+    entries = counts.selectExpr(
         "state",
-        F.when(F.col("state") == RESOLVED, F.col("country")).alias("country"),
-        F.struct("mask", "videos", *ns, F.lit(0).cast("long").alias("creators")).alias("of_videos"),
-        F.when(
-            (F.row_number().over(whole.orderBy("mask")) == 1) & F.col("channel_key").isNotNull(),
-            F.struct(
-                F.bit_or("mask").over(whole).alias("mask"),
-                F.lit(0).cast("long").alias("videos"),
-                *[F.lit(0).cast("long").alias(n) for n in ns],
-                F.lit(1).cast("long").alias("creators"),
-            ),
-        ).alias("of_channel"),
-    )
-    entries = marked.select(
-        "state", "country", F.explode(F.array_compact(F.array("of_videos", "of_channel"))).alias("e")
-    ).select("state", "country", "e.*")
-    return entries.groupBy("state", "country", "mask").agg(*[F.sum(c).alias(c) for c in ["videos", *ns, "creators"]])
+        f"if(state = '{RESOLVED}', country, null) as country",
+        f"named_struct({of_videos}, 'creators', 0L) as of_videos",
+        f"""if(channel_key is not null and row_number() over (partition by channel_key order by mask) = 1,
+            named_struct('mask', bit_or(mask) over (partition by channel_key), {of_channel}, 'creators', 1L),
+            null) as of_channel""",
+    ).selectExpr("state", "country", "inline(array_compact(array(of_videos, of_channel)))")
+    return entries.groupBy("state", "country", "mask").agg(*_sums("sum(videos) as videos", [*ns, "creators"]))
 
 
 def filter_cells(observations: DataFrame, resolutions: DataFrame, channels: DataFrame, catalog: Catalog) -> DataFrame:
@@ -242,12 +224,12 @@ def state_counts(observations: DataFrame, resolutions: DataFrame, catalog: Catal
     """(filter_key, state) with videos and occurrences."""
     if catalog.fits_mask:
         profile = video_profile(observations, catalog)
-        ns = [_n(i) for i in range(len(catalog.datasets))]
+        ns = _columns(catalog)
         joined = profile.join(resolutions.select("video_id", "state"), "video_id", "left")
         sets = (
             joined.withColumn("state", effective_state(F.col("video_id"), F.col("state")))
             .groupBy("state", "mask")
-            .agg(F.count("*").alias("videos"), *[F.sum(n).alias(n) for n in ns])
+            .agg(*_sums("count(*) as videos", ns))
         )
         rows = in_filters(sets, catalog)
     else:
@@ -272,8 +254,7 @@ def represented_videos(observations: DataFrame, catalog: Catalog) -> DataFrame:
     """Distinct identifiers per filter, whatever their state."""
     if catalog.fits_mask:
         sets = video_profile(observations, catalog).groupBy("mask").agg(
-            F.count("*").alias("videos"),
-            *[F.sum(_n(i)).alias(_n(i)) for i in range(len(catalog.datasets))],
+            *_sums("count(*) as videos", _columns(catalog))
         )
         rows = in_filters(sets, catalog)
     else:
@@ -308,7 +289,7 @@ def creators(observations: DataFrame, resolutions: DataFrame, catalog: Catalog)
             .groupBy("channel_key")
             .agg(F.bit_or("mask").alias("mask"))
             .groupBy("mask")
-            .agg(F.count("*").alias("creators"), *[F.lit(0).alias(_n(i)) for i in range(len(catalog.datasets))])
+            .agg(F.count("*").alias("creators"), *[F.expr(f"0L as {n}") for n in _columns(catalog)])
         )
         rows = in_filters(channels, catalog)
     else:
@@ -362,16 +343,17 @@ def dataset_pairs(observations: DataFrame, catalog: Catalog) -> DataFrame:
     """Videos in both of two datasets, for every pair that shares any."""
     if catalog.fits_mask:
         sets = video_profile(observations, catalog).groupBy("mask").agg(F.count("*").alias("videos"))
-        members = F.filter(
-            F.array(
-                *[F.struct(F.lit(i).alias("bit"), F.lit(d).alias("id")) for i, d in enumerate(catalog.dataset_ids)]
-            ),
-            lambda m: F.getbit(F.col("mask"), m["bit"]) == 1,
+        choices = ", ".join(
+            f"named_struct('bit', {1 << i}L, 'id', {quote(d)})" for i, d in enumerate(catalog.dataset_ids)
         )
-        first = sets.select("mask", "videos", F.explode(members).alias("a"))
-        pairs = first.select("a", "videos", F.explode(members).alias("b")).where(F.col("a.id") < F.col("b.id"))
-        return pairs.groupBy(F.col("a.id").alias("dataset_a"), F.col("b.id").alias("dataset_b")).agg(
-            F.sum("videos").alias("shared_videos")
+        members = f"filter(array({choices}), m -> (m.bit & mask) <> 0)"
+        return (
+            sets.selectExpr("mask", "videos", f"explode({members}) as a")
+            .selectExpr("videos", "a.id as dataset_a", f"explode({members}) as b")
+            .selectExpr("videos", "dataset_a", "b.id as dataset_b")
+            .where("dataset_a < dataset_b")
+            .groupBy("dataset_a", "dataset_b")
+            .agg(F.sum("videos").alias("shared_videos"))
         )
     rows = observations.groupBy("video_id", "dataset_id").agg(F.lit(1).alias("one")).drop("one")
     left = rows.withColumnRenamed("dataset_id", "dataset_a")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from provtally.functions.countries import ALPHA2, UNKNOWN_COUNTRY
 from provtally.functions.sets import canonical, filter_key, joined
+from provtally.functions.sql import quote, text_array, text_list
 from provtally.operators.creators import BY_VIDEOS, SORT_ORDERS
 from provtally.operators.scale import METRICS
 from provtally.sources.catalog import CORPUS_CLASSES, Catalog
@@ -23,46 +24,43 @@ DEFAULT_SORT = BY_VIDEOS
 # Fixed value: what a link's list items are trimmed of.
 _BLANK = r"[\t\n\x0B\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]+"
 
-_CORRECTION = "array<struct<field:string,rejected:string,reason:string>>"
+_ISSUE = "struct<field:string,rejected:string,reason:string>"
+_PARAMETERS = ("release", "datasets", "corpus", "country", "metric", "view", "sort", "cursor")
 
 
-def _decoded(text: Column) -> Column:
-    """Form-decoded text; a percent sign that starts no escape stands for itself."""
-    return F.url_decode(F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25"))
+def _decoded(text: str) -> str:
+    """Form-decoded text; a percent sign that starts no escape stands for itself. Most text needs no work."""
+    escaped = f"regexp_replace({text}, '%(?![0-9A-Fa-f]{{2}})', '%25')"
+    return f"if(contains({text}, '%') or contains({text}, '+'), url_decode({escaped}), {text})"
 
 
-def _parameters(url: Column) -> Column:
-    """Array of (name, value) in link order."""
-    before_fragment = F.regexp_extract(url, r"(?s)\A([^#]*)", 1)
-    query = F.regexp_extract(before_fragment, r"(?s)\A[^?]*\?\??(.*)\z", 1)
-    parts = F.filter(F.split(query, "&"), lambda p: p != "")
-    return F.transform(
-        parts,
-        lambda p: F.struct(
-            _decoded(F.regexp_extract(p, r"(?s)\A([^=]*)", 1)).alias("name"),
-            _decoded(F.regexp_extract(p, r"(?s)\A[^=]*=(.*)\z", 1)).alias("value"),
-        ),
-    )
+def _pairs(url: str) -> str:
+    """Array of (name, value) in link order: what follows the first ``?`` and precedes the first ``#``."""
+    head = f"substring_index({url}, '#', 1)"
+    query = f"if(contains({head}, '?'), substring({head}, instr({head}, '?') + 1), '')"
+    # A second question mark right at the start is dropped too.
+    query = f"regexp_replace({query}, '^[?]', '')"
+    name = _decoded("substring_index(p, '=', 1)")
+    value = _decoded("if(contains(p, '='), substring(p, instr(p, '=') + 1), '')")
+    return f"transform(filter(split({query}, '&'), p -> p <> ''), p -> named_struct('name', {name}, 'value', {value}))"
 
 
-def _first(parameters: Column, name: str) -> Column:
+def _first(name: str) -> str:
     """First value of a parameter, null when the link does not have it."""
-    return F.get(F.filter(parameters, lambda p: p["name"] == name), F.lit(0))["value"]
+    return f"get(filter(_pairs, p -> p.name = {quote(name)}), 0).value"
 
 
-def _items(value: Column) -> Column:
-    trimmed = F.transform(
-        F.split(F.coalesce(value, F.lit("")), ","), lambda v: F.regexp_replace(v, rf"\A{_BLANK}|{_BLANK}\z", "")
-    )
-    return F.filter(trimmed, lambda v: v != "")
+def _items(value: str) -> str:
+    trimmed = f"regexp_replace(i, {quote(rf'^{_BLANK}|{_BLANK}$')}, '')"
+    return f"filter(transform(split(coalesce({value}, ''), ','), i -> {trimmed}), i -> i <> '')"
 
 
-def _rejection(field: str, rejected: Column, reason: str) -> Column:
-    return F.struct(F.lit(field).alias("field"), rejected.alias("rejected"), F.lit(reason).alias("reason"))
+def _rejection(field: str, rejected: str, reason: str) -> str:
+    return f"named_struct('field', {quote(field)}, 'rejected', {rejected}, 'reason', {quote(reason)})"
 
 
-def _one(rejection: Column, when: Column) -> Column:
-    return F.when(F.coalesce(when, F.lit(False)), F.array(rejection)).otherwise(F.array().cast(_CORRECTION))
+def _if(condition: str, rejection: str) -> str:
+    return f"if({condition}, {rejection}, null)"
 
 
 def parse_links(links: DataFrame, catalog: Catalog, countries: DataFrame, url_col: str = "url") -> DataFrame:
@@ -71,68 +69,62 @@ def parse_links(links: DataFrame, catalog: Catalog, countries: DataFrame, url_co
     ``countries`` holds the codes the release has data for (column ``country``); being two-letter
     codes there are few of them. Rejected values fall back to the default of their field.
     """
-    known_sets = F.array(*[F.lit(d) for d in catalog.dataset_ids]).cast("array<string>")
-    base = links.withColumn("_p", _parameters(F.col(url_col)))
-    raw = {n: f"_{n}" for n in ("release", "datasets", "corpus", "country", "metric", "view", "sort", "cursor")}
-    for name, column in raw.items():
-        base = base.withColumn(column, _first(F.col("_p"), name))
     known = countries.select(F.col("country").alias("_known")).distinct()
+    raw = links.selectExpr("*", f"{_pairs(url_col)} as _pairs").selectExpr(
+        *links.columns, *[f"{_first(n)} as _{n}" for n in _PARAMETERS]
+    )
     base = (
-        base.withColumn("_code", F.upper("_country"))
+        raw.selectExpr(
+            "*", "upper(_country) as _code", f"{_items('_datasets')} as _ds", f"{_items('_corpus')} as _cc"
+        )
         .join(F.broadcast(known), F.col("_code") == F.col("_known"), "left")
-        .withColumn("_ds", _items(F.col("_datasets")))
-        .withColumn("_cc", _items(F.col("_corpus")))
+        .selectExpr(
+            "*",
+            f"rlike(_release, {quote(RELEASE)}) as _release_ok",
+            f"(_code = '{UNKNOWN_COUNTRY}' or rlike(_code, {quote(ALPHA2)})) as _code_ok",
+            f"rlike(_cursor, {quote(CURSOR)}) as _cursor_ok",
+        )
+        .withColumn("_place", F.expr("if(_code_ok and _known is not null, _code, null)"))
     )
-
-    release_ok = F.col("_release").rlike(RELEASE)
-    shaped = (F.col("_code") == UNKNOWN_COUNTRY) | F.col("_code").rlike(ALPHA2)
-    country = F.when(shaped & F.col("_known").isNotNull(), F.col("_code"))
-    cursor_ok = F.col("_cursor").rlike(CURSOR)
-
-    def choice(column: str, allowed: tuple[str, ...]) -> Column:
-        return F.when(F.col(column).isin(*allowed), F.col(column))
-
-    def rejected_dataset(d: Column) -> Column:
-        shape = _rejection("datasets", d, "not a valid dataset identifier")
-        unknown = _rejection("datasets", d, "dataset is not in this release")
-        return F.when(~d.rlike(DATASET), shape).when(~F.array_contains(known_sets, d), unknown)
-
-    corrections = F.concat(
-        _one(_rejection("release", F.col("_release"), "not a valid release identifier"), ~release_ok),
-        F.array_compact(F.transform("_ds", rejected_dataset)),
-        F.transform(
-            F.filter("_cc", lambda c: ~c.isin(*CORPUS_CLASSES)),
-            lambda c: _rejection("corpusClasses", c, "unknown corpus class"),
-        ),
-        _one(_rejection("country", F.col("_country"), "not an ISO 3166 alpha-2 code"), ~shaped),
-        _one(
-            _rejection("country", F.col("_country"), "country has no data in this release"),
-            shaped & F.col("_known").isNull(),
+    in_release = f"array_contains({text_array(catalog.dataset_ids)}, d)"
+    classes, metrics, views, sorts = (text_list(v) for v in (CORPUS_CLASSES, METRICS, VIEWS, SORT_ORDERS))
+    dataset_issue = (
+        f"case when not rlike(d, {quote(DATASET)}) then"
+        f" {_rejection('datasets', 'd', 'not a valid dataset identifier')}"
+        f" when not {in_release} then {_rejection('datasets', 'd', 'dataset is not in this release')} end"
+    )
+    class_issue = _rejection("corpusClasses", "c", "unknown corpus class")
+    single = [
+        _if("not _code_ok", _rejection("country", "_country", "not an ISO 3166 alpha-2 code")),
+        _if(
+            "_code_ok and _known is null", _rejection("country", "_country", "country has no data in this release")
         ),
-        _one(_rejection("metric", F.col("_metric"), "unknown metric"), ~F.col("_metric").isin(*METRICS)),
-        _one(_rejection("view", F.col("_view"), "unknown view mode"), ~F.col("_view").isin(*VIEWS)),
-        _one(_rejection("sort", F.col("_sort"), "unknown sort order"), ~F.col("_sort").isin(*SORT_ORDERS)),
-        _one(_rejection("cursor", F.col("_cursor"), "not a valid page cursor"), ~cursor_ok),
-        _one(
-            _rejection("cursor", F.col("_cursor"), "a page cursor requires a country selection"),
-            cursor_ok & country.isNull(),
+        _if(f"_metric not in ({metrics})", _rejection("metric", "_metric", "unknown metric")),
+        _if(f"_view not in ({views})", _rejection("view", "_view", "unknown view mode")),
+        _if(f"_sort not in ({sorts})", _rejection("sort", "_sort", "unknown sort order")),
+        _if("not _cursor_ok", _rejection("cursor", "_cursor", "not a valid page cursor")),
+        _if(
+            "_cursor_ok and _place is null",
+            _rejection("cursor", "_cursor", "a page cursor requires a country selection"),
         ),
+    ]
+    release_issue = _if("not _release_ok", _rejection("release", "_release", "not a valid release identifier"))
+    corrections = (
+        f"array_compact(concat(array({release_issue}), transform(_ds, d -> {dataset_issue}),"
+        f" transform(filter(_cc, c -> c not in ({classes})), c -> {class_issue}), array({', '.join(single)})))"
     )
-    return base.select(
+    return base.selectExpr(
         *links.columns,
-        F.when(release_ok, F.col("_release")).alias("release"),
-        canonical(
-            F.filter("_ds", lambda d: d.rlike(DATASET) & F.array_contains(known_sets, d))
-        ).alias("datasets"),
-        canonical(F.filter("_cc", lambda c: c.isin(*CORPUS_CLASSES))).alias("corpus_classes"),
-        country.alias("country"),
-        F.coalesce(choice("_metric", tuple(METRICS)), F.lit(DEFAULT_METRIC)).alias("metric"),
-        F.coalesce(choice("_view", VIEWS), F.lit(DEFAULT_VIEW)).alias("view"),
-        F.coalesce(choice("_sort", SORT_ORDERS), F.lit(DEFAULT_SORT)).alias("sort"),
-        F.when(cursor_ok & country.isNotNull(), F.col("_cursor")).alias("cursor"),
-        corrections.alias("corrections"),
-        (F.size(corrections) > 0).alias("used_fallback"),
-    )
+        "if(_release_ok, _release, null) as release",
+        f"array_sort(array_distinct(filter(_ds, d -> rlike(d, {quote(DATASET)}) and {in_release}))) as datasets",
+        f"array_sort(array_distinct(filter(_cc, c -> c in ({classes})))) as corpus_classes",
+        "_place as country",
+        f"if(_metric in ({metrics}), _metric, '{DEFAULT_METRIC}') as metric",
+        f"if(_view in ({views}), _view, '{DEFAULT_VIEW}') as view",
+        f"if(_sort in ({sorts}), _sort, '{DEFAULT_SORT}') as sort",
+        "if(_cursor_ok and _place is not null, _cursor, null) as cursor",
+        f"cast({corrections} as array<{_ISSUE}>) as corrections",
+    ).withColumn("used_fallback", F.size("corrections") > 0)
 
 
 def correction_counts(parsed: DataFrame) -> DataFrame:

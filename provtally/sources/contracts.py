@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from provtally.functions.countries import ALPHA2
 from provtally.functions.identifiers import DIGEST, PUBLIC_KEY, RAW_CHANNEL_PREFIX
+from provtally.functions.sql import quote
 
 ISSUE = "struct<path:string,rule:string,message:string,fatal:boolean>"
 
@@ -97,10 +98,6 @@ _NONE = f"cast(array() as array<{ISSUE}>)"
 _names = count()
 
 
-def _quote(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _text(value: str) -> str:
     return f"try_variant_get({value}, '$', 'string')"
 
@@ -115,7 +112,7 @@ def _long_at(doc: str, path: str) -> str:
 
 def _issue(path: str, rule: str, message: str, fatal: bool = False) -> str:
     return (
-        f"named_struct('path', {path}, 'rule', {_quote(rule)}, 'message', {message},"
+        f"named_struct('path', {path}, 'rule', {quote(rule)}, 'message', {message},"
         f" 'fatal', {str(fatal).lower()})"
     )
 
@@ -145,7 +142,7 @@ def _json_type(value: str) -> str:
 
 def _wrong_type(expected: str, value: str, path: str) -> str:
     message = (
-        f"if({value} is null, 'Required', concat({_quote(f'Expected {expected}, received ')}, {_json_type(value)}))"
+        f"if({value} is null, 'Required', concat({quote(f'Expected {expected}, received ')}, {_json_type(value)}))"
     )
     return _issue(path, "invalid_type", message, True)
 
@@ -156,7 +153,7 @@ def _scalar_issues(contract: object, value: str, path: str) -> list[str] | None:
     match contract:
         case Text(checks):
             bad = [
-                f"if({holds.format(t=text)}, null, {_issue(path, rule, _quote(message))})"
+                f"if({holds.format(t=text)}, null, {_issue(path, rule, quote(message))})"
                 for holds, rule, message in checks
             ]
             first = f"if({kind} <=> 'STRING', {bad[0]}, {_wrong_type('string', value, path)})"
@@ -171,19 +168,19 @@ def _scalar_issues(contract: object, value: str, path: str) -> list[str] | None:
             return [
                 f"if({numeric}, if({number} <> floor({number}), {fraction}, null),"
                 f" {_wrong_type('number', value, path)})",
-                f"if({numeric} and {low}, {_issue(path, 'too_small', _quote(f'Number must be {bound}'))}, null)",
+                f"if({numeric} and {low}, {_issue(path, 'too_small', quote(f'Number must be {bound}'))}, null)",
             ]
         case Boolean():
             return [f"if({kind} <=> 'BOOLEAN', null, {_wrong_type('boolean', value, path)})"]
         case Choice(values):
             expected = " | ".join(f"'{v}'" for v in values)
-            known = ", ".join(_quote(v) for v in values)
-            message = f"concat({_quote(f'Invalid enum value. Expected {expected}, received ')}, '\\'', {text}, '\\'')"
+            known = ", ".join(quote(v) for v in values)
+            message = f"concat({quote(f'Invalid enum value. Expected {expected}, received ')}, '\\'', {text}, '\\'')"
             unknown = f"if({text} in ({known}), null, {_issue(path, 'invalid_enum_value', message, True)})"
             return [f"if({kind} <=> 'STRING', {unknown}, {_wrong_type(expected, value, path)})"]
         case Literal(expected):
-            message = _quote(f'Invalid literal value, expected "{expected}"')
-            fits = f"{kind} <=> 'STRING' and {text} <=> {_quote(expected)}"
+            message = quote(f'Invalid literal value, expected "{expected}"')
+            fits = f"{kind} <=> 'STRING' and {text} <=> {quote(expected)}"
             return [f"if({fits}, null, {_issue(path, 'invalid_literal', message, True)})"]
         case Nullable(inner):
             is_null = f"coalesce(is_variant_null({value}), false)"
@@ -203,7 +200,7 @@ def issues_sql(contract: object, value: str, path: str | None = None) -> str:
         return _compact(single)
     match contract:
         case ListOf(item, min_items):
-            message = _quote(f"Array must contain at least {min_items} element(s)")
+            message = quote(f"Array must contain at least {min_items} element(s)")
             e, i = f"e{next(_names)}", f"i{next(_names)}"
 
             def of_items(items: str) -> str:
@@ -220,7 +217,7 @@ def issues_sql(contract: object, value: str, path: str | None = None) -> str:
             def of_entries(entries: str) -> str:
                 place = _below(path, f"{e}.key")
                 empty = _issue(place, "too_small", "'String must contain at least 1 character(s)'")
-                each = f"concat({_if(f'{e}.key = {_quote(str())}', empty)}, {issues_sql(item, f'{e}.value', place)})"
+                each = f"concat({_if(f'{e}.key = {quote(str())}', empty)}, {issues_sql(item, f'{e}.value', place)})"
                 return (
                     f"if({entries} is null, array({_wrong_type('object', value, at)}),"
                     f" flatten(transform(map_entries({entries}), {e} -> {each})))"
@@ -230,12 +227,12 @@ def issues_sql(contract: object, value: str, path: str | None = None) -> str:
         case Record(fields, rules):
 
             def of_members(members: str) -> str:
-                known = ", ".join(_quote(n) for n in fields)
+                known = ", ".join(quote(n) for n in fields)
                 unknown = f"array_except(map_keys({members}), array({known}))"
                 message = f"concat('Unrecognized key(s) in object: \\'', array_join({unknown}, '\\', \\''), '\\'')"
                 groups, run = [], []
                 for name, part in fields.items():
-                    member, place = f"try_element_at({members}, {_quote(name)})", _below(path, _quote(name))
+                    member, place = f"try_element_at({members}, {quote(name)})", _below(path, quote(name))
                     scalars = _scalar_issues(part, member, place)
                     if scalars is None:
                         if run:
@@ -270,11 +267,11 @@ def _custom(path: str, message: str) -> str:
 def _sorted_and_unique(doc: str, path: str | None) -> str:
     found = []
     for name in ("datasets", "corpusClasses"):
-        values, at = f"try_variant_get({doc}, '$.{name}', 'array<string>')", _below(path, _quote(name))
-        found.append(f"if({values} = array_sort({values}), null, {_custom(at, _quote(f'{name} must be sorted'))})")
+        values, at = f"try_variant_get({doc}, '$.{name}', 'array<string>')", _below(path, quote(name))
+        found.append(f"if({values} = array_sort({values}), null, {_custom(at, quote(f'{name} must be sorted'))})")
         found.append(
             f"if(size(array_distinct({values})) = size({values}), null,"
-            f" {_custom(at, _quote(f'{name} must be unique'))})"
+            f" {_custom(at, quote(f'{name} must be unique'))})"
         )
     return _compact(found)
 
@@ -291,15 +288,15 @@ def _coverage_sums(doc: str, path: str | None) -> str:
     channel_text = f"concat('known + unknown channels = ', {channels}, ', expected ', {resolved})"
     return _compact(
         [
-            f"if({parts} = {expected}, null, {_custom(_below(path, _quote('partition')), partition_text)})",
-            f"if({channels} = {resolved}, null, {_custom(_below(path, _quote('resolvedChannelCount')), channel_text)})",
+            f"if({parts} = {expected}, null, {_custom(_below(path, quote('partition')), partition_text)})",
+            f"if({channels} = {resolved}, null, {_custom(_below(path, quote('resolvedChannelCount')), channel_text)})",
         ]
     )
 
 
 def _unique_countries(doc: str, path: str | None) -> str:
     codes = f"transform(try_variant_get({doc}, '$.countries', 'array<variant>'), c -> {text_at('c', 'country')})"
-    issue = _custom(_below(path, _quote("countries")), "concat('duplicate country bucket: ', c)")
+    issue = _custom(_below(path, quote("countries")), "concat('duplicate country bucket: ', c)")
 
     def repeated(all_codes: str) -> str:
         again = f"filter({all_codes}, (c, i) -> array_position({all_codes}, c) - 1 < i)"
@@ -316,14 +313,14 @@ def _instant(text: str) -> str:
 def _cutoff_first(doc: str, path: str | None) -> str:
     late = f"{_instant(text_at(doc, 'enrichmentCutoff'))} > {_instant(text_at(doc, 'generatedAt'))}"
     message = "'enrichmentCutoff must not be later than generatedAt'"
-    return _if(f"coalesce({late}, false)", _custom(_below(path, _quote("enrichmentCutoff")), message))
+    return _if(f"coalesce({late}, false)", _custom(_below(path, quote("enrichmentCutoff")), message))
 
 
 # ---- the contracts --------------------------------------------------------------------------
 
 
 def _matches(pattern: str) -> str:
-    return "rlike({t}, " + _quote(pattern).replace("{", "{{").replace("}", "}}") + ")"
+    return "rlike({t}, " + quote(pattern).replace("{", "{{").replace("}", "}}") + ")"
 
 
 NONEMPTY = Text((("length({t}) >= 1", "too_small", "String must contain at least 1 character(s)"),))

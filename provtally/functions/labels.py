@@ -10,10 +10,6 @@ def count_label(n: Column) -> Column:
     return F.format_number(n, 0)
 
 
-def range_label(low: Column, high: Column) -> Column:
-    return F.when(low == high, count_label(low)).otherwise(F.concat(count_label(low), F.lit("–"), count_label(high)))
-
-
 def one_decimal(x: Column) -> Column:
     """A non-negative double rounded to one decimal by its exact binary value, halves up.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from provtally.functions.countries import country_bucket
 from provtally.functions.identifiers import public_channel_key
 from provtally.functions.labels import date_label
+from provtally.functions.sql import quote
 from provtally.operators.metrics import RESOLVED, channel_counts, effective_state
 from provtally.session import work_root
 from provtally.sources.catalog import Catalog, PublishedFilter
@@ -26,45 +27,40 @@ _PAGE_BLOCK = 10_000
 def creator_rows(
     observations: DataFrame, resolutions: DataFrame, channels: DataFrame, catalog: Catalog, flt: PublishedFilter
 ) -> DataFrame:
-    """One row per channel of the filter, with its videos per dataset.
+    """One row per channel of the filter, with its videos per dataset."""
+    if catalog.fits_mask:
+        return creator_rows_of(channel_counts(observations, resolutions, catalog), channels, catalog, flt)
+    return _with_metadata(_from_pairs(observations, resolutions, sorted(catalog.members(flt))), channels)
 
-    A channel without metadata has no name to list, so it is counted in totals only.
-    """
+
+def creator_rows_of(counts: DataFrame, channels: DataFrame, catalog: Catalog, flt: PublishedFilter) -> DataFrame:
+    """The same out of ``channel_counts``."""
     members = sorted(catalog.members(flt))
-    if catalog.fits_mask:
-        per_channel = _from_masks(observations, resolutions, catalog, flt, members)
-    else:
-        per_channel = _from_pairs(observations, resolutions, members)
-    meta = channels.select(
-        "channel_key", "display_name", country_bucket(F.col("country")).alias("country"), "last_observed_at"
+    bits = {d: f"(mask & {1 << i}L) <> 0" for i, d in enumerate(catalog.dataset_ids)}
+    per_dataset = [f"sum(if({bits[d]}, videos, 0L)) as v{i}" for i, d in enumerate(members)]
+    entries = ", ".join(
+        f"named_struct('dataset_id', {quote(d)}, 'represented_video_count', v{i})" for i, d in enumerate(members)
     )
-    return per_channel.join(meta, "channel_key").select(
-        "channel_key", "display_name", "country", "represented_video_count", "dataset_breakdown", "last_observed_at"
+    per_channel = (
+        counts.where(f"state = '{RESOLVED}' and channel_key is not null and (mask & {catalog.mask(flt)}L) <> 0")
+        .groupBy("channel_key")
+        .agg(*[F.expr(e) for e in ["sum(videos) as represented_video_count", *per_dataset]])
+        .selectExpr(
+            "channel_key",
+            "represented_video_count",
+            f"filter(array({entries}), b -> b.represented_video_count > 0) as dataset_breakdown",
+        )
     )
+    return _with_metadata(per_channel, channels)
 
 
-def _from_masks(observations, resolutions, catalog, flt, members) -> DataFrame:
-    bits = {d: 1 << i for i, d in enumerate(catalog.dataset_ids)}
-    rows = channel_counts(observations, resolutions, catalog).where(
-        (F.col("state") == RESOLVED)
-        & F.col("channel_key").isNotNull()
-        & (F.col("mask").bitwiseAND(F.lit(catalog.mask(flt))) != 0)
-    )
-    in_dataset = [F.col("mask").bitwiseAND(F.lit(bits[d])) != 0 for d in members]
-    per_channel = rows.groupBy("channel_key").agg(
-        F.sum("videos").alias("represented_video_count"),
-        *[F.sum(F.when(c, F.col("videos")).otherwise(0)).alias(f"v{i}") for i, c in enumerate(in_dataset)],
-    )
-    breakdown = F.array(
-        *[
-            F.struct(F.lit(d).alias("dataset_id"), F.col(f"v{i}").alias("represented_video_count"))
-            for i, d in enumerate(members)
-        ]
+def _with_metadata(per_channel: DataFrame, channels: DataFrame) -> DataFrame:
+    """A channel without metadata has no name to list, so it is counted in totals only."""
+    meta = channels.select(
+        "channel_key", "display_name", country_bucket(F.col("country")).alias("country"), "last_observed_at"
     )
-    return per_channel.select(
-        "channel_key",
-        "represented_video_count",
-        F.filter(breakdown, lambda b: b["represented_video_count"] > 0).alias("dataset_breakdown"),
+    return per_channel.join(meta, "channel_key").select(
+        "channel_key", "display_name", "country", "represented_video_count", "dataset_breakdown", "last_observed_at"
     )
 
 

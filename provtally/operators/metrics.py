@@ -126,19 +126,17 @@ def with_country(df: DataFrame, channels: DataFrame) -> DataFrame:
     )
 
 
-def dataset_set_cells(
-    observations: DataFrame, resolutions: DataFrame, channels: DataFrame, catalog: Catalog
-) -> DataFrame:
-    """(state, country, mask) with videos, occurrences per dataset and creators; country only when resolved.
+def dataset_set_cells(counts: DataFrame, channels: DataFrame, catalog: Catalog) -> DataFrame:
+    """(state, country, mask) of ``channel_counts`` with videos, occurrences per dataset and creators; country only when resolved.
 
     A channel is represented in a filter when any of its videos is, so it is counted once, under
     the union of its videos' sets. The window sees a channel's few counted rows, not its videos.
     """
     ns = _columns(catalog)
-    counts = with_country(channel_counts(observations, resolutions, catalog), channels)
+    located = with_country(counts, channels)
     of_videos = ", ".join(f"'{c}', {c}" for c in ["mask", "videos", *ns])
     of_channel = ", ".join(f"'{c}', 0L" for c in ["videos", *ns])
-    entries = counts.selectExpr(
+    entries = located.selectExpr(
         "state",
         f"if(state = '{RESOLVED}', country, null) as country",
         f"named_struct({of_videos}, 'creators', 0L) as of_videos",
@@ -150,16 +148,25 @@ def dataset_set_cells(
 
 
 def filter_cells(observations: DataFrame, resolutions: DataFrame, channels: DataFrame, catalog: Catalog) -> DataFrame:
+    if catalog.fits_mask:
+        counts = channel_counts(observations, resolutions, catalog)
+    else:
+        counts = filter_channel_counts(observations, resolutions, catalog)
+    return cells_of(counts, channels, catalog)
+
+
+def cells_of(counts: DataFrame, channels: DataFrame, catalog: Catalog) -> DataFrame:
     """(filter_key, state, country) with creators, videos and occurrences: what all totals are read from.
 
-    A few hundred rows per filter, so a job that needs several totals should keep this table.
+    Takes ``channel_counts``, or ``filter_channel_counts`` for a catalogue without masks. A few
+    hundred rows per filter, so a job that needs several totals should keep this table.
     """
     if catalog.fits_mask:
-        rows = in_filters(dataset_set_cells(observations, resolutions, channels, catalog), catalog)
+        rows = in_filters(dataset_set_cells(counts, channels, catalog), catalog)
     else:
-        counts = with_country(filter_channel_counts(observations, resolutions, catalog), channels)
-        rows = counts.withColumn("country", F.when(F.col("state") == RESOLVED, F.col("country"))).withColumn(
-            "creators", F.when(F.col("channel_key").isNotNull(), 1).otherwise(0)
+        rows = with_country(counts, channels).selectExpr(
+            "filter_key", "state", f"if(state = '{RESOLVED}', country, null) as country",
+            "if(channel_key is null, 0L, 1L) as creators", "videos", "occurrences",
         )
     return rows.groupBy("filter_key", "state", "country").agg(
         F.sum("creators").alias("creators"), F.sum("videos").alias("videos"), F.sum("occurrences").alias("occurrences")

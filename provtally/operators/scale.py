@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provtally.functions.countries import ALPHA2, UNKNOWN_COUNTRY
-from provtally.functions.labels import range_label
+from provtally.functions.sql import quote, text_array
 
 # Palette, patterns and texts.
 PALETTE = ("#1e3a5f", "#2b5488", "#3a70b0", "#5b93d1", "#8fbce8", "#c5dcf5")
@@ -33,90 +33,74 @@ def metric_column(metric: str) -> str:
 def metric_long(countries: DataFrame, metrics: list[str] | None = None) -> DataFrame:
     """(filter_key, country, metric, value) out of the country rows."""
     chosen = list(METRICS) if metrics is None else metrics
-    values = F.array(
-        *[F.struct(F.lit(m).alias("metric"), F.col(metric_column(m)).alias("value")) for m in chosen]
-    )
-    return countries.select("filter_key", "country", F.inline(values))
-
-
-def _literals(values: tuple[str, ...]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    rows = ", ".join(f"{quote(m)}, {metric_column(m)}" for m in chosen)
+    return countries.selectExpr("filter_key", "country", f"stack({len(chosen)}, {rows}) as (metric, value)")
 
 
-def _at(values: Column, index: Column) -> Column:
-    return F.get(values, index.cast("int"))
+def _with_breaks(long_values: DataFrame) -> DataFrame:
+    """Per scale: sorted positive values (``vs``) and the inner breaks between them.
 
-
-def _breaks(sorted_values: Column) -> Column:
-    """Inner breaks: linear interpolation at even places of the sorted values, rounded half up."""
+    Breaks lie at even places of the sorted values, interpolated linearly and rounded half up.
+    A group holds one value per country code, so the array is short.
+    """
     steps = min(BIN_COUNT, len(PALETTE))
-
-    def one_break(e: Column) -> Column:
-        position = e / F.lit(float(steps)) * (F.size(sorted_values) - 1)
-        low, high = F.floor(position), F.ceil(position)
-        below = _at(sorted_values, low)
-        value = below + (_at(sorted_values, high) - below) * (position - low)
-        return F.floor(value + 0.5)
-
-    return F.transform(F.sequence(F.lit(1), F.lit(steps - 1)), one_break)
-
-
-def _bins(sorted_values: Column) -> Column:
-    """Bins of a sorted array of positive values."""
-    breaks = _breaks(sorted_values)
-    ends = F.array(F.array_min(sorted_values), F.array_max(sorted_values))
-    edges = F.array_sort(F.array_distinct(F.concat(ends, breaks)))
-
-    def one_bin(e: Column, index: Column | None = None) -> Column:
-        shade = F.floor(e / F.greatest(F.size(edges) - 2, F.lit(1)) * len(PALETTE))
-        return F.struct(
-            F.when(e == 0, _at(edges, e)).otherwise(_at(edges, e) + 1).alias("min"),
-            _at(edges, e + 1).alias("max"),
-            F.least(shade, F.lit(len(PALETTE) - 1)).cast("int").alias("shade"),
+    at = "cast(floor(p) as int)"
+    above = "cast(ceil(p) as int)"
+    value = f"get(vs, {at}) + (get(vs, {above}) - get(vs, {at})) * (p - floor(p))"
+    positions = f"transform(sequence(1, {steps - 1}), e -> e / {float(steps)}D * (size(vs) - 1))"
+    return (
+        long_values.groupBy("filter_key", "metric")
+        .agg(F.expr("sort_array(collect_list(if(value > 0, value, null))) as vs"))
+        .selectExpr(
+            "filter_key", "metric", "vs", f"transform({positions}, p -> floor({value} + 0.5D)) as breaks"
         )
-
-    last = F.lit(len(PALETTE) - 1)
-    single = F.array(F.struct(_at(edges, F.lit(0)).alias("min"), _at(edges, F.lit(0)).alias("max"), last.alias("shade")))
-    many = F.filter(F.transform(F.sequence(F.lit(0), F.size(edges) - 2), one_bin), lambda b: b["min"] <= b["max"])
-    plain = F.when(F.size(edges) == 1, single).when(F.size(edges) > 1, many)
-    return F.transform(
-        plain,
-        lambda b: F.struct(
-            b["min"].alias("min"),
-            b["max"].alias("max"),
-            range_label(b["min"], b["max"]).alias("label"),
-            F.get(_literals(PALETTE), b["shade"]).alias("color"),
-            F.get(_literals(PATTERNS), b["shade"]).alias("pattern"),
-        ),
     )
 
 
-NO_BINS = "array<struct<min:bigint,max:bigint,label:string,color:string,pattern:string>>"
-
+def scales(long_values: DataFrame) -> DataFrame:
+    """(filter_key, metric) with the scale's method and bins.
 
-def _positive_values(long_values: DataFrame) -> DataFrame:
-    """Sorted positive values per scale. A group holds one value per country code, so the array is short."""
-    return long_values.groupBy("filter_key", "metric").agg(
-        F.sort_array(F.collect_list(F.when(F.col("value") > 0, F.col("value")))).alias("vs")
+    Edges are the lowest value, the breaks and the highest, each once. A bin starts one above the
+    edge it shares with the bin below; bins left without a value are dropped.
+    """
+    last = len(PALETTE) - 1
+    shade = f"cast(least(floor(e / greatest(size(edges) - 2, 1) * {len(PALETTE)}), {last}) as int)"
+    low = "get(edges, e) + if(e = 0, 0, 1)"
+    many = (
+        f"filter(transform(sequence(0, size(edges) - 2),"
+        f" e -> named_struct('min', {low}, 'max', get(edges, e + 1), 'shade', {shade})), b -> b.min <= b.max)"
     )
-
-
-def scales(long_values: DataFrame) -> DataFrame:
-    """(filter_key, metric) with the scale's method and bins."""
-    grouped = _positive_values(long_values)
-    lowest, highest = F.array_min("vs"), F.array_max("vs")
-    method = (
-        F.when(F.size("vs") == 0, "empty").when(lowest == highest, "single-value").otherwise("quantile")
+    single = f"array(named_struct('min', get(edges, 0), 'max', get(edges, 0), 'shade', {last}))"
+    label = "if(b.min = b.max, format_number(b.min, 0), concat(format_number(b.min, 0), '–', format_number(b.max, 0)))"
+    full = (
+        f"named_struct('min', b.min, 'max', b.max, 'label', {label},"
+        f" 'color', get({text_array(PALETTE)}, b.shade), 'pattern', get({text_array(PATTERNS)}, b.shade))"
+    )
+    return (
+        _with_breaks(long_values)
+        .selectExpr(
+            "filter_key",
+            "metric",
+            "if(size(vs) = 0, array(), array_sort(array_distinct(concat(array(vs[0], vs[size(vs) - 1]), breaks))))"
+            " as edges",
+        )
+        .selectExpr(
+            "filter_key",
+            "metric",
+            "case size(edges) when 0 then 'empty' when 1 then 'single-value' else 'quantile' end as method",
+            f"case size(edges) when 0 then array() when 1 then {single} else {many} end as plain",
+        )
+        .selectExpr("filter_key", "metric", "method", f"transform(plain, b -> {full}) as bins")
     )
-    bins = F.when(F.size("vs") == 0, F.array().cast(NO_BINS)).otherwise(_bins(F.col("vs")).cast(NO_BINS))
-    return grouped.select("filter_key", "metric", method.alias("method"), bins.alias("bins"))
 
 
 def quantile_breaks(long_values: DataFrame) -> DataFrame:
-    """(filter_key, metric, q, break_value): rounded inner breaks of the positive values."""
-    grouped = _positive_values(long_values).where(F.size("vs") > 0)
-    return grouped.select("filter_key", "metric", F.posexplode(_breaks(F.col("vs"))).alias("q", "break_value")).select(
-        "filter_key", "metric", (F.col("q") + 1).alias("q"), "break_value"
+    """(filter_key, metric, q, break_value): the inner breaks of every scale that has values."""
+    return (
+        _with_breaks(long_values)
+        .where("size(vs) > 0")
+        .selectExpr("filter_key", "metric", "posexplode(breaks) as (q, break_value)")
+        .withColumn("q", F.col("q") + 1)
     )
 
 
@@ -127,18 +111,17 @@ def bin_rows(scale_rows: DataFrame) -> DataFrame:
     )
 
 
-def bin_of(value: Column, bins: Column) -> Column:
-    """The bin of a value: the one it lies in, else the first for zero and the last for anything else."""
-    inside = F.get(F.filter(bins, lambda b: (value >= b["min"]) & (value <= b["max"])), F.lit(0))
-    fallback = F.when(value == 0, F.get(bins, F.lit(0))).otherwise(F.get(bins, F.size(bins) - 1))
-    return F.when(value.isNotNull() & (F.size(bins) > 0), F.coalesce(inside, fallback))
+# The bin of a value: the one it lies in, else the first for zero and the last for anything else.
+_BIN_OF = (
+    "if(value is null or size(bins) = 0, null, coalesce(get(filter(bins, b -> value between b.min and b.max), 0),"
+    " get(bins, if(value = 0, 0, size(bins) - 1))))"
+)
 
 
 def country_bins(long_values: DataFrame, scale_rows: DataFrame) -> DataFrame:
     """Each country value with its bin's label, colour and pattern."""
     joined = long_values.join(scale_rows, ["filter_key", "metric"], "left")
-    b = bin_of(F.col("value"), F.col("bins"))
-    return joined.withColumn("bin", b).select(
+    return joined.withColumn("bin", F.expr(_BIN_OF)).select(
         "filter_key",
         "metric",
         "country",

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from provtally.functions.identifiers import digest_of
 from provtally.operators import creators as cr
-from provtally.operators.metrics import STATES, country_rows, coverage_rows, filter_cells, headline_rows
+from provtally.operators.metrics import (
+    STATES,
+    cells_of,
+    channel_counts,
+    country_rows,
+    coverage_rows,
+    filter_channel_counts,
+    headline_rows,
+)
 from provtally.session import new_folder
 from provtally.sources.artifacts import write_artifacts
 from provtally.sources.catalog import Catalog, Dataset, PublishedFilter
@@ -170,6 +178,17 @@ def dataset_breakdown(creators: DataFrame) -> DataFrame:
     )
 
 
+def first_pages(listing: DataFrame, page_size: int) -> DataFrame:
+    """The first page of each country in the default order, without ranking the rest."""
+    counts = cr.page_counts(listing, page_size).where(F.col("sort_order") == cr.BY_VIDEOS)
+    # One row per country.
+    top = cr.first_page(listing, page_size).join(F.broadcast(counts), "country")
+    paged = top.withColumn("page", F.lit(0).cast("long")).withColumn(
+        "next_cursor", F.when(F.col("page_count") > 1, F.lit("1"))
+    )
+    return page_rows(paged, page_size)
+
+
 def shard_frame(
     cells: DataFrame, creators: DataFrame, listing: DataFrame, pages: DataFrame, catalog: Catalog, page_size: int,
     release_id: str,
@@ -245,21 +264,46 @@ def shard_documents(shards: DataFrame, release_id: str) -> DataFrame:
     )
 
 
-def release_documents(inputs: Inputs, settings: ReleaseSettings) -> DataFrame:
-    """(path, kind, body) of every artifact but the manifest and the pointer."""
-    catalog, rid, size = inputs.catalog, settings.release_id, settings.page_size
-    cells = kept(filter_cells(inputs.observations, inputs.resolutions, inputs.channels, catalog), "cells")
-    creators = kept(
-        cr.creator_rows(inputs.observations, inputs.resolutions, inputs.channels, catalog, catalog.default), "creators"
-    )
+@dataclass(frozen=True)
+class Tables:
+    """What all documents are made of, each computed once."""
+
+    cells: DataFrame
+    creators: DataFrame
+    listing: DataFrame
+
+
+def release_tables(inputs: Inputs, settings: ReleaseSettings) -> Tables:
+    """The occurrences are read once: the counts per channel are kept, and the rest follows from them."""
+    catalog, observed = inputs.catalog, (inputs.observations, inputs.resolutions)
+    if catalog.fits_mask:
+        counts = kept(channel_counts(*observed, catalog), "counts")
+        creators = cr.creator_rows_of(counts, inputs.channels, catalog, catalog.default)
+    else:
+        counts = filter_channel_counts(*observed, catalog)
+        creators = cr.creator_rows(*observed, inputs.channels, catalog, catalog.default)
+    cells = kept(cells_of(counts, inputs.channels, catalog), "cells")
+    creators = kept(creators, "creators")
     listing = kept(
         cr.published(creators, inputs.removals, settings.disclosure_threshold, settings.key_salt), "listing"
     )
-    pages = kept(page_rows(cr.paged(listing, size), size), "pages")
-    shards = shard_frame(cells, creators, listing, pages, catalog, size, rid)
+    return Tables(cells, creators, listing)
+
+
+def shard_documents_of(tables: Tables, catalog: Catalog, settings: ReleaseSettings, pages: DataFrame) -> DataFrame:
+    size, rid = settings.page_size, settings.release_id
+    shards = shard_frame(tables.cells, tables.creators, tables.listing, pages, catalog, size, rid)
+    return shard_documents(shards, rid)
+
+
+def release_documents(inputs: Inputs, settings: ReleaseSettings) -> DataFrame:
+    """(path, kind, body) of every artifact but the manifest and the pointer."""
+    catalog, rid, size = inputs.catalog, settings.release_id, settings.page_size
+    tables = release_tables(inputs, settings)
+    pages = kept(page_rows(cr.paged(tables.listing, size), size), "pages")
     return (
-        overview_documents(cells, catalog, rid)
-        .unionByName(shard_documents(shards, rid))
+        overview_documents(tables.cells, catalog, rid)
+        .unionByName(shard_documents_of(tables, catalog, settings, pages))
         .unionByName(page_documents(pages, rid))
     )
 

@@ -387,7 +387,10 @@ def overview_json(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def country_shard(spark: SparkSession, sf: str) -> DataFrame:
-    return _documents(spark, sf).where("kind = 'shard'").select("path", "body")
+    inputs = _release_inputs(spark, sf)
+    tables = rl.release_tables(inputs, SETTINGS)
+    pages = rl.first_pages(tables.listing, fx.PAGE_SIZE)
+    return rl.shard_documents_of(tables, inputs.catalog, SETTINGS, pages).select("path", "body")
 
 
 @query
@@ -400,8 +403,11 @@ def manifest_digests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    inputs = rl.Inputs(*_inputs(spark, sf), fx.removals(spark, sf), fx.catalog())
-    return rl.release_documents(inputs, SETTINGS)
+    return rl.release_documents(_release_inputs(spark, sf), SETTINGS)
+
+
+def _release_inputs(spark: SparkSession, sf: str) -> rl.Inputs:
+    return rl.Inputs(*_inputs(spark, sf), fx.removals(spark, sf), fx.catalog())
 
 
 def _fault(path: str) -> Column:

@@ -10,9 +10,9 @@ VIDEO_ID = r"\A[A-Za-z0-9_-]{11}\z"
 PUBLIC_KEY = r"\Apk_[A-Za-z0-9_-]{8,64}\z"
 RAW_CHANNEL_PREFIX = r"(?i)\Apk_UC"
 DIGEST = r"\Asha256:[a-f0-9]{64}\z"
-NOT_TOKEN = "[^A-Za-z0-9_-]+"
+# A free-standing run of identifier characters: 11 of them, or UC and 22 more.
+LEAKED_TOKEN = r"(?<![\w-])(?:UC[\w-]{22}|[\w-]{11})(?![\w-])"
 VIDEO_TOKEN_LENGTH = 11
-CHANNEL_TOKEN_LENGTH = 24
 
 
 def is_video_id(value: Column) -> Column:
@@ -40,16 +40,8 @@ def short_digest(digest: Column) -> Column:
 
 
 def leaked_tokens(text: Column) -> Column:
-    """Array of raw video or channel identifiers standing free in a text.
-
-    A token is a maximal run of identifier characters, so splitting the whole text on
-    everything else finds exactly the runs that no identifier character touches.
-    """
-    return F.filter(
-        F.split(text, NOT_TOKEN),
-        lambda t: (F.length(t) == VIDEO_TOKEN_LENGTH)
-        | ((F.length(t) == CHANNEL_TOKEN_LENGTH) & t.startswith("UC")),
-    )
+    """Array of raw video or channel identifiers standing free in a text, repeats kept."""
+    return F.regexp_extract_all(text, F.lit(LEAKED_TOKEN), F.lit(0))
 
 
 def leak_scan(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:

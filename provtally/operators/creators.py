@@ -224,7 +224,7 @@ def page_index(counts: DataFrame, release_id: str) -> DataFrame:
 
 def page_fetch(requests: DataFrame, counts: DataFrame, release_id: str) -> DataFrame:
     """Each requested page with its path, or why there is none."""
-    # At most one row per country and sort order.
+    # One row per country code and sort order.
     found = requests.join(F.broadcast(counts), ["country", "sort_order"], "left")
     missing = F.coalesce("page_count", F.lit(0)) == 0
     outside = (F.col("page") < 0) | (F.col("page") >= F.col("page_count"))

@@ -69,7 +69,8 @@ def parse_links(links: DataFrame, catalog: Catalog, countries: DataFrame, url_co
     ``countries`` holds the codes the release has data for (column ``country``); being two-letter
     codes there are few of them. Rejected values fall back to the default of their field.
     """
-    known = countries.select(F.col("country").alias("_known")).distinct()
+    # Two-letter codes only, so never more than MAX_COUNTRY_BUCKETS rows.
+    known = countries.select(F.col("country").alias("_known")).where(F.col("_known").rlike(ALPHA2)).distinct()
     raw = links.selectExpr("*", f"{_pairs(url_col)} as _pairs").selectExpr(
         *links.columns, *[f"{_first(n)} as _{n}" for n in _PARAMETERS]
     )
@@ -214,8 +215,5 @@ def selection_keys(parsed: DataFrame, filters: DataFrame) -> DataFrame:
 
 def missing_countries(resolved: DataFrame, country_rows: DataFrame) -> DataFrame:
     """Selections whose country the resolved filter has no records for: an empty result, not an error."""
-    rows = country_rows.select("filter_key", "country").distinct()
-    # One row per filter and country bucket.
-    return resolved.where(F.col("country").isNotNull()).join(
-        F.broadcast(rows), ["filter_key", "country"], "left_anti"
-    )
+    rows = country_rows.select("filter_key", "country")
+    return resolved.where(F.col("country").isNotNull()).join(rows, ["filter_key", "country"], "left_anti")

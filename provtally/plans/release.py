@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provtally.functions.identifiers import digest_of
 from provtally.operators import creators as cr
 from provtally.operators.metrics import (
+    RESOLVED,
     STATES,
     cells_of,
     channel_counts,
@@ -25,9 +26,10 @@ from provtally.sources.contracts import SCHEMA_VERSION
 
 POINTER_PATH = "active-release.json"
 
-# A manifest lists every artifact in one document, which its readers load whole. Beyond this many
-# entries it would not be one document any reader can load; larger pages are the way to fewer artifacts.
-MAX_MANIFEST_ENTRIES = 5_000_000
+# A manifest lists every artifact in one document, which its readers load whole, and a shard lists its
+# pages likewise. Beyond this many entries that is no document any reader can load (some 80 MB); a
+# release of more artifacts is refused, and larger pages make fewer of them.
+MAX_MANIFEST_ENTRIES = 500_000
 
 
 @dataclass(frozen=True)
@@ -41,6 +43,8 @@ class ReleaseSettings:
     boundary_metadata: dict[str, str]
     methodology_version: str = "1.0.0"
     disclosure_policy_version: str = "1.0.0"
+    # A removal always takes a channel off the listing; with this, its videos also leave the totals.
+    removals_cover_totals: bool = False
 
 
 @dataclass(frozen=True)
@@ -256,6 +260,26 @@ def shard_frame(
     return joined.select("country", document.alias("document"))
 
 
+def store_pages(pages: DataFrame, path: str) -> None:
+    """Keep pages as a table from which one page is read without looking at the others.
+
+    A folder per country and sort order; inside, files hold ranges of pages, so a country with very
+    many pages is written by many tasks and a page number prunes by file statistics.
+    """
+    ordered = pages.repartitionByRange("country", "sort_order", "page").sortWithinPartitions(
+        "country", "sort_order", "page"
+    )
+    ordered.write.partitionBy("country", "sort_order").parquet(path)
+
+
+def stored_page(spark: SparkSession, path: str, country: str, sort_order: str, page: int) -> DataFrame:
+    """The rows of one stored page, in order."""
+    found = spark.read.parquet(path).where(
+        (F.col("country") == country) & (F.col("sort_order") == sort_order) & (F.col("page") == page)
+    )
+    return found.select(F.posexplode("document.rows").alias("position", "row")).select("position", "row.*")
+
+
 def shard_documents(shards: DataFrame, release_id: str) -> DataFrame:
     return shards.select(
         shard_path(release_id, F.col("country")).alias("path"),
@@ -276,6 +300,11 @@ class Tables:
 def release_tables(inputs: Inputs, settings: ReleaseSettings) -> Tables:
     """The occurrences are read once: the counts per channel are kept, and the rest follows from them."""
     catalog, observed = inputs.catalog, (inputs.observations, inputs.resolutions)
+    if settings.removals_cover_totals:
+        resolved = inputs.resolutions.where(F.col("state") == RESOLVED)
+        gone = resolved.join(inputs.removals.select("channel_key"), "channel_key", "left_semi")
+        kept_observations = inputs.observations.join(gone.select("video_id"), "video_id", "left_anti")
+        observed = (kept_observations, inputs.resolutions)
     if catalog.fits_mask:
         counts = kept(channel_counts(*observed, catalog), "counts")
         creators = cr.creator_rows_of(counts, inputs.channels, catalog, catalog.default)
@@ -287,9 +316,21 @@ def release_tables(inputs: Inputs, settings: ReleaseSettings) -> Tables:
     listing = kept(
         cr.published(creators, inputs.removals, settings.disclosure_threshold, settings.key_salt), "listing"
     )
+    _refuse_beyond_manifest(cr.page_counts(listing, settings.page_size))
     return Tables(cells, creators, listing)
 
 
+def _refuse_beyond_manifest(counts: DataFrame) -> None:
+    """Stop before any page is laid out when the manifest could not list them all."""
+    pages = counts.agg(F.coalesce(F.sum("page_count"), F.lit(0))).first()[0]
+    _check_entries(pages)
+
+
+def _check_entries(n: int) -> None:
+    if n > MAX_MANIFEST_ENTRIES:
+        raise ValueError(f"{n} artifacts do not fit one manifest document; use a larger page size")
+
+
 def shard_documents_of(tables: Tables, catalog: Catalog, settings: ReleaseSettings, pages: DataFrame) -> DataFrame:
     size, rid = settings.page_size, settings.release_id
     shards = shard_frame(tables.cells, tables.creators, tables.listing, pages, catalog, size, rid)
@@ -342,9 +383,7 @@ def _filter_literal(f: PublishedFilter) -> Column:
 
 def manifest_document(digests: DataFrame, catalog: Catalog, settings: ReleaseSettings) -> DataFrame:
     """(path, kind, body) of the manifest: every path with its digest, in path order."""
-    n = digests.count()
-    if n > MAX_MANIFEST_ENTRIES:
-        raise ValueError(f"{n} artifacts do not fit one manifest document; use a larger page size")
+    _check_entries(digests.count())
     # The contract's map lives in one document; the count above bounds it.
     listed = digests.groupBy().agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("path", "digest")))).alias("digests")

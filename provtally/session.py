@@ -44,7 +44,7 @@ def work_root(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``. Only when that is unset (tests on one
     machine) is a temporary folder created, once per session.
     """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if named:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(named)

@@ -9,6 +9,7 @@ import pytest
 
 from provtally import fixtures as fx
 from provtally.plans import audit as au
+from provtally.plans import explore as ex
 from provtally.plans import release as rl
 from provtally.queries import SETTINGS
 from provtally.sources import contracts as ct
@@ -230,3 +231,68 @@ def test_too_many_artifacts_are_refused(spark, monkeypatch):
     digests = spark.createDataFrame([("a", "x"), ("b", "y")], "path string, digest string")
     with pytest.raises(ValueError, match="larger page size"):
         rl.manifest_document(digests, fx.catalog(), SETTINGS)
+
+
+def test_exploring_a_release(spark, release):
+    opened = ex.open_release(spark, str(release))
+    assert opened.release_id == fx.RELEASE_ID and len(opened.catalog.filters) == 9
+    overview, exact = opened.overview()
+    assert exact and overview.first()["creatorCount"] == _load(release, f"{BASE}/overview.json")["creatorCount"]
+    narrow, exact = opened.overview(["ds-af"], ["Candidate"])
+    assert exact and narrow.first()["representedVideoCount"] < overview.first()["representedVideoCount"]
+    assert opened.overview(["ds-af", "ds-nf"])[1] is False
+    assert opened.country_rows().count() == len(_load(release, f"{BASE}/overview.json")["countries"])
+    assert opened.shard("US").first()["country"] == "US"
+    assert opened.shard("QQ").count() == 0
+    with pytest.raises(ex.ArtifactError, match="disagrees with the overview"):
+        opened.shard("US", ["ds-af"])
+    page = opened.page("US", "displayNameAsc", 0).first()
+    assert page["totalRows"] == len(page["rows"]) or page["nextCursor"] == "1"
+    with pytest.raises(ex.ArtifactError, match="does not exist; this country has"):
+        opened.page("US", "displayNameAsc", 99)
+    with pytest.raises(ex.ArtifactError, match="publishes no pages for the newest order"):
+        opened.page("US", "newest", 0)
+
+
+def test_exploring_refuses_damaged_documents(spark, release, tmp_path):
+    root = _copy(release, tmp_path)
+    opened = ex.open_release(spark, str(root))
+    _flip(root)
+    with pytest.raises(ex.ArtifactError) as caught:
+        opened.page("US", "displayNameAsc", 0)
+    assert caught.value.kind == "digest-mismatch"
+    (root / rl.POINTER_PATH).write_text("{}")
+    with pytest.raises(ex.ArtifactError) as caught:
+        ex.open_release(spark, str(root))
+    assert caught.value.kind == "pointer-refresh"
+
+
+def test_stored_pages_are_pruned(spark, sf, tmp_path):
+    from provtally.operators import creators as cr
+    from provtally.queries import _listing
+
+    pages = rl.page_rows(cr.paged(_listing(spark, sf), 5), 5)
+    path = str(tmp_path / "pages")
+    rl.store_pages(pages, path)
+    page = rl.stored_page(spark, path, "US", cr.BY_NAME, 0)
+    names = [r["displayName"] for r in page.orderBy("position").collect()]
+    assert names and names == sorted(names)
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(country" in plan and "EqualTo(page,0)" in plan
+
+
+def test_removals_may_cover_the_totals(spark, sf):
+    from dataclasses import replace
+
+    inputs = rl.Inputs(
+        fx.observations(spark, sf), fx.resolutions(spark, sf), fx.channels(spark, sf), fx.removals(spark, sf),
+        fx.catalog(),
+    )
+    default = fx.catalog().default.key
+    plain = rl.release_tables(inputs, SETTINGS)
+    covered = rl.release_tables(inputs, replace(SETTINGS, removals_cover_totals=True))
+    total = {k: t.cells.where(f"filter_key = '{default}'").agg({"creators": "sum"}).first()[0]
+             for k, t in (("plain", plain), ("covered", covered))}
+    removed = plain.creators.join(inputs.removals, "channel_key", "left_semi").count()
+    assert removed > 0 and total["covered"] == total["plain"] - removed
+    assert covered.listing.count() == plain.listing.count()

@@ -42,11 +42,6 @@ def _instant(raw: Column) -> Column:
     return F.when(raw.rlike(r"\A\d{4}-\d{2}-\d{2}(T.*)?\z"), colon.try_cast("timestamp"))
 
 
-def parse_instant(raw: Column) -> Column:
-    """Timestamp of an ISO-8601 date or instant string; null when it is not one."""
-    return _instant(raw)
-
-
 def date_label(raw: Column) -> Column:
     """``Jan 5, 2024`` in UTC; text that is no date stays as it is."""
     return F.coalesce(F.date_format(_instant(raw), "MMM d, yyyy"), raw)

@@ -306,6 +306,26 @@ _BODIES = {
         UNION ALL SELECT filter_key, 1, 'No declared country', unknown_country_channel_count,
             {_share('unknown_country_channel_count', 'creator_count')} FROM head
         UNION ALL SELECT filter_key, 2, 'Resolved channels', creator_count, '100%' FROM head""",
+    "headline_cards": """SELECT filter_key, 0 AS position, 'Creators' AS label,
+            format('{:,}', creator_count) AS value, 'Distinct channels resolved within this filter' AS note FROM head
+        UNION ALL SELECT filter_key, 1, 'Represented videos', format('{:,}', represented_video_count),
+            'Distinct source-video identifiers, counted once each' FROM head
+        UNION ALL SELECT filter_key, 2, 'Source occurrences', format('{:,}', source_occurrence_count),
+            'Retained source records; higher than the video count because sources repeat' FROM head
+        UNION ALL SELECT filter_key, 3, 'Countries represented', format('{:,}', represented_country_count),
+            CASE WHEN unknown_country_channel_count > 0 THEN 'Excludes ' ||
+                format('{:,}', unknown_country_channel_count) || ' channels with no declared country'
+                ELSE 'Channels with no declared country are excluded' END FROM head""",
+    "page_lines": """SELECT country, sort_order, page, 'Showing ' || format('{:,}', count(*)) || ' of ' ||
+            format('{:,}', max(total_rows)) || ' published creators' ||
+            CASE WHEN max(total_rows) > %(size)s THEN ', page ' || (page + 1) || ' of ' ||
+                CAST(ceil(max(total_rows) / %(size)s) AS BIGINT) ELSE '' END AS line
+        FROM ranked GROUP BY country, sort_order, page""" % {"size": fx.PAGE_SIZE},
+    "country_lines": """SELECT country, country_name || ': ' || format('{:,}', creator_count) || ' creators, ' ||
+            format('{:,}', represented_video_count) || ' represented videos, ' ||
+            format('{:,}', (SELECT count(*) FROM pub WHERE pub.country = cs.country)) ||
+            ' published creators listed.' AS line
+        FROM cs JOIN names USING (country) WHERE filter_key = 'all'""",
     "dataset_breakdown": """SELECT country, dataset_id, CAST(sum(v) AS BIGINT) AS represented_video_count FROM crd
         GROUP BY country, dataset_id""",
     "dataset_overlap": """SELECT CAST(d AS INTEGER) AS dataset_count, count(*) AS videos,

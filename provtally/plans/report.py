@@ -101,6 +101,66 @@ def initial_direction(key: str) -> str:
     return "asc" if key == "country" else "desc"
 
 
+def headline_cards(headline: DataFrame) -> DataFrame:
+    """The four headline figures of each filter, with what they count."""
+    unknown = F.col("unknown_country_channel_count")
+    countries_note = F.when(
+        unknown > 0, F.concat(F.lit("Excludes "), count_label(unknown), F.lit(" channels with no declared country"))
+    ).otherwise(F.lit("Channels with no declared country are excluded"))
+    cards = (
+        ("Creators", "creator_count", F.lit("Distinct channels resolved within this filter")),
+        (
+            "Represented videos", "represented_video_count",
+            F.lit("Distinct source-video identifiers, counted once each"),
+        ),
+        (
+            "Source occurrences", "source_occurrence_count",
+            F.lit("Retained source records; higher than the video count because sources repeat"),
+        ),
+        ("Countries represented", "represented_country_count", countries_note),
+    )
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"), F.lit(label).alias("label"), count_label(F.col(column)).alias("value"),
+            note.alias("note"),
+        )
+        for i, (label, column, note) in enumerate(cards)
+    ]
+    return headline.select("filter_key", F.inline(F.array(*rows)))
+
+
+def page_lines(index: DataFrame, counts: DataFrame, page_size: int) -> DataFrame:
+    """The line above each creator page: how many of the country's published creators it shows."""
+    total = F.col("total_rows")
+    # One row per country code and sort order.
+    joined = index.join(
+        F.broadcast(counts.select("country", "sort_order", "total_rows")), ["country", "sort_order"]
+    )
+    shown = F.least(F.lit(page_size).cast("long"), total - F.col("page") * page_size)
+    place = F.when(
+        F.col("page_count") > 1,
+        F.concat(
+            F.lit(", page "), (F.col("page") + 1).cast("string"), F.lit(" of "), F.col("page_count").cast("string")
+        ),
+    ).otherwise(F.lit(""))
+    line = F.concat(
+        F.lit("Showing "), count_label(shown), F.lit(" of "), count_label(total), F.lit(" published creators"), place
+    )
+    return joined.select("country", "sort_order", "page", line.alias("line"))
+
+
+def country_lines(country_rows: DataFrame, listing: DataFrame) -> DataFrame:
+    """The sentence read out when a country is opened. A country may count creators and list none."""
+    listed = listing.groupBy("country").agg(F.count("*").alias("listed"))
+    named = with_display_name(country_rows.join(listed, "country", "left"))
+    line = F.concat(
+        "country_name", F.lit(": "), count_label(F.col("creator_count")), F.lit(" creators, "),
+        count_label(F.col("represented_video_count")), F.lit(" represented videos, "),
+        count_label(F.coalesce("listed", F.lit(0).cast("long"))), F.lit(" published creators listed."),
+    )
+    return named.select("country", line.alias("line"))
+
+
 def dataset_catalog(datasets: DataFrame) -> DataFrame:
     return datasets.select(
         "dataset_id", "display_name", "version", "corpus_class", "source_kind", "occurrence_unit", "source_citation",

@@ -159,6 +159,11 @@ def occurrences_by_unit(spark: SparkSession, sf: str) -> DataFrame:
     return mt.occurrences_by_unit(fx.observations(spark, sf), fx.catalog().datasets_frame(spark))
 
 
+@query
+def headline_cards(spark: SparkSession, sf: str) -> DataFrame:
+    return rp.headline_cards(headline_totals(spark, sf))
+
+
 # ---- sources, identifiers, countries --------------------------------------------------------
 
 
@@ -312,6 +317,17 @@ def page_fetch(spark: SparkSession, sf: str) -> DataFrame:
     return cr.page_fetch(fx.page_requests(spark, sf), counts, fx.RELEASE_ID)
 
 
+@query
+def page_lines(spark: SparkSession, sf: str) -> DataFrame:
+    counts = cr.page_counts(_listing(spark, sf), fx.PAGE_SIZE)
+    return rp.page_lines(cr.page_index(counts, fx.RELEASE_ID), counts, fx.PAGE_SIZE)
+
+
+@query
+def country_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return rp.country_lines(_countries(spark, sf, "all"), _listing(spark, sf))
+
+
 # ---- filters and links ----------------------------------------------------------------------
 
 

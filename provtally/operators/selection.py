@@ -17,6 +17,19 @@ RELEASE = r"\A[A-Za-z0-9:_.-]{1,64}\z"
 DATASET = r"\A[a-z0-9][a-z0-9._-]{0,63}\z"
 CURSOR = r"\A[A-Za-z0-9_-]{1,512}\z"
 VIEWS = ("map", "table")
+REASONS = {
+    "release": "not a valid release identifier",
+    "dataset shape": "not a valid dataset identifier",
+    "dataset": "dataset is not in this release",
+    "class": "unknown corpus class",
+    "country shape": "not an ISO 3166 alpha-2 code",
+    "country": "country has no data in this release",
+    "metric": "unknown metric",
+    "view": "unknown view mode",
+    "sort": "unknown sort order",
+    "cursor shape": "not a valid page cursor",
+    "cursor": "a page cursor requires a country selection",
+}
 DEFAULT_METRIC = "creators"
 DEFAULT_VIEW = "map"
 DEFAULT_SORT = BY_VIDEOS
@@ -56,7 +69,7 @@ def _items(value: str) -> str:
 
 
 def _rejection(field: str, rejected: str, reason: str) -> str:
-    return f"named_struct('field', {quote(field)}, 'rejected', {rejected}, 'reason', {quote(reason)})"
+    return f"named_struct('field', {quote(field)}, 'rejected', {rejected}, 'reason', {quote(REASONS[reason])})"
 
 
 def _if(condition: str, rejection: str) -> str:
@@ -91,25 +104,25 @@ def parse_links(links: DataFrame, catalog: Catalog, countries: DataFrame, url_co
     classes, metrics, views, sorts = (text_list(v) for v in (CORPUS_CLASSES, METRICS, VIEWS, SORT_ORDERS))
     dataset_issue = (
         f"case when not rlike(d, {quote(DATASET)}) then"
-        f" {_rejection('datasets', 'd', 'not a valid dataset identifier')}"
-        f" when not {in_release} then {_rejection('datasets', 'd', 'dataset is not in this release')} end"
+        f" {_rejection('datasets', 'd', 'dataset shape')}"
+        f" when not {in_release} then {_rejection('datasets', 'd', 'dataset')} end"
     )
-    class_issue = _rejection("corpusClasses", "c", "unknown corpus class")
+    class_issue = _rejection("corpusClasses", "c", "class")
     single = [
-        _if("not _code_ok", _rejection("country", "_country", "not an ISO 3166 alpha-2 code")),
+        _if("not _code_ok", _rejection("country", "_country", "country shape")),
         _if(
-            "_code_ok and _known is null", _rejection("country", "_country", "country has no data in this release")
+            "_code_ok and _known is null", _rejection("country", "_country", "country")
         ),
-        _if(f"_metric not in ({metrics})", _rejection("metric", "_metric", "unknown metric")),
-        _if(f"_view not in ({views})", _rejection("view", "_view", "unknown view mode")),
-        _if(f"_sort not in ({sorts})", _rejection("sort", "_sort", "unknown sort order")),
-        _if("not _cursor_ok", _rejection("cursor", "_cursor", "not a valid page cursor")),
+        _if(f"_metric not in ({metrics})", _rejection("metric", "_metric", "metric")),
+        _if(f"_view not in ({views})", _rejection("view", "_view", "view")),
+        _if(f"_sort not in ({sorts})", _rejection("sort", "_sort", "sort")),
+        _if("not _cursor_ok", _rejection("cursor", "_cursor", "cursor shape")),
         _if(
             "_cursor_ok and _place is null",
-            _rejection("cursor", "_cursor", "a page cursor requires a country selection"),
+            _rejection("cursor", "_cursor", "cursor"),
         ),
     ]
-    release_issue = _if("not _release_ok", _rejection("release", "_release", "not a valid release identifier"))
+    release_issue = _if("not _release_ok", _rejection("release", "_release", "release"))
     corrections = (
         f"array_compact(concat(array({release_issue}), transform(_ds, d -> {dataset_issue}),"
         f" transform(filter(_cc, c -> c not in ({classes})), c -> {class_issue}), array({', '.join(single)})))"

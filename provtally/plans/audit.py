@@ -19,6 +19,14 @@ SCHEMA_INVALID = "schema-invalid"
 MIXED_RELEASE = "mixed-release"
 POINTER_REFRESH = "pointer-refresh"
 
+# How faults of identity and of the pointer are worded.
+POINTER_NOT_JSON = "the active release pointer is not JSON"
+POINTER_SCHEMA = "the active release pointer does not match its schema"
+OTHER_MANIFEST = "pointer names release {} but the manifest is {}"
+OTHER_OVERVIEW = "the overview belongs to a different release"
+OTHER_SHARD = "shard reports country "
+OTHER_PAGE = "the creator page does not match the requested country and sort order"
+
 _RESULT = "path string, kind string, status string, detail string"
 _BY_KIND = {"overview": ct.OVERVIEW, "shard": ct.COUNTRY_SHARD, "page": ct.CREATOR_PAGE}
 
@@ -127,7 +135,7 @@ def audit_release(spark: SparkSession, root: str) -> DataFrame:
     if pointer is None:
         return report((POINTER_PATH, "pointer", NOT_FOUND, "absent"))
     if not pointer["is_json"]:
-        return report((POINTER_PATH, "pointer", POINTER_REFRESH, "the active release pointer is not JSON"))
+        return report((POINTER_PATH, "pointer", POINTER_REFRESH, POINTER_NOT_JSON))
     if not pointer["valid"]:
         return report((POINTER_PATH, "pointer", POINTER_REFRESH, pointer["message"]))
     pointer_row = (POINTER_PATH, "pointer", OK, None)
@@ -143,7 +151,7 @@ def audit_release(spark: SparkSession, root: str) -> DataFrame:
     elif not manifest["valid"]:
         fault = (SCHEMA_INVALID, manifest["message"])
     elif manifest["releaseId"] != release_id:
-        fault = (MIXED_RELEASE, f"pointer names release {release_id} but the manifest is {manifest['releaseId']}")
+        fault = (MIXED_RELEASE, OTHER_MANIFEST.format(release_id, manifest["releaseId"]))
     else:
         fault = (OK, None)
     heads = report(pointer_row, (listed_at, "manifest", *fault))
@@ -215,9 +223,7 @@ def _audit_listed(spark: SparkSession, root: str, manifest_at: str, release_id:
     )
     detail = chain(
         "not listed", "absent", "digest mismatch", "not JSON", F.col("message"),
-        "the overview belongs to a different release",
-        F.concat(F.lit("shard reports country "), F.col("country")),
-        "the creator page does not match the requested country and sort order",
+        OTHER_OVERVIEW, F.concat(F.lit(OTHER_SHARD), F.col("country")), OTHER_PAGE,
     )
     return joined.select("path", kind.alias("kind"), status.alias("status"), detail.alias("detail"))
 

@@ -160,9 +160,7 @@ class OpenRelease:
         page = _checked(self.spark, self.root, path, digest, ct.CREATOR_PAGE, _PAGE)
         head = page.select("country", "sortOrder").first()
         if (head["country"], head["sortOrder"]) != (country, sort_order):
-            raise ArtifactError(
-                au.MIXED_RELEASE, path, "the creator page does not match the requested country and sort order"
-            )
+            raise ArtifactError(au.MIXED_RELEASE, path, au.OTHER_PAGE)
         return page
 
 
@@ -182,15 +180,13 @@ def open_release(spark: SparkSession, root: str) -> OpenRelease:
     if pointer is None:
         raise ArtifactError(au.NOT_FOUND, POINTER_PATH, f"artifact not found: {POINTER_PATH}")
     if not pointer["is_json"]:
-        raise ArtifactError(au.POINTER_REFRESH, POINTER_PATH, "the active release pointer is not JSON")
+        raise ArtifactError(au.POINTER_REFRESH, POINTER_PATH, au.POINTER_NOT_JSON)
     if not pointer["valid"]:
-        raise ArtifactError(au.POINTER_REFRESH, POINTER_PATH, "the active release pointer does not match its schema")
+        raise ArtifactError(au.POINTER_REFRESH, POINTER_PATH, au.POINTER_SCHEMA)
     path, release_id = pointer["manifestPath"], pointer["releaseId"]
     head = _checked(spark, root, path, pointer["manifestDigest"], ct.MANIFEST, _MANIFEST).first()
     if head["releaseId"] != release_id:
-        raise ArtifactError(
-            au.MIXED_RELEASE, path, f"pointer names release {release_id} but the manifest is {head['releaseId']}"
-        )
+        raise ArtifactError(au.MIXED_RELEASE, path, au.OTHER_MANIFEST.format(release_id, head["releaseId"]))
     datasets = tuple(
         Dataset(d["datasetId"], d["displayName"], d["version"], d["corpusClass"], d["sourceKind"], d["occurrenceUnit"],
                 d["sourceCitation"], d["snapshotDigest"])

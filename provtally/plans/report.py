@@ -20,6 +20,17 @@ STATE_LABELS = {
     "invalid": ("Invalid identifier", "Did not match the supported identifier grammar."),
     "terminalFailure": ("Could not resolve", "Resolution failed permanently under the retry policy."),
 }
+HEADLINE_CARDS = (
+    ("Creators", "creator_count", "Distinct channels resolved within this filter"),
+    ("Represented videos", "represented_video_count", "Distinct source-video identifiers, counted once each"),
+    (
+        "Source occurrences", "source_occurrence_count",
+        "Retained source records; higher than the video count because sources repeat",
+    ),
+    ("Countries represented", "represented_country_count", "Channels with no declared country are excluded"),
+)
+TOTAL_LABEL, TOTAL_SHARE, TOTAL_NOTE = "Total", "100%", "Every identifier is counted exactly once."
+CHANNEL_LABELS = ("Declared a country", "No declared country", "Resolved channels")
 COMPARISON_NOTE = "Labelled from its own documented provenance and licence terms"
 FALLBACK_NOTE = (
     " These are the full release figures; this release does not publish that exact combination."
@@ -43,10 +54,10 @@ def coverage_shares(coverage: DataFrame) -> DataFrame:
     rows.append(
         F.struct(
             F.lit(len(STATES)).alias("position"),
-            F.lit("Total").alias("state_label"),
+            F.lit(TOTAL_LABEL).alias("state_label"),
             total.alias("videos"),
-            F.lit("100%").alias("share"),
-            F.lit("Every identifier is counted exactly once.").alias("note"),
+            F.lit(TOTAL_SHARE).alias("share"),
+            F.lit(TOTAL_NOTE).alias("note"),
         )
     )
     return coverage.select("filter_key", F.inline(F.array(*rows)))
@@ -63,9 +74,9 @@ def channel_country_split(headline: DataFrame) -> DataFrame:
 
     known, unknown = F.col("known_country_channel_count"), F.col("unknown_country_channel_count")
     rows = F.array(
-        row(0, "Declared a country", known, share_label(known, total)),
-        row(1, "No declared country", unknown, share_label(unknown, total)),
-        row(2, "Resolved channels", total, F.lit("100%")),
+        row(0, CHANNEL_LABELS[0], known, share_label(known, total)),
+        row(1, CHANNEL_LABELS[1], unknown, share_label(unknown, total)),
+        row(2, CHANNEL_LABELS[2], total, F.lit(TOTAL_SHARE)),
     )
     return headline.select("filter_key", F.inline(rows))
 
@@ -104,28 +115,18 @@ def initial_direction(key: str) -> str:
 def headline_cards(headline: DataFrame) -> DataFrame:
     """The four headline figures of each filter, with what they count."""
     unknown = F.col("unknown_country_channel_count")
-    countries_note = F.when(
-        unknown > 0, F.concat(F.lit("Excludes "), count_label(unknown), F.lit(" channels with no declared country"))
-    ).otherwise(F.lit("Channels with no declared country are excluded"))
-    cards = (
-        ("Creators", "creator_count", F.lit("Distinct channels resolved within this filter")),
-        (
-            "Represented videos", "represented_video_count",
-            F.lit("Distinct source-video identifiers, counted once each"),
-        ),
-        (
-            "Source occurrences", "source_occurrence_count",
-            F.lit("Retained source records; higher than the video count because sources repeat"),
-        ),
-        ("Countries represented", "represented_country_count", countries_note),
-    )
-    rows = [
-        F.struct(
-            F.lit(i).alias("position"), F.lit(label).alias("label"), count_label(F.col(column)).alias("value"),
-            note.alias("note"),
+    excluded = F.concat(F.lit("Excludes "), count_label(unknown), F.lit(" channels with no declared country"))
+    rows = []
+    for i, (label, column, note) in enumerate(HEADLINE_CARDS):
+        text = F.lit(note)
+        if column == "represented_country_count":
+            text = F.when(unknown > 0, excluded).otherwise(text)
+        rows.append(
+            F.struct(
+                F.lit(i).alias("position"), F.lit(label).alias("label"), count_label(F.col(column)).alias("value"),
+                text.alias("note"),
+            )
         )
-        for i, (label, column, note) in enumerate(cards)
-    ]
     return headline.select("filter_key", F.inline(F.array(*rows)))
 
 

@@ -34,7 +34,19 @@ _BY_KIND = {"overview": ct.OVERVIEW, "shard": ct.COUNTRY_SHARD, "page": ct.CREAT
 def parsed(content: Column) -> Column:
     """A document's bytes as a variant; null when they are not JSON."""
     text = F.make_valid_utf8(content.cast("string"))
-    return F.try_parse_json(F.regexp_replace(text, "\\A\\x{FEFF}", ""))
+    return parsed_text(F.regexp_replace(text, "\\A\\x{FEFF}", ""))
+
+
+def parsed_text(text: Column) -> Column:
+    """A text as a variant; null unless it is one JSON value and nothing else.
+
+    The parser stops after the first value, so what follows it is caught by wrapping the text:
+    a rest would have to close or continue a list and an object alike.
+    """
+    in_list = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"value":'), text, F.lit("}")))
+    single = F.size(F.try_variant_get(in_list, "$", "array<variant>")) == 1
+    return F.when(single & in_object.isNotNull(), F.try_variant_get(in_list, "$[0]", "variant"))
 
 
 def _first_message(column: str) -> Column:
@@ -239,7 +251,7 @@ def _issues_by_kind() -> Column:
 def document_issues(documents: DataFrame, contract: ct.Record, key: str, body: str = "body") -> DataFrame:
     """(key, path, rule, message): every violation in a table of JSON documents."""
     prepare(documents.sparkSession)
-    checked = documents.select(F.col(key), F.try_parse_json(F.col(body)).alias("v"))
+    checked = documents.select(F.col(key), parsed_text(F.col(body)).alias("v"))
     not_json = F.array(
         F.struct(
             F.lit("").alias("path"), F.lit("not_json").alias("rule"), F.lit("not JSON").alias("message"),

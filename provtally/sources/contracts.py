@@ -166,7 +166,7 @@ def _scalar_issues(contract: object, value: str, path: str) -> list[str] | None:
                 f"{number} < 0", "greater than or equal to 0"
             )
             return [
-                f"if({numeric}, if({number} <> floor({number}), {fraction}, null),"
+                f"if({numeric}, if({number} % 1 <> 0, {fraction}, null),"
                 f" {_wrong_type('number', value, path)})",
                 f"if({numeric} and {low}, {_issue(path, 'too_small', quote(f'Number must be {bound}'))}, null)",
             ]

@@ -207,6 +207,27 @@ def test_issue_messages(spark):
     assert [(r["path"], r["message"]) for r in rows if r["id"] == 2] == [("", "not JSON")]
 
 
+def test_one_json_value_and_nothing_else(spark):
+    from pyspark.sql import functions as F
+
+    good = ['{"a":1,"a":2}', " {} ", '"x"', "[1]", "3"]
+    bad = ["{} x", "{}{}", "{},{}", "{}}", "{}],[{}", '{},"value":{}', "", "{'a':1}", "[1,]", '{"a":01}', "nope"]
+    df = spark.createDataFrame([(t, True) for t in good] + [(t, False) for t in bad], "t string, ok boolean")
+    df = df.withColumn("v", au.parsed_text(F.col("t")))
+    assert df.where(F.col("v").isNotNull() != F.col("ok")).count() == 0
+    assert df.where("t like '%\"a\":2%'").select(F.to_json("v")).first()[0] == '{"a":2}'
+
+
+def test_numbers_of_any_size(spark):
+    partition = {s: 0 for s in ct.PARTITION_STATES}
+    texts = {"1e20": [], "1.0": [], "1.5": ["Expected integer, received float"], "-1": ["Number must be greater than or equal to 0"],
+             "1e400": ["Expected integer, received float"], '"1"': ["Expected number, received string"]}
+    rows = [(n, json.dumps({**partition, "invalid": 0}).replace('"invalid": 0', f'"invalid": {n}')) for n in texts]
+    found = au.document_issues(spark.createDataFrame(rows, "id string, body string"), ct.PARTITION, "id").collect()
+    for n, messages in texts.items():
+        assert [r["message"] for r in found if r["id"] == n] == messages, n
+
+
 def test_artifacts_round_trip(spark, tmp_path):
     docs = spark.createDataFrame([("a/b.json", '{"x":"é"}'), ("c.json", "{}")], "path string, body string")
     assert write_artifacts(docs, str(tmp_path / "r")) == 2

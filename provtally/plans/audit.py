@@ -41,12 +41,12 @@ def parsed_text(text: Column) -> Column:
     """A text as a variant; null unless it is one JSON value and nothing else.
 
     The parser stops after the first value, so what follows it is caught by wrapping the text:
-    a rest would have to close or continue a list and an object alike.
+    a rest would have to close or continue a list and an object alike. The wrapped texts are only
+    scanned, not built up.
     """
-    in_list = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"value":'), text, F.lit("}")))
-    single = F.size(F.try_variant_get(in_list, "$", "array<variant>")) == 1
-    return F.when(single & in_object.isNotNull(), F.try_variant_get(in_list, "$[0]", "variant"))
+    in_list = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = F.json_object_keys(F.concat(F.lit('{"value":'), text, F.lit("}")))
+    return F.when((in_list == 1) & in_object.isNotNull(), F.try_parse_json(text))
 
 
 def _first_message(column: str) -> Column:

@@ -232,7 +232,7 @@ def issues_sql(contract: object, value: str, path: str | None = None) -> str:
                 message = f"concat('Unrecognized key(s) in object: \\'', array_join({unknown}, '\\', \\''), '\\'')"
                 groups, run = [], []
                 for name, part in fields.items():
-                    member, place = f"try_element_at({members}, {quote(name)})", _below(path, quote(name))
+                    member, place = f"try_variant_get({value}, '$.{name}', 'variant')", _below(path, quote(name))
                     scalars = _scalar_issues(part, member, place)
                     if scalars is None:
                         if run:

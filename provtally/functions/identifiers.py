@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from provtally.functions.sql import exploded
+
 # Identifier and digest shapes.
 VIDEO_ID = r"\A[A-Za-z0-9_-]{11}\z"
 PUBLIC_KEY = r"\Apk_[A-Za-z0-9_-]{8,64}\z"
@@ -46,7 +48,7 @@ def leaked_tokens(text: Column) -> Column:
 
 def leak_scan(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per leaked token: its kind, how often it occurs and in how many texts."""
-    tokens = texts.select(F.col(id_col).alias("text_id"), F.explode(leaked_tokens(F.col(text_col))).alias("token"))
+    tokens = exploded(texts, leaked_tokens(F.col(text_col)), "token", F.col(id_col).alias("text_id"))
     kind = F.when(F.length("token") == VIDEO_TOKEN_LENGTH, "video").otherwise("channel")
     # Two steps, so a token found in very many texts is reduced per text before it is grouped alone.
     per_text = tokens.groupBy("token", "text_id").agg(F.count("*").alias("n"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from provtally.functions.countries import ALPHA2, UNKNOWN_COUNTRY
 from provtally.functions.sets import canonical, filter_key, joined
-from provtally.functions.sql import quote, text_array, text_list
+from provtally.functions.sql import exploded, quote, text_array, text_list
 from provtally.operators.creators import BY_VIDEOS, SORT_ORDERS
 from provtally.operators.scale import METRICS
 from provtally.sources.catalog import CORPUS_CLASSES, Catalog
@@ -143,7 +143,7 @@ def parse_links(links: DataFrame, catalog: Catalog, countries: DataFrame, url_co
 
 def correction_counts(parsed: DataFrame) -> DataFrame:
     return (
-        parsed.select(F.explode("corrections").alias("c"))
+        exploded(parsed, F.col("corrections"), "c")
         .groupBy("c.field", "c.rejected", "c.reason")
         .agg(F.count("*").alias("links"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provtally.functions.identifiers import digest_of
+from provtally.functions.sql import exploded
 from provtally.plans.release import POINTER_PATH, overview_path
 from provtally.session import prepare
 from provtally.sources import contracts as ct
@@ -259,7 +260,7 @@ def document_issues(documents: DataFrame, contract: ct.Record, key: str, body: s
         )
     )
     found = F.when(F.col("v").isNull(), not_json).otherwise(ct.issues(contract, "v"))
-    return checked.select(key, F.explode(found).alias("i")).select(key, "i.path", "i.rule", "i.message")
+    return exploded(checked, found, "i", key).select(key, "i.path", "i.rule", "i.message")
 
 
 def reconcile_shards(shards: DataFrame, overview_rows: DataFrame, filter_keys: list[str]) -> DataFrame:

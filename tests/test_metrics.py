@@ -130,6 +130,17 @@ def test_skewed_input_against_brute_force(spark, seed):
     assert got == want
 
 
+def test_as_many_datasets_as_a_mask_has_bits(spark):
+    rnd = random.Random(1)
+    ids = [f"d{i:02d}" for i in range(cat.MAX_MASK_DATASETS)]
+    catalog = _catalog([(d, "Candidate") for d in ids], [("all", ids), ("last", ids[-1:]), ("mid", ids[30:32])])
+    assert catalog.fits_mask
+    rows = [(rnd.choice(ids), f"vid{rnd.randrange(300):08d}") for _ in range(3000)]
+    observed = spark.createDataFrame(rows, "dataset_id string, video_id string")
+    got = {r["filter_key"]: r["represented_video_count"] for r in mt.represented_videos(observed, catalog).collect()}
+    assert got == {f.key: len({v for d, v in rows if d in f.datasets}) for f in catalog.filters}
+
+
 def test_filter_without_occurrences_has_a_zero_row(spark, inputs):
     catalog = _catalog([("ds-af", "Candidate"), ("dz", "Candidate")], [("all", ["ds-af", "dz"]), ("empty", ["dz"])])
     head = {r["filter_key"]: r for r in mt.headline_totals(*inputs, catalog).collect()}

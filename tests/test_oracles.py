@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = entry_point.QUERIES, entry_point.ORACLES
 SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "BOOLEAN": "boolean", "DOUBLE": "double"}
 
 

@@ -21,6 +21,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Like stored, in one bucket of ``key`` per shuffle partition, so that joins on it do not shuffle the table again."""
+    spark = df.sparkSession
+    path = new_folder(spark, label)
+    name = f"{label}_{path.rpartition('-')[2]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.format("parquet").option("path", path).option("compression", "zstd")
+    writer.bucketBy(buckets, key).saveAsTable(name)
+    return spark.table(name)
+
+
 def utf8_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

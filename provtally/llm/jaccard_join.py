@@ -20,12 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provtally.llm.common import components, stored, with_group
+from provtally.llm.common import bucketed, components, stored, with_group
 from provtally.llm.words import Words, buffers, chunks, lists, mix, mixed, signed, unsigned, whole_groups
 
 SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.999
 #: Sets in a node that is compared at once, and side length of a block of a larger one.
-NODE = 192
+NODE = 768
+#: Shingles in such a block.
+NODE_TOKENS = 1_500_000
 #: Expected shared children of a similar pair: at the root, where runs repeat it, and below.
 BRANCH_ROOT, BRANCH_BELOW = 1.0, 4.0
 #: A node whose largest child keeps this share of it is not split further.
@@ -141,7 +143,7 @@ def _overlaps(rows: np.ndarray, tokens: np.ndarray, n: int) -> np.ndarray:
     count = np.diff(np.append(begin, len(tokens)))
     column = np.repeat(np.where(count > 1, np.cumsum(count > 1) - 1, -1), count)
     rows, column = rows[column >= 0], column[column >= 0]
-    out = np.zeros((n, n), dtype=np.float64)
+    out = np.zeros((n, n), dtype=np.float32)
     width = 2048
     for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         part = slice(*np.searchsorted(column, [low, low + width]))
@@ -258,7 +260,7 @@ def near_duplicates(
     schema = "doc_id long, size long, digest string, nodes array<long>"
     rows = stored(source.mapInArrow(_scanner(shingle, threshold, runs, seed), schema), "rows")
     classes = rows.where("size > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("nodes").alias("nodes")
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("size"), F.any_value("nodes").alias("nodes")
     )
     classes = stored(classes, "classes")
     entries = classes.where("rep is not null").select("rep", F.explode(F.array_distinct("nodes")).alias("node"))
@@ -269,12 +271,13 @@ def near_duplicates(
     members = stored(entries.join(stored(nodes, "nodes"), "node").select("node", "rep", "n"), "members")
     wanted = stored(members.select("rep").distinct().join(classes.select("rep", "copies"), "rep"), "wanted")
     texts = source.join(wanted.hint("shuffle_hash"), F.col("doc_id") == F.col("rep")).select("rep", "copies", "text")
-    sets = texts.mapInArrow(_setter(shingle), "rep long, copies long, tokens array<long>").dropDuplicates(["rep"])
-    sets = stored(sets, "sets")
+    texts = texts.groupBy("rep").agg(F.any_value("copies").alias("copies"), F.any_value("text").alias("text"))
+    sets = bucketed(texts.mapInArrow(_setter(shingle), "rep long, copies long, tokens array<long>"), "rep", "sets")
     final = stored(_final_nodes(sets, members, threshold), "final")
     own = final.groupBy("rep").agg(F.collect_set("node").alias("nodes"))
-    parts = F.ceil(F.col("n") / F.lit(NODE)).cast("int")
-    dealt = final.withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("rep", "node"), F.col("parts")).cast("int"))
+    weights = final.join(classes.select("rep", "size"), "rep").groupBy("node").agg(F.sum("size").alias("weight"))
+    parts = F.ceil(F.greatest(F.col("n") / F.lit(NODE), F.col("weight") / F.lit(NODE_TOKENS))).cast("int")
+    dealt = final.join(stored(weights, "weights"), "node").withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("rep", "node"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("node", "rep", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
     shipped = dealt.join(sets.join(own, "rep"), "rep")
@@ -284,7 +287,7 @@ def near_duplicates(
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     grouped = components(found.select(F.col("rep").alias("a"), F.col("label").alias("b")), spark)
     grouped = grouped.select(F.col("node").alias("rep"), "component")
-    named = classes.drop("nodes").join(links, "rep", "left").join(grouped, "rep", "left")
+    named = classes.drop("nodes", "size").join(links, "rep", "left").join(grouped, "rep", "left")
     named = stored(named, "named")
     out = with_group(rows.drop("nodes"), named, "digest", "copies", F.concat(F.lit("row "), F.col("doc_id").cast("string")))
     grown = F.col("size") > 0

@@ -100,8 +100,7 @@ def filter_channel_counts(observations: DataFrame, resolutions: DataFrame, catal
     Exact, but multiplies videos by filters; used beyond the mask limit and to check the mask plan.
     """
     spark = observations.sparkSession
-    # At most MAX_CATALOG_ROWS filters of a bounded catalogue.
-    membership = F.broadcast(catalog.membership_frame(spark))
+    membership = catalog.membership_frame(spark)
     per_dataset = observations.groupBy("video_id", "dataset_id").agg(F.count("*").alias("n"))
     per_video = (
         per_dataset.join(membership, "dataset_id")
@@ -119,10 +118,20 @@ def filter_channel_counts(observations: DataFrame, resolutions: DataFrame, catal
 
 
 def with_country(df: DataFrame, channels: DataFrame) -> DataFrame:
-    """Add the declared country of each row's channel; a channel without metadata declared none."""
-    places = channels.select("channel_key", country_bucket(F.col("country")).alias("country"))
-    return df.join(places, "channel_key", "left").withColumn(
-        "country", F.coalesce("country", F.lit(UNKNOWN_COUNTRY))
+    """Add the declared country of each row's channel; a channel without metadata declared none.
+
+    Rows without a channel match nothing; the second key deals them over all tasks, where a null
+    key alone would send them to one.
+    """
+    places = channels.select(
+        "channel_key", country_bucket(F.col("country")).alias("country"), F.lit(0).cast("long").alias("_deal")
+    )
+    deal = F.when(F.col("channel_key").isNull(), F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("long"))
+    return (
+        df.withColumn("_deal", deal)
+        .join(places, ["channel_key", "_deal"], "left")
+        .drop("_deal")
+        .withColumn("country", F.coalesce("country", F.lit(UNKNOWN_COUNTRY)))
     )
 
 
@@ -130,18 +139,20 @@ def dataset_set_cells(counts: DataFrame, channels: DataFrame, catalog: Catalog)
     """(state, country, mask) of ``channel_counts`` with videos, occurrences per dataset and creators; country only when resolved.
 
     A channel is represented in a filter when any of its videos is, so it is counted once, under
-    the union of its videos' sets. The window sees a channel's few counted rows, not its videos.
+    the union of its videos' sets. The window sees a channel's few counted rows, not its videos;
+    rows without a channel are groups of their own in it.
     """
     ns = _columns(catalog)
     located = with_country(counts, channels)
     of_videos = ", ".join(f"'{c}', {c}" for c in ["mask", "videos", *ns])
     of_channel = ", ".join(f"'{c}', 0L" for c in ["videos", *ns])
+    channel = "channel_key, if(channel_key is null, mask, null)"
     entries = located.selectExpr(
         "state",
         f"if(state = '{RESOLVED}', country, null) as country",
         f"named_struct({of_videos}, 'creators', 0L) as of_videos",
-        f"""if(channel_key is not null and row_number() over (partition by channel_key order by mask) = 1,
-            named_struct('mask', bit_or(mask) over (partition by channel_key), {of_channel}, 'creators', 1L),
+        f"""if(channel_key is not null and row_number() over (partition by {channel} order by mask) = 1,
+            named_struct('mask', bit_or(mask) over (partition by {channel}), {of_channel}, 'creators', 1L),
             null) as of_channel""",
     ).selectExpr("state", "country", "inline(array_compact(array(of_videos, of_channel)))")
     return entries.groupBy("state", "country", "mask").agg(*_sums("sum(videos) as videos", [*ns, "creators"]))
@@ -265,7 +276,7 @@ def represented_videos(observations: DataFrame, catalog: Catalog) -> DataFrame:
         )
         rows = in_filters(sets, catalog)
     else:
-        membership = F.broadcast(catalog.membership_frame(observations.sparkSession))
+        membership = catalog.membership_frame(observations.sparkSession)
         rows = (
             observations.groupBy("video_id", "dataset_id").agg(F.count("*").alias("n"))
             .join(membership, "dataset_id")
@@ -279,7 +290,7 @@ def represented_videos(observations: DataFrame, catalog: Catalog) -> DataFrame:
 
 def source_occurrences(observations: DataFrame, catalog: Catalog) -> DataFrame:
     """Retained rows per filter. Rows do add up, so they are counted per dataset first."""
-    membership = F.broadcast(catalog.membership_frame(observations.sparkSession))
+    membership = catalog.membership_frame(observations.sparkSession)
     per_dataset = observations.groupBy("dataset_id").agg(F.count("*").alias("n"))
     rows = per_dataset.join(membership, "dataset_id").groupBy("filter_key").agg(
         F.sum("n").alias("source_occurrence_count")
@@ -362,7 +373,8 @@ def dataset_pairs(observations: DataFrame, catalog: Catalog) -> DataFrame:
             .groupBy("dataset_a", "dataset_b")
             .agg(F.sum("videos").alias("shared_videos"))
         )
-    rows = observations.groupBy("video_id", "dataset_id").agg(F.lit(1).alias("one")).drop("one")
+    listed = observations.where(F.col("dataset_id").isin(catalog.dataset_ids))
+    rows = listed.groupBy("video_id", "dataset_id").agg(F.lit(1).alias("one")).drop("one")
     left = rows.withColumnRenamed("dataset_id", "dataset_a")
     right = rows.withColumnRenamed("dataset_id", "dataset_b")
     return (

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provtally.functions.identifiers import digest_of
+from provtally.functions.sql import quote
 from provtally.operators import creators as cr
 from provtally.operators.metrics import (
     RESOLVED,
@@ -16,8 +17,10 @@ from provtally.operators.metrics import (
     channel_counts,
     country_rows,
     coverage_rows,
+    effective_state,
     filter_channel_counts,
     headline_rows,
+    with_country,
 )
 from provtally.session import new_folder
 from provtally.sources.artifacts import write_artifacts
@@ -54,6 +57,9 @@ class Inputs:
     channels: DataFrame
     removals: DataFrame
     catalog: Catalog
+    # Channel readings (channel_key, observed_at, observation_id and the columns of channels); when
+    # given, the last one at or before the cutoff stands for each channel instead of ``channels``.
+    readings: DataFrame | None = None
 
 
 def kept(df: DataFrame, label: str) -> DataFrame:
@@ -173,12 +179,35 @@ def page_documents(pages: DataFrame, release_id: str) -> DataFrame:
     return pages.select(path.alias("path"), F.lit("page").alias("kind"), _json(F.col("document")).alias("body"))
 
 
-def dataset_breakdown(creators: DataFrame) -> DataFrame:
-    """(country, dataset_id) with represented videos. A video has one channel, so channels add up."""
+def dataset_breakdown(counts: DataFrame, channels: DataFrame, catalog: Catalog) -> DataFrame:
+    """(country, dataset_id) with represented videos of the default filter, out of ``channel_counts``.
+
+    Counts the videos that the country rows count, so those whose channel has no metadata are here
+    under the same bucket.
+    """
+    members = set(catalog.members(catalog.default))
+    bits = [(i, d) for i, d in enumerate(catalog.dataset_ids) if d in members]
+    entries = ", ".join(
+        f"if((mask & {1 << i}L) <> 0, named_struct('dataset_id', {quote(d)}, 'n', videos), null)" for i, d in bits
+    )
+    located = with_country(counts.where(F.col("state") == RESOLVED), channels)
     return (
-        creators.select("country", F.explode("dataset_breakdown").alias("b"))
-        .groupBy("country", "b.dataset_id")
-        .agg(F.sum("b.represented_video_count").alias("represented_video_count"))
+        located.selectExpr("country", f"inline(array_compact(array({entries})))")
+        .groupBy("country", "dataset_id")
+        .agg(F.sum("n").alias("represented_video_count"))
+    )
+
+
+def dataset_breakdown_of_pairs(
+    observations: DataFrame, resolutions: DataFrame, channels: DataFrame, catalog: Catalog
+) -> DataFrame:
+    """The same for a catalogue without masks, counted per video and dataset."""
+    members = catalog.members(catalog.default)
+    pairs = observations.where(F.col("dataset_id").isin(members)).select("video_id", "dataset_id").distinct()
+    joined = pairs.join(resolutions.select("video_id", "state", "channel_key"), "video_id", "left")
+    resolved = joined.where(effective_state(F.col("video_id"), F.col("state")) == RESOLVED)
+    return with_country(resolved, channels).groupBy("country", "dataset_id").agg(
+        F.count("*").alias("represented_video_count")
     )
 
 
@@ -194,7 +223,7 @@ def first_pages(listing: DataFrame, page_size: int) -> DataFrame:
 
 
 def shard_frame(
-    cells: DataFrame, creators: DataFrame, listing: DataFrame, pages: DataFrame, catalog: Catalog, page_size: int,
+    cells: DataFrame, breakdown: DataFrame, listing: DataFrame, pages: DataFrame, catalog: Catalog, page_size: int,
     release_id: str,
 ) -> DataFrame:
     """(country, document) of one shard per country of the default filter.
@@ -204,7 +233,7 @@ def shard_frame(
     key = catalog.default.key
     countries = country_rows(cells).where(F.col("filter_key") == key).drop("filter_key")
     # One entry per dataset of the catalogue.
-    breakdown = dataset_breakdown(creators).groupBy("country").agg(
+    breakdown = breakdown.groupBy("country").agg(
         F.array_sort(
             F.collect_list(
                 F.struct(
@@ -295,29 +324,42 @@ class Tables:
     cells: DataFrame
     creators: DataFrame
     listing: DataFrame
+    breakdown: DataFrame
 
 
 def release_tables(inputs: Inputs, settings: ReleaseSettings) -> Tables:
     """The occurrences are read once: the counts per channel are kept, and the rest follows from them."""
     catalog, observed = inputs.catalog, (inputs.observations, inputs.resolutions)
-    if settings.removals_cover_totals:
-        resolved = inputs.resolutions.where(F.col("state") == RESOLVED)
-        gone = resolved.join(inputs.removals.select("channel_key"), "channel_key", "left_semi")
-        kept_observations = inputs.observations.join(gone.select("video_id"), "video_id", "left_anti")
-        observed = (kept_observations, inputs.resolutions)
+    channels = inputs.channels
+    if inputs.readings is not None:
+        cutoff = F.lit(settings.enrichment_cutoff).cast("timestamp")
+        channels = kept(cr.metadata_as_of(inputs.readings, cutoff), "channels")
+    removals = inputs.removals if settings.removals_cover_totals else None
     if catalog.fits_mask:
-        counts = kept(channel_counts(*observed, catalog), "counts")
-        creators = cr.creator_rows_of(counts, inputs.channels, catalog, catalog.default)
+        counts = without_channels(kept(channel_counts(*observed, catalog), "counts"), removals)
+        creators = cr.creator_rows_of(counts, channels, catalog, catalog.default)
+        breakdown = dataset_breakdown(counts, channels, catalog)
     else:
-        counts = filter_channel_counts(*observed, catalog)
-        creators = cr.creator_rows(*observed, inputs.channels, catalog, catalog.default)
-    cells = kept(cells_of(counts, inputs.channels, catalog), "cells")
+        counts = without_channels(kept(filter_channel_counts(*observed, catalog), "counts"), removals)
+        creators = without_channels(cr.creator_rows(*observed, channels, catalog, catalog.default), removals)
+        resolutions = without_channels(inputs.resolutions, removals)
+        breakdown = dataset_breakdown_of_pairs(inputs.observations, resolutions, channels, catalog)
+    cells = kept(cells_of(counts, channels, catalog), "cells")
     creators = kept(creators, "creators")
     listing = kept(
         cr.published(creators, inputs.removals, settings.disclosure_threshold, settings.key_salt), "listing"
     )
     _refuse_beyond_manifest(cr.page_counts(listing, settings.page_size))
-    return Tables(cells, creators, listing)
+    return Tables(cells, creators, listing, breakdown)
+
+
+def without_channels(rows: DataFrame, removals: DataFrame | None) -> DataFrame:
+    """Counted rows but those of removed channels; rows without a channel stay and are not joined."""
+    if removals is None:
+        return rows
+    of_channels = rows.where(F.col("channel_key").isNotNull())
+    kept_rows = of_channels.join(removals.select("channel_key"), "channel_key", "left_anti")
+    return kept_rows.unionByName(rows.where(F.col("channel_key").isNull()))
 
 
 def _refuse_beyond_manifest(counts: DataFrame) -> None:
@@ -333,7 +375,7 @@ def _check_entries(n: int) -> None:
 
 def shard_documents_of(tables: Tables, catalog: Catalog, settings: ReleaseSettings, pages: DataFrame) -> DataFrame:
     size, rid = settings.page_size, settings.release_id
-    shards = shard_frame(tables.cells, tables.creators, tables.listing, pages, catalog, size, rid)
+    shards = shard_frame(tables.cells, tables.breakdown, tables.listing, pages, catalog, size, rid)
     return shard_documents(shards, rid)
 
 

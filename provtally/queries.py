@@ -141,7 +141,8 @@ def channel_country_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dataset_breakdown(spark: SparkSession, sf: str) -> DataFrame:
-    return rl.dataset_breakdown(_creators(spark, sf))
+    counts = mt.channel_counts(fx.observations(spark, sf), fx.resolutions(spark, sf), fx.catalog())
+    return rl.dataset_breakdown(counts, fx.channels(spark, sf), fx.catalog())
 
 
 @query

@@ -38,11 +38,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return prepare(spark)
 
 
+def require_local(master: str) -> None:
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only when that is unset (tests on one
-    machine) is a temporary folder created, once per session.
+    A cluster names it in ``spark.checkpoint.dir``. Only when that is unset and the session runs
+    on one machine is a temporary folder created, once per session; other masters are refused, as
+    each executor would write to its own disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if named:
@@ -51,6 +57,7 @@ def work_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     named = spark.conf.get("provtally.work.dir", "")
     if not named:
+        require_local(spark.sparkContext.master)
         named = tempfile.mkdtemp(prefix="provtally-")
         spark.conf.set("provtally.work.dir", named)
     if not spark.sparkContext.getCheckpointDir():

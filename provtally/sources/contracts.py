@@ -306,8 +306,15 @@ def _unique_countries(doc: str, path: str | None) -> str:
 
 
 def _instant(text: str) -> str:
+    """Microseconds since the epoch. The offset is subtracted as minutes, as a timestamp takes none beyond 18 hours."""
     padded = f"regexp_replace({text}, 'T([0-9]{{2}}:[0-9]{{2}})(?=Z|[+-])', 'T$1:00')"
-    return f"try_cast(regexp_replace({padded}, '([+-][0-9]{{2}})([0-9]{{2}})$', '$1:$2') as timestamp)"
+    local = f"regexp_replace({padded}, '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$', 'Z')"
+
+    def part(group: int) -> str:
+        return f"regexp_extract({text}, '([+-])([0-9]{{2}}):?([0-9]{{2}})$', {group})"
+
+    minutes = f"coalesce(try_cast({part(2)} as bigint) * 60 + try_cast({part(3)} as bigint), 0L)"
+    return f"unix_micros(try_cast({local} as timestamp)) - if({part(1)} = '-', -60000000L, 60000000L) * {minutes}"
 
 
 def _cutoff_first(doc: str, path: str | None) -> str:

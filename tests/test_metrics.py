@@ -155,3 +155,21 @@ def test_occurrences_are_read_once(inputs):
     assert plan.count("lineitem.parquet") == 1
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "partial_count" in plan
+
+
+def test_pairs_beyond_a_mask_leave_foreign_datasets_out(spark):
+    ids = [f"d{i:03d}" for i in range(130)]
+    catalog = _catalog([(d, "Candidate") for d in ids], [("all", ids)])
+    assert not catalog.fits_mask
+    rows = [(d, "vid00000001") for d in ("d000", "d129", "foreign1", "foreign2")]
+    observed = spark.createDataFrame(rows, "dataset_id string, video_id string")
+    got = [tuple(r) for r in mt.dataset_pairs(observed, catalog).collect()]
+    assert got == [("d000", "d129", 1)]
+
+
+def test_rows_without_a_channel_are_dealt_over_tasks(spark):
+    rows = spark.range(2000).selectExpr("cast(null as bigint) as channel_key", "id as mask")
+    channels = spark.createDataFrame([(1, "DE")], "channel_key long, country string")
+    located = mt.with_country(rows, channels)
+    assert located.where("country = 'XX'").count() == 2000
+    assert "_deal" not in located.columns

@@ -317,3 +317,81 @@ def test_removals_may_cover_the_totals(spark, sf):
     removed = plain.creators.join(inputs.removals, "channel_key", "left_semi").count()
     assert removed > 0 and total["covered"] == total["plain"] - removed
     assert covered.listing.count() == plain.listing.count()
+
+
+def _states(tables, key):
+    rows = tables.cells.where(f"filter_key = '{key}'").groupBy("state").agg({"videos": "sum"}).collect()
+    return {r[0]: r[1] for r in rows}
+
+
+def test_removals_take_only_resolved_videos_from_the_totals(spark, sf):
+    from dataclasses import replace
+
+    inputs = rl.Inputs(
+        fx.observations(spark, sf), fx.resolutions(spark, sf), fx.channels(spark, sf), fx.removals(spark, sf),
+        fx.catalog(),
+    )
+    key = fx.catalog().default.key
+    plain = rl.release_tables(inputs, SETTINGS)
+    covered = rl.release_tables(inputs, replace(SETTINGS, removals_cover_totals=True))
+    removed = plain.creators.join(inputs.removals, "channel_key", "left_semi")
+    gone = removed.agg({"represented_video_count": "sum"}).first()[0]
+    want = _states(plain, key)
+    want["resolved"] -= gone
+    assert gone > 0 and _states(covered, key) == want
+
+
+def test_breakdown_agrees_with_the_country_rows_where_metadata_is_missing(spark, sf):
+    channels = fx.channels(spark, sf).where("channel_key % 3 <> 0")
+    inputs = rl.Inputs(
+        fx.observations(spark, sf), fx.resolutions(spark, sf), channels, fx.removals(spark, sf), fx.catalog()
+    )
+    tables = rl.release_tables(inputs, SETTINGS)
+    key = fx.catalog().default.key
+    unknown = tables.breakdown.where("country = 'XX'").agg({"represented_video_count": "max"}).first()[0]
+    total = tables.cells.where(f"filter_key = '{key}' and country = 'XX'").agg({"videos": "sum"}).first()[0]
+    assert 0 < unknown <= total
+    pairs = rl.dataset_breakdown_of_pairs(inputs.observations, inputs.resolutions, channels, inputs.catalog)
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, tables.breakdown.collect()))
+
+
+def test_readings_after_the_cutoff_stay_out_of_the_release(spark, sf):
+    channels = fx.channels(spark, sf)
+    old = channels.selectExpr("channel_key", "timestamp'2020-01-01' as observed_at", "1L as observation_id",
+                              "display_name", "country", "last_observed_at")
+    late = old.selectExpr("channel_key", "timestamp'2999-01-01' as observed_at", "2L as observation_id",
+                          "display_name", "'ZZ' as country", "last_observed_at")
+    inputs = rl.Inputs(
+        fx.observations(spark, sf), fx.resolutions(spark, sf), channels, fx.removals(spark, sf), fx.catalog()
+    )
+    from dataclasses import replace
+
+    read = rl.release_tables(replace(inputs, readings=old.unionByName(late)), SETTINGS)
+    plain = rl.release_tables(inputs, SETTINGS)
+    assert sorted(map(tuple, read.cells.collect()), key=repr) == sorted(map(tuple, plain.cells.collect()), key=repr)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from provtally.session import require_local
+
+    require_local("local[4]")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            require_local(master)
+
+
+@pytest.mark.parametrize(
+    ("cutoff", "generated", "late"),
+    [
+        ("2025-01-01T00:00:00+19:00", "2024-01-01T00:00:00Z", True),
+        ("2024-01-01T00:00:00-23:59", "2024-01-01T23:59:00Z", False),
+        ("2024-01-01T00:00:01-23:59", "2024-01-01T23:59:00Z", True),
+        ("2024-01-02T00:00:00+23:59", "2024-01-01T00:01:00Z", False),
+        ("2024-01-01T00:00:00.5Z", "2024-01-01T00:00:00Z", True),
+    ],
+)
+def test_offsets_are_subtracted_as_minutes(spark, cutoff, generated, late):
+    from provtally.sources.contracts import _instant
+
+    table = spark.createDataFrame([(cutoff, generated)], "c string, g string")
+    assert table.selectExpr(f"{_instant('c')} > {_instant('g')} as late").first()[0] is late

@@ -136,9 +136,13 @@ def hot_spans(texts: DataFrame, window: int, k: int, hot_places: int) -> DataFra
                 )
 
     some = texts.where(F.exists("found", lambda x: x["n"] > hot_places))
-    windows = stored(some.mapInArrow(emit, "w1 long, w2 long, doc_id long, sha string, begin int"), "windows")
-    least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    later = windows.join(stored(least, "least"), ["w1", "w2"]).where("doc_id > lo")
+    windows = some.mapInArrow(emit, "w1 long, w2 long, doc_id long, sha string, begin int")
+    windows = stored(windows.select(F.concat_ws(":", "w1", "w2").alias("seq"), "doc_id", "sha", "begin"), "windows")
+    least = windows.groupBy("seq").agg(
+        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("places")
+    )
+    least = stored(least.where("lo < hi").drop("hi"), "least")
+    later = with_group(windows, least, "seq", "places", F.concat_ws(" ", "doc_id", "begin")).where("doc_id > lo")
     return later.select("doc_id", "sha", "begin", (F.col("begin") + window).alias("stop"))
 
 

@@ -50,7 +50,7 @@ MEANS = np.array([FREE, BOUND, FREE, FREE, FREE, BOUND, PENDING, PENDING_R, PEND
 _BLOCK = 64
 CHUNK_CHARS = 1 << 18
 NO_RANK = 1 << 60
-CACHE_ENTRIES, CACHE_LENGTH = 300_000, 64
+CACHE_ENTRIES, CACHE_LENGTH = 200_000, 64
 
 
 @lru_cache(maxsize=1)

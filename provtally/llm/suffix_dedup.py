@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from provtally.llm import repeats
-from provtally.llm.words import Words, buffers, mix, mixed, signed, whole_groups
+from provtally.llm.words import Words, buffers, chunks, mix, mixed, signed, whole_groups
 
 WINDOW, K = 50, 20
 _SUFFIX = "mini long, doc_id long, sha string, place int, before binary, after binary"
@@ -55,13 +55,16 @@ def _retainer(window: int, k: int, hot_places: int) -> Callable:
 def _matrix(column: pa.Array, width: int, backwards: bool) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of each row, padded on the right by zero, and the numbers of words."""
     raw, at = buffers(column)
-    words = Words(raw, at, 0, len(at) - 1)
-    out = np.zeros((len(words.count), width), dtype=np.uint64)
-    place = np.arange(len(words.row)) - words.first[words.row]
-    if backwards:
-        place = words.count[words.row] - 1 - place
-    out[words.row, place] = words.hash
-    return out, words.count
+    out = np.zeros((len(at) - 1, width), dtype=np.uint64)
+    count = np.zeros(len(at) - 1, dtype=np.int64)
+    for first, last in chunks(at):
+        words = Words(raw, at, first, last)
+        place = np.arange(len(words.row)) - words.first[words.row]
+        if backwards:
+            place = words.count[words.row] - 1 - place
+        out[first + words.row, place] = words.hash
+        count[first:last] = words.count
+    return out, count
 
 
 def _matcher(window: int, k: int) -> Callable:

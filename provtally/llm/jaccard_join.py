@@ -83,7 +83,7 @@ def _scanner(n: int, threshold: float, runs: int, seed: int) -> Callable:
                         batch.column(0).slice(first, last - first),
                         pa.array(size.astype(np.int64)),
                         pa.array([f"{a:016x}{b:016x}" for a, b in zip(one.tolist(), two.tolist(), strict=True)]),
-                        lists(signed(node[order]), np.bincount(owner, minlength=last - first)),
+                        lists(pa.array(signed(node[order])), np.bincount(owner, minlength=last - first)),
                     ],
                     names=["doc_id", "size", "digest", "nodes"],
                 )
@@ -101,7 +101,7 @@ def _setter(n: int) -> Callable:
                     [
                         batch.column("rep").slice(first, last - first),
                         batch.column("copies").slice(first, last - first),
-                        lists(signed(value), np.bincount(row, minlength=last - first)),
+                        lists(pa.array(signed(value)), np.bincount(row, minlength=last - first)),
                     ],
                     names=["rep", "copies", "tokens"],
                 )

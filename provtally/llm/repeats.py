@@ -23,6 +23,7 @@ from provtally.llm.words import _WORDS, Words, _Powers, _sums, buffers, chunks,
 #: Minimisers of more places than this are hot: their windows are counted by a partial aggregate.
 HOT_PLACES = 2000
 _SECOND = _Powers(0xA0761D6478BD642F)
+_ROWS = "doc_id long, sha string, n_words long, minis array<struct<mini:long,n:long>>"
 SPANS = "doc_id long, sha string, begin int, stop int"
 
 
@@ -51,19 +52,25 @@ def _scanner(window: int, k: int) -> Callable:
             raw, at = buffers(batch.column(1))
             for first, last in chunks(at):
                 words = Words(raw, at, first, last)
-                start, _, value = minimisers(words, window, k)
-                row = words.row[start] if len(start) else start
+                start, place, value = minimisers(words, window, k)
+                # Windows that share a place follow each other.
+                own = np.ones(len(start), dtype=bool)
+                own[1:] = place[1:] != place[:-1]
+                row, value = words.row[start[own]], value[own]
                 order = np.lexsort((value, row))
                 row, value = row[order], value[order]
                 new = np.ones(len(row), dtype=bool)
                 new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
+                at_new = np.flatnonzero(new)
+                n = np.diff(np.append(at_new, len(row)))
+                minis = pa.StructArray.from_arrays([pa.array(signed(value[new])), pa.array(n.astype(np.int64))], names=["mini", "n"])
                 counts = np.bincount(row[new], minlength=last - first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
                         pa.array(digests(words), pa.string()),
                         pa.array(words.count.astype(np.int64)),
-                        lists(signed(value[new]), counts),
+                        lists(minis, counts),
                     ],
                     names=["doc_id", "sha", "n_words", "minis"],
                 )
@@ -72,17 +79,22 @@ def _scanner(window: int, k: int) -> Callable:
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, window: int, k: int, hot_places: int) -> Candidates:
-    """Which texts share a minimiser with a different text. Equal word sequences count as one text."""
+    """Which texts share a minimiser with a different text. Equal word sequences count as one text.
+
+    A minimiser's places are counted within texts too, so a line that one text repeats is as hot as
+    one that many texts have.
+    """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = stored(source.mapInArrow(_scanner(window, k), "doc_id long, sha string, n_words long, minis array<long>"), "rows")
+    rows = stored(source.mapInArrow(_scanner(window, k), _ROWS), "rows")
     long_rows = rows.where(F.col("n_words") >= window)
     classes = long_rows.groupBy("sha").agg(
         F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_rows"), F.any_value("minis").alias("minis")
     )
     classes = stored(classes, "classes")
-    places = classes.where("first is not null").select("first", F.explode("minis").alias("mini"))
-    repeated = stored(places.groupBy("mini").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "minis")
-    found = places.join(repeated, "mini").groupBy("first").agg(F.collect_list(F.struct("mini", "n")).alias("found"))
+    places = classes.where("first is not null").select("first", F.inline("minis"))
+    counts = places.groupBy("mini").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n"))
+    repeated = stored(counts.where("texts > 1").drop("texts"), "minis")
+    found = places.drop("n").join(repeated, "mini").groupBy("first").agg(F.collect_list(F.struct("mini", "n")).alias("found"))
     texts = source.join(found.hint("shuffle_hash"), F.col("doc_id") == F.col("first")).select("doc_id", "text", "found")
     hot = not repeated.where(F.col("n") > hot_places).isEmpty()
     return Candidates(rows.drop("minis"), classes.drop("minis"), stored(texts, "texts"), hot, hot_places)

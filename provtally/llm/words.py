@@ -165,11 +165,11 @@ def unsigned(x: np.ndarray) -> np.ndarray:
     return x.astype(np.int64, copy=False).view(np.uint64)
 
 
-def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+def lists(values: pa.Array, counts: np.ndarray) -> pa.Array:
     """A list column of so many values in each row."""
     offsets = np.zeros(len(counts) + 1, dtype=np.int32)
     np.cumsum(counts, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[pa.Table]:

@@ -18,6 +18,7 @@ from provtally.llm import (
     language_id,
     mixing,
     quality_rules,
+    repeats,
     sharding,
     substring_dedup,
     suffix_dedup,
@@ -167,6 +168,18 @@ def _links(rows):
     return sorted(((i, least.get(root(a)), links[a], len(s)) for a, (i, s) in enumerate(sets)), key=repr)
 
 
+@pytest.mark.parametrize("find", [substring_dedup.substring_dedup, suffix_dedup.suffix_dedup])
+def test_a_line_that_two_texts_repeat_is_hot(find, spark):
+    line = "this very line comes again and again in one text "
+    rows = [(1, line * 60 + "then ends"), (2, "it begins " + line * 50), (3, line * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert repeats.candidates(docs, "doc_id", "text", 50, 12, hot_places=20).hot
+    assert not repeats.candidates(docs, "doc_id", "text", 50, 12, hot_places=1000).hot
+    for hot_places in (20, 1000):
+        got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in find(docs, hot_places=hot_places).collect()}
+        assert got == {1: (602, 0), 2: (502, 500), 3: (40, 0)}
+
+
 @pytest.mark.parametrize("node", [768, 3])
 def test_near_duplicates_equal_brute_force(node, docs, rows, empty, monkeypatch):
     monkeypatch.setattr(jaccard_join, "NODE", node)

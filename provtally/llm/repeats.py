@@ -129,33 +129,53 @@ def _pair(row: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 
 def hot_spans(texts: DataFrame, window: int, k: int, hot_places: int) -> DataFrame:
-    """Repeated windows of hot minimisers: least id per window by a map-side aggregate, then joined back."""
+    """Repeated windows of hot minimisers: least id per window by a map-side aggregate, then joined back.
+
+    Equal windows of one text travel as one row with the spans they cover there, so a text that
+    repeats one line is as many rows as the line has words.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words, first, start, _, _ in selected(batch, window, k, hot_places, hot=True):
-                sha, row = digests(words), words.row[start]
-                ids = batch.column("doc_id").slice(first, len(words.count))
+                if not len(start):
+                    continue
+                one = _sums(words.hash, start, start + window, _WORDS)
+                two = _sums(words.hash, start, start + window, _SECOND)
+                order = np.lexsort((start, two, one, words.row[start]))
+                start, one, two = start[order], one[order], two[order]
+                row = words.row[start]
+                group, span = np.ones(len(start), dtype=bool), np.ones(len(start), dtype=bool)
+                group[1:] = (row[1:] != row[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+                span[1:] = group[1:] | (start[1:] - start[:-1] > window)
+                at, to = np.flatnonzero(group), np.flatnonzero(span)
+                base = words.first[row]
+                begin = (start - base)[to]
+                stop = (start - base)[np.append(to[1:], len(start)) - 1] + window
+                covered = pa.StructArray.from_arrays(
+                    [pa.array(begin.astype(np.int32)), pa.array(stop.astype(np.int32))], names=["begin", "stop"]
+                )
+                owner = pa.array(row[at])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(signed(_sums(words.hash, start, start + window, _WORDS))),
-                        pa.array(signed(_sums(words.hash, start, start + window, _SECOND))),
-                        ids.take(pa.array(row)),
-                        pa.array(sha, pa.string()).take(pa.array(row)),
-                        pa.array((start - words.first[row]).astype(np.int32)),
+                        pa.array(signed(one[at])),
+                        pa.array(signed(two[at])),
+                        batch.column("doc_id").slice(first, len(words.count)).take(owner),
+                        pa.array(digests(words), pa.string()).take(owner),
+                        lists(covered, np.add.reduceat(span.astype(np.int64), at)),
                     ],
-                    names=["w1", "w2", "doc_id", "sha", "begin"],
+                    names=["w1", "w2", "doc_id", "sha", "spans"],
                 )
 
     some = texts.where(F.exists("found", lambda x: x["n"] > hot_places))
-    windows = some.mapInArrow(emit, "w1 long, w2 long, doc_id long, sha string, begin int")
-    windows = stored(windows.select(F.concat_ws(":", "w1", "w2").alias("seq"), "doc_id", "sha", "begin"), "windows")
+    windows = some.mapInArrow(emit, "w1 long, w2 long, doc_id long, sha string, spans array<struct<begin:int,stop:int>>")
+    windows = stored(windows.select(F.concat_ws(":", "w1", "w2").alias("seq"), "doc_id", "sha", "spans"), "windows")
     least = windows.groupBy("seq").agg(
         F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("places")
     )
     least = stored(least.where("lo < hi").drop("hi"), "least")
-    later = with_group(windows, least, "seq", "places", F.concat_ws(" ", "doc_id", "begin")).where("doc_id > lo")
-    return later.select("doc_id", "sha", "begin", (F.col("begin") + window).alias("stop"))
+    later = with_group(windows, least, "seq", "places", F.concat_ws(" ", "doc_id", "seq")).where("doc_id > lo")
+    return later.select("doc_id", "sha", F.inline("spans"))
 
 
 def _remover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

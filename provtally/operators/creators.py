@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from provtally.functions.countries import country_bucket
 from provtally.functions.identifiers import public_channel_key
 from provtally.functions.labels import date_label
-from provtally.functions.sql import quote
-from provtally.operators.metrics import RESOLVED, channel_counts, effective_state
+from provtally.functions.sql import text_array
+from provtally.operators.metrics import channel_counts, one_per_channel
 from provtally.session import work_root
 from provtally.sources.catalog import Catalog, PublishedFilter
 
@@ -28,35 +28,38 @@ def creator_rows(
     observations: DataFrame, resolutions: DataFrame, channels: DataFrame, catalog: Catalog, flt: PublishedFilter
 ) -> DataFrame:
     """One row per channel of the filter, with its videos per dataset."""
-    if catalog.fits_mask:
-        return creator_rows_of(channel_counts(observations, resolutions, catalog), channels, catalog, flt)
-    return _with_metadata(_from_pairs(observations, resolutions, sorted(catalog.members(flt))), channels)
+    return creator_rows_of(channel_counts(observations, resolutions, catalog), channels, catalog, flt)
 
 
 def creator_rows_of(counts: DataFrame, channels: DataFrame, catalog: Catalog, flt: PublishedFilter) -> DataFrame:
     """The same out of ``channel_counts``."""
-    members = sorted(catalog.members(flt))
-    bits = {d: f"(mask & {1 << i}L) <> 0" for i, d in enumerate(catalog.dataset_ids)}
-    per_dataset = [f"sum(if({bits[d]}, videos, 0L)) as v{i}" for i, d in enumerate(members)]
-    entries = ", ".join(
-        f"named_struct('dataset_id', {quote(d)}, 'represented_video_count', v{i})" for i, d in enumerate(members)
-    )
+    members = text_array(sorted(catalog.members(flt)))
     per_channel = (
-        counts.where(f"state = '{RESOLVED}' and channel_key is not null and (mask & {catalog.mask(flt)}L) <> 0")
+        counts.where("channel_key is not null and videos > 0")
+        .selectExpr("channel_key", "videos", f"array_intersect(datasets, {members}) as kept")
+        .where("size(kept) > 0")
+        # The entry without a dataset counts the channel's videos once each.
+        .selectExpr("channel_key", "videos", "explode_outer(array_append(kept, null)) as dataset_id")
+        .groupBy("channel_key", "dataset_id")
+        .agg(F.sum("videos").alias("represented_video_count"))
         .groupBy("channel_key")
-        .agg(*[F.expr(e) for e in ["sum(videos) as represented_video_count", *per_dataset]])
-        .selectExpr(
-            "channel_key",
-            "represented_video_count",
-            f"filter(array({entries}), b -> b.represented_video_count > 0) as dataset_breakdown",
+        # At most one entry per dataset of the catalogue.
+        .agg(
+            F.expr("max(if(dataset_id is null, represented_video_count, null)) as total"),
+            F.expr(
+                "array_sort(collect_list(if(dataset_id is null, null,"
+                " named_struct('dataset_id', dataset_id, 'represented_video_count', represented_video_count))))"
+                " as dataset_breakdown"
+            ),
         )
+        .withColumnRenamed("total", "represented_video_count")
     )
     return _with_metadata(per_channel, channels)
 
 
 def _with_metadata(per_channel: DataFrame, channels: DataFrame) -> DataFrame:
     """A channel without metadata has no name to list, so it is counted in totals only."""
-    meta = channels.select(
+    meta = one_per_channel(channels).select(
         "channel_key", "display_name", country_bucket(F.col("country")).alias("country"), "last_observed_at"
     )
     return per_channel.join(meta, "channel_key").select(
@@ -64,30 +67,6 @@ def _with_metadata(per_channel: DataFrame, channels: DataFrame) -> DataFrame:
     )
 
 
-def _from_pairs(observations, resolutions, members) -> DataFrame:
-    """Without masks: count (channel, dataset) pairs and distinct videos apart, then join per channel."""
-    pairs = observations.where(F.col("dataset_id").isin(members)).groupBy("video_id", "dataset_id").agg(
-        F.lit(1).alias("one")
-    )
-    resolved = (
-        pairs.join(resolutions.select("video_id", "state", "channel_key"), "video_id")
-        .where(effective_state(F.col("video_id"), F.col("state")) == RESOLVED)
-        .where(F.col("channel_key").isNotNull())
-    )
-    by_dataset = resolved.groupBy("channel_key", "dataset_id").agg(F.count("*").alias("represented_video_count"))
-    # At most one entry per dataset of the catalogue.
-    breakdown = by_dataset.groupBy("channel_key").agg(
-        F.array_sort(F.collect_list(F.struct("dataset_id", "represented_video_count"))).alias("dataset_breakdown")
-    )
-    totals = (
-        resolved.groupBy("channel_key", "video_id")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("channel_key")
-        .agg(F.count("*").alias("represented_video_count"))
-    )
-    return totals.join(breakdown, "channel_key")
-
-
 def breakdown_label(breakdown: Column) -> Column:
     """``dataset (n), dataset (n)`` in array order."""
     return F.array_join(

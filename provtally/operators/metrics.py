@@ -2,30 +2,29 @@
 
 Filters overlap, so their distinct counts cannot be added up from parts. Joining every
 occurrence to every filter would multiply the largest table. Instead each video is reduced
-once to the set of datasets it occurs in (one bit per dataset) and videos with the same set
-are counted together; filters are applied to those few counts:
+once to the sorted list of datasets it occurs in (its dataset set) and videos with the same
+set are counted together; filters are matched against those counts:
 
-1. occurrences -> one row per video. The only shuffle of the occurrence table, after a
-   map-side combine, so a video holding a third of all rows costs its tasks one row each.
+1. occurrences -> one row per video and dataset -> one row per video. Counted map-side before
+   each shuffle, so a video holding a third of all rows costs its tasks one row per dataset.
 2. join with the resolutions, one row per video on both sides.
 3. count by (state, channel, dataset set), again combined map-side, before channel metadata
    is joined: a channel with a third of all videos is then a handful of rows.
 4. filters are matched against the dataset sets of the counted rows.
 
-A video has one dataset set, so sums over sets are exact distinct counts. Catalogues with
-more datasets than a long has bits take ``filter_channel_counts`` instead.
+A video has one dataset set, so sums over sets are exact distinct counts. Occurrences do add
+up, so they are counted under the set of their one dataset, beside the videos. Nothing in this
+depends on how many datasets or filters a catalogue has.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from provtally.functions.countries import UNKNOWN_COUNTRY, country_bucket
 from provtally.functions.identifiers import is_video_id
-from provtally.functions.sql import quote, text_list
+from provtally.functions.sql import text_list
 from provtally.sources.catalog import Catalog
 
 # The resolution states, in published order.
@@ -35,95 +34,102 @@ PENDING = "retryableOrPending"
 INVALID = "invalid"
 
 
-def _columns(catalog: Catalog) -> list[str]:
-    """Names of the per-dataset occurrence counts, in catalogue order."""
-    return [f"n{i}" for i in range(len(catalog.datasets))]
-
-
-def _total(terms: Iterable[str]) -> str:
-    return " + ".join(["0L", *terms])
-
-
 def effective_state(video_id: Column, state: Column) -> Column:
-    """A malformed identifier is invalid whatever was recorded; one without a record is pending."""
-    return F.when(~is_video_id(video_id), F.lit(INVALID)).otherwise(F.coalesce(state, F.lit(PENDING)))
+    """A malformed identifier is invalid whatever was recorded; one without a known state is pending."""
+    known = F.when(state.isin(*STATES), state)
+    return F.when(~is_video_id(video_id), F.lit(INVALID)).otherwise(F.coalesce(known, F.lit(PENDING)))
 
 
-def video_profile(observations: DataFrame, catalog: Catalog) -> DataFrame:
-    """One row per video: occurrences per dataset (``n0``, ``n1``, ...) and its dataset set (``mask``)."""
-    ns = _columns(catalog)
-    counts = [F.expr(f"count_if(dataset_id = {quote(d)}) as {n}") for n, d in zip(ns, catalog.dataset_ids, strict=True)]
-    mask = _total(f"if({n} > 0, {1 << i}L, 0L)" for i, n in enumerate(ns))
-    return (
-        observations.where(f"dataset_id in ({text_list(catalog.dataset_ids)})")
-        .groupBy("video_id")
-        .agg(*counts)
-        .selectExpr("video_id", *ns, f"{mask} as mask")
+def one_per_video(resolutions: DataFrame) -> DataFrame:
+    """(video_id, state, channel_key): of several records of a video the first state in published
+    order stays, then a record with a channel before one without, then the least channel."""
+    rank = F.coalesce(
+        F.array_position(F.array(*[F.lit(s) for s in STATES]), F.col("state")).cast("int"), F.lit(0)
+    )
+    order = F.struct(
+        F.when(rank == 0, len(STATES) + 1).otherwise(rank).alias("rank"),
+        F.col("channel_key").isNull().alias("without"),
+        F.col("channel_key").alias("channel_key"),
+        F.col("state").alias("state"),
+    )
+    return resolutions.groupBy("video_id").agg(F.min(order).alias("_first")).select(
+        "video_id", "_first.state", "_first.channel_key"
     )
 
 
-def channel_counts(observations: DataFrame, resolutions: DataFrame, catalog: Catalog) -> DataFrame:
-    """(state, channel_key, mask) with videos and occurrences per dataset; channel only when resolved."""
-    profile = video_profile(observations, catalog)
-    state = effective_state(F.col("video_id"), F.col("state"))
-    resolved = profile.join(resolutions.select("video_id", "state", "channel_key"), "video_id", "left").withColumn(
-        "state", state
-    )
-    ns = _columns(catalog)
+def one_per_channel(channels: DataFrame) -> DataFrame:
+    """Channel metadata with one row per key: the latest reading, of ties the greater values."""
+    values = [c for c in ("last_observed_at", "display_name", "country") if c in channels.columns]
     return (
-        resolved.withColumn("channel_key", F.when(F.col("state") == RESOLVED, F.col("channel_key")))
-        .groupBy("state", "channel_key", "mask")
-        .agg(*_sums("count(*) as videos", ns))
+        channels.where(F.col("channel_key").isNotNull())
+        .groupBy("channel_key")
+        .agg(F.max(F.struct(*values)).alias("_latest"))
+        .select("channel_key", "_latest.*")
     )
 
 
-def _sums(first: str, columns: Iterable[str]) -> list[Column]:
-    return [F.expr(first), *[F.expr(f"sum({c}) as {c}") for c in columns]]
+def video_sets(observations: DataFrame, catalog: Catalog) -> DataFrame:
+    """One row per video: its ``members``, each a dataset with its occurrences, sorted by dataset."""
+    return (
+        observations.where(f"dataset_id in ({text_list(catalog.dataset_ids)})")
+        .groupBy("video_id", "dataset_id")
+        .agg(F.count("*").alias("n"))
+        .groupBy("video_id")
+        # At most one entry per dataset of the catalogue.
+        .agg(F.array_sort(F.collect_list(F.struct("dataset_id", "n"))).alias("members"))
+    )
 
 
-def in_filters(df: DataFrame, catalog: Catalog) -> DataFrame:
-    """Each counted row once per filter its dataset set touches, with the occurrences that filter keeps."""
-    ns = _columns(catalog)
-    choices = ", ".join(
-        f"named_struct('key', {quote(f.key)}, 'mask', {catalog.mask(f)}L)" for f in catalog.filters
-    )
-    occurrences = _total(f"if((_f.mask & {1 << i}L) <> 0, {n}, 0L)" for i, n in enumerate(ns))
-    kept = [c for c in df.columns if c not in ns]
-    return df.selectExpr("*", f"explode(filter(array({choices}), c -> (c.mask & mask) <> 0)) as _f").selectExpr(
-        *kept, "_f.key as filter_key", f"{occurrences} as occurrences"
-    )
+def set_counts(observations: DataFrame, catalog: Catalog) -> DataFrame:
+    """(datasets) with the videos that occur in exactly these."""
+    sets = video_sets(observations, catalog).select(F.col("members.dataset_id").alias("datasets"))
+    return sets.groupBy("datasets").agg(F.count("*").alias("videos"))
 
 
-def filter_channel_counts(observations: DataFrame, resolutions: DataFrame, catalog: Catalog) -> DataFrame:
-    """(filter_key, state, channel_key) with videos and occurrences, for any number of datasets.
+def _counted(observations: DataFrame, resolutions: DataFrame, catalog: Catalog, *keys: str) -> DataFrame:
+    """(*keys, datasets) with videos and occurrences.
 
-    Exact, but multiplies videos by filters; used beyond the mask limit and to check the mask plan.
+    A video counts under its dataset set, its occurrences under the sets of one dataset each.
     """
-    spark = observations.sparkSession
-    membership = catalog.membership_frame(spark)
-    per_dataset = observations.groupBy("video_id", "dataset_id").agg(F.count("*").alias("n"))
-    per_video = (
-        per_dataset.join(membership, "dataset_id")
-        .groupBy("video_id", "filter_key")
-        .agg(F.sum("n").alias("n"))
-    )
-    joined = per_video.join(resolutions.select("video_id", "state", "channel_key"), "video_id", "left").withColumn(
+    recorded = one_per_video(resolutions)
+    joined = video_sets(observations, catalog).join(recorded, "video_id", "left").withColumn(
         "state", effective_state(F.col("video_id"), F.col("state"))
     )
+    entries = """inline_outer(array_append(
+        transform(members, m -> named_struct('datasets', array(m.dataset_id), 'videos', 0L, 'occurrences', m.n)),
+        named_struct('datasets', members.dataset_id, 'videos', 1L, 'occurrences', 0L)))"""
     return (
         joined.withColumn("channel_key", F.when(F.col("state") == RESOLVED, F.col("channel_key")))
-        .groupBy("filter_key", "state", "channel_key")
-        .agg(F.count("*").alias("videos"), F.sum("n").alias("occurrences"))
+        .selectExpr(*keys, entries)
+        .groupBy(*keys, "datasets")
+        .agg(F.sum("videos").alias("videos"), F.sum("occurrences").alias("occurrences"))
     )
 
 
+def channel_counts(observations: DataFrame, resolutions: DataFrame, catalog: Catalog) -> DataFrame:
+    """(state, channel_key, datasets) with videos and occurrences; channel only when resolved."""
+    return _counted(observations, resolutions, catalog, "state", "channel_key")
+
+
+def in_filters(rows: DataFrame, catalog: Catalog, *values: str) -> DataFrame:
+    """Each counted row once per filter that keeps any of its datasets.
+
+    ``values`` are the counts of a row; its other columns tell it apart.
+    """
+    keys = [c for c in rows.columns if c not in values]
+    membership = catalog.membership_frame(rows.sparkSession)
+    touched = rows.withColumn("dataset_id", F.explode("datasets")).join(membership, "dataset_id")
+    once = touched.groupBy(*keys, "filter_key").agg(*[F.max(v).alias(v) for v in values])
+    return once.drop("datasets")
+
+
 def with_country(df: DataFrame, channels: DataFrame) -> DataFrame:
     """Add the declared country of each row's channel; a channel without metadata declared none.
 
     Rows without a channel match nothing; the second key deals them over all tasks, where a null
     key alone would send them to one.
     """
-    places = channels.select(
+    places = one_per_channel(channels).select(
         "channel_key", country_bucket(F.col("country")).alias("country"), F.lit(0).cast("long").alias("_deal")
     )
     deal = F.when(F.col("channel_key").isNull(), F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("long"))
@@ -135,53 +141,51 @@ def with_country(df: DataFrame, channels: DataFrame) -> DataFrame:
     )
 
 
-def dataset_set_cells(counts: DataFrame, channels: DataFrame, catalog: Catalog) -> DataFrame:
-    """(state, country, mask) of ``channel_counts`` with videos, occurrences per dataset and creators; country only when resolved.
+def dataset_set_cells(counts: DataFrame, channels: DataFrame) -> DataFrame:
+    """(state, country, datasets) of ``channel_counts`` with videos, occurrences and creators; country only when resolved.
 
     A channel is represented in a filter when any of its videos is, so it is counted once, under
-    the union of its videos' sets. The window sees a channel's few counted rows, not its videos;
-    rows without a channel are groups of their own in it.
+    all datasets of its videos. Those are at hand in the rows of its occurrences.
     """
-    ns = _columns(catalog)
-    located = with_country(counts, channels)
-    of_videos = ", ".join(f"'{c}', {c}" for c in ["mask", "videos", *ns])
-    of_channel = ", ".join(f"'{c}', 0L" for c in ["videos", *ns])
-    channel = "channel_key, if(channel_key is null, mask, null)"
-    entries = located.selectExpr(
+    entries = with_country(counts, channels).selectExpr(
         "state",
         f"if(state = '{RESOLVED}', country, null) as country",
-        f"named_struct({of_videos}, 'creators', 0L) as of_videos",
-        f"""if(channel_key is not null and row_number() over (partition by {channel} order by mask) = 1,
-            named_struct('mask', bit_or(mask) over (partition by {channel}), {of_channel}, 'creators', 1L),
-            null) as of_channel""",
-    ).selectExpr("state", "country", "inline(array_compact(array(of_videos, of_channel)))")
-    return entries.groupBy("state", "country", "mask").agg(*_sums("sum(videos) as videos", [*ns, "creators"]))
+        """inline_outer(array_compact(array(
+            named_struct('channel_key', cast(null as bigint), 'datasets', datasets, 'videos', videos,
+                         'occurrences', occurrences, 'dataset_id', cast(null as string)),
+            if(channel_key is not null and occurrences > 0,
+               named_struct('channel_key', channel_key, 'datasets', cast(null as array<string>), 'videos', 0L,
+                            'occurrences', 0L, 'dataset_id', datasets[0]),
+               null))))""",
+    )
+    return (
+        entries.groupBy("state", "country", "channel_key", "datasets")
+        # At most one entry per dataset of the catalogue.
+        .agg(*_sums("videos", "occurrences"), F.array_sort(F.collect_set("dataset_id")).alias("of_channel"))
+        .selectExpr("state", "country", "coalesce(datasets, of_channel) as datasets", "videos", "occurrences",
+                    "if(channel_key is null, 0L, 1L) as creators")
+        .groupBy("state", "country", "datasets")
+        .agg(*_sums("videos", "occurrences", "creators"))
+    )
+
+
+def _sums(*columns: str) -> list[Column]:
+    return [F.sum(c).alias(c) for c in columns]
 
 
 def filter_cells(observations: DataFrame, resolutions: DataFrame, channels: DataFrame, catalog: Catalog) -> DataFrame:
-    if catalog.fits_mask:
-        counts = channel_counts(observations, resolutions, catalog)
-    else:
-        counts = filter_channel_counts(observations, resolutions, catalog)
-    return cells_of(counts, channels, catalog)
+    return cells_of(channel_counts(observations, resolutions, catalog), channels, catalog)
 
 
 def cells_of(counts: DataFrame, channels: DataFrame, catalog: Catalog) -> DataFrame:
     """(filter_key, state, country) with creators, videos and occurrences: what all totals are read from.
 
-    Takes ``channel_counts``, or ``filter_channel_counts`` for a catalogue without masks. A few
-    hundred rows per filter, so a job that needs several totals should keep this table.
+    Takes ``channel_counts``. A few hundred rows per filter, so a job that needs several totals
+    should keep this table.
     """
-    if catalog.fits_mask:
-        rows = in_filters(dataset_set_cells(counts, channels, catalog), catalog)
-    else:
-        rows = with_country(counts, channels).selectExpr(
-            "filter_key", "state", f"if(state = '{RESOLVED}', country, null) as country",
-            "if(channel_key is null, 0L, 1L) as creators", "videos", "occurrences",
-        )
-    return rows.groupBy("filter_key", "state", "country").agg(
-        F.sum("creators").alias("creators"), F.sum("videos").alias("videos"), F.sum("occurrences").alias("occurrences")
-    )
+    values = ("creators", "videos", "occurrences")
+    rows = in_filters(dataset_set_cells(counts, channels), catalog, *values)
+    return rows.groupBy("filter_key", "state", "country").agg(*_sums(*values))
 
 
 def country_rows(cells: DataFrame) -> DataFrame:
@@ -240,21 +244,9 @@ def headline_totals(
 
 def state_counts(observations: DataFrame, resolutions: DataFrame, catalog: Catalog) -> DataFrame:
     """(filter_key, state) with videos and occurrences."""
-    if catalog.fits_mask:
-        profile = video_profile(observations, catalog)
-        ns = _columns(catalog)
-        joined = profile.join(resolutions.select("video_id", "state"), "video_id", "left")
-        sets = (
-            joined.withColumn("state", effective_state(F.col("video_id"), F.col("state")))
-            .groupBy("state", "mask")
-            .agg(*_sums("count(*) as videos", ns))
-        )
-        rows = in_filters(sets, catalog)
-    else:
-        rows = filter_channel_counts(observations, resolutions, catalog)
-    return rows.groupBy("filter_key", "state").agg(
-        F.sum("videos").alias("videos"), F.sum("occurrences").alias("occurrences")
-    )
+    values = ("videos", "occurrences")
+    rows = in_filters(_counted(observations, resolutions, catalog, "state"), catalog, *values)
+    return rows.groupBy("filter_key", "state").agg(*_sums(*values))
 
 
 def coverage_partition(observations: DataFrame, resolutions: DataFrame, catalog: Catalog) -> DataFrame:
@@ -270,19 +262,7 @@ def every_filter(per_filter: DataFrame, catalog: Catalog) -> DataFrame:
 
 def represented_videos(observations: DataFrame, catalog: Catalog) -> DataFrame:
     """Distinct identifiers per filter, whatever their state."""
-    if catalog.fits_mask:
-        sets = video_profile(observations, catalog).groupBy("mask").agg(
-            *_sums("count(*) as videos", _columns(catalog))
-        )
-        rows = in_filters(sets, catalog)
-    else:
-        membership = catalog.membership_frame(observations.sparkSession)
-        rows = (
-            observations.groupBy("video_id", "dataset_id").agg(F.count("*").alias("n"))
-            .join(membership, "dataset_id")
-            .groupBy("video_id", "filter_key")
-            .agg(F.lit(1).alias("videos"))
-        )
+    rows = in_filters(set_counts(observations, catalog), catalog, "videos")
     return every_filter(
         rows.groupBy("filter_key").agg(F.sum("videos").alias("represented_video_count")), catalog
     )
@@ -300,22 +280,16 @@ def source_occurrences(observations: DataFrame, catalog: Catalog) -> DataFrame:
 
 def creators(observations: DataFrame, resolutions: DataFrame, catalog: Catalog) -> DataFrame:
     """Distinct channels per filter that its videos resolved to."""
-    if catalog.fits_mask:
-        channels = (
-            channel_counts(observations, resolutions, catalog)
-            .where(F.col("state") == RESOLVED)
-            .groupBy("channel_key")
-            .agg(F.bit_or("mask").alias("mask"))
-            .groupBy("mask")
-            .agg(F.count("*").alias("creators"), *[F.expr(f"0L as {n}") for n in _columns(catalog)])
-        )
-        rows = in_filters(channels, catalog)
-    else:
-        rows = (
-            filter_channel_counts(observations, resolutions, catalog)
-            .where(F.col("state") == RESOLVED)
-            .withColumn("creators", F.lit(1))
-        )
+    sets = (
+        channel_counts(observations, resolutions, catalog)
+        .where(F.col("channel_key").isNotNull() & (F.col("occurrences") > 0))
+        .groupBy("channel_key")
+        # At most one entry per dataset of the catalogue.
+        .agg(F.array_sort(F.collect_set(F.get("datasets", F.lit(0)))).alias("datasets"))
+        .groupBy("datasets")
+        .agg(F.count("*").alias("creators"))
+    )
+    rows = in_filters(sets, catalog, "creators")
     return every_filter(rows.groupBy("filter_key").agg(F.sum("creators").alias("creator_count")), catalog)
 
 
@@ -331,16 +305,7 @@ def occurrences_by_unit(observations: DataFrame, datasets: DataFrame) -> DataFra
 
 def dataset_overlap(observations: DataFrame, catalog: Catalog) -> DataFrame:
     """How many videos are in n datasets, and how far the per-dataset figures overshoot the combined one."""
-    if catalog.fits_mask:
-        per_mask = video_profile(observations, catalog).groupBy("mask").agg(F.count("*").alias("videos"))
-        sizes = per_mask.select(F.bit_count("mask").alias("dataset_count"), "videos")
-    else:
-        sizes = (
-            observations.where(F.col("dataset_id").isin(catalog.dataset_ids))
-            .groupBy("video_id", "dataset_id").agg(F.lit(1).alias("one"))
-            .groupBy("video_id").agg(F.count("*").cast("int").alias("dataset_count"))
-            .withColumn("videos", F.lit(1))
-        )
+    sizes = set_counts(observations, catalog).select(F.size("datasets").alias("dataset_count"), "videos")
     histogram = sizes.groupBy("dataset_count").agg(F.sum("videos").alias("videos"))
     # At most one row per dataset count, so the histogram fits in one row beside its totals.
     folded = histogram.groupBy().agg(
@@ -359,27 +324,10 @@ def dataset_overlap(observations: DataFrame, catalog: Catalog) -> DataFrame:
 
 def dataset_pairs(observations: DataFrame, catalog: Catalog) -> DataFrame:
     """Videos in both of two datasets, for every pair that shares any."""
-    if catalog.fits_mask:
-        sets = video_profile(observations, catalog).groupBy("mask").agg(F.count("*").alias("videos"))
-        choices = ", ".join(
-            f"named_struct('bit', {1 << i}L, 'id', {quote(d)})" for i, d in enumerate(catalog.dataset_ids)
-        )
-        members = f"filter(array({choices}), m -> (m.bit & mask) <> 0)"
-        return (
-            sets.selectExpr("mask", "videos", f"explode({members}) as a")
-            .selectExpr("videos", "a.id as dataset_a", f"explode({members}) as b")
-            .selectExpr("videos", "dataset_a", "b.id as dataset_b")
-            .where("dataset_a < dataset_b")
-            .groupBy("dataset_a", "dataset_b")
-            .agg(F.sum("videos").alias("shared_videos"))
-        )
-    listed = observations.where(F.col("dataset_id").isin(catalog.dataset_ids))
-    rows = listed.groupBy("video_id", "dataset_id").agg(F.lit(1).alias("one")).drop("one")
-    left = rows.withColumnRenamed("dataset_id", "dataset_a")
-    right = rows.withColumnRenamed("dataset_id", "dataset_b")
     return (
-        left.join(right, "video_id")
-        .where(F.col("dataset_a") < F.col("dataset_b"))
+        set_counts(observations, catalog)
+        .selectExpr("datasets", "videos", "explode(datasets) as dataset_a")
+        .selectExpr("videos", "dataset_a", "explode(filter(datasets, d -> d > dataset_a)) as dataset_b")
         .groupBy("dataset_a", "dataset_b")
-        .agg(F.count("*").alias("shared_videos"))
+        .agg(F.sum("videos").alias("shared_videos"))
     )

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provtally.functions.identifiers import digest_of
-from provtally.functions.sql import quote
 from provtally.operators import creators as cr
 from provtally.operators.metrics import (
     RESOLVED,
@@ -17,8 +16,6 @@ from provtally.operators.metrics import (
     channel_counts,
     country_rows,
     coverage_rows,
-    effective_state,
-    filter_channel_counts,
     headline_rows,
     with_country,
 )
@@ -185,29 +182,13 @@ def dataset_breakdown(counts: DataFrame, channels: DataFrame, catalog: Catalog)
     Counts the videos that the country rows count, so those whose channel has no metadata are here
     under the same bucket.
     """
-    members = set(catalog.members(catalog.default))
-    bits = [(i, d) for i, d in enumerate(catalog.dataset_ids) if d in members]
-    entries = ", ".join(
-        f"if((mask & {1 << i}L) <> 0, named_struct('dataset_id', {quote(d)}, 'n', videos), null)" for i, d in bits
-    )
-    located = with_country(counts.where(F.col("state") == RESOLVED), channels)
+    members = catalog.members(catalog.default)
+    located = with_country(counts.where((F.col("state") == RESOLVED) & (F.col("videos") > 0)), channels)
     return (
-        located.selectExpr("country", f"inline(array_compact(array({entries})))")
+        located.select("country", "videos", F.explode("datasets").alias("dataset_id"))
+        .where(F.col("dataset_id").isin(members))
         .groupBy("country", "dataset_id")
-        .agg(F.sum("n").alias("represented_video_count"))
-    )
-
-
-def dataset_breakdown_of_pairs(
-    observations: DataFrame, resolutions: DataFrame, channels: DataFrame, catalog: Catalog
-) -> DataFrame:
-    """The same for a catalogue without masks, counted per video and dataset."""
-    members = catalog.members(catalog.default)
-    pairs = observations.where(F.col("dataset_id").isin(members)).select("video_id", "dataset_id").distinct()
-    joined = pairs.join(resolutions.select("video_id", "state", "channel_key"), "video_id", "left")
-    resolved = joined.where(effective_state(F.col("video_id"), F.col("state")) == RESOLVED)
-    return with_country(resolved, channels).groupBy("country", "dataset_id").agg(
-        F.count("*").alias("represented_video_count")
+        .agg(F.sum("videos").alias("represented_video_count"))
     )
 
 
@@ -335,15 +316,9 @@ def release_tables(inputs: Inputs, settings: ReleaseSettings) -> Tables:
         cutoff = F.lit(settings.enrichment_cutoff).cast("timestamp")
         channels = kept(cr.metadata_as_of(inputs.readings, cutoff), "channels")
     removals = inputs.removals if settings.removals_cover_totals else None
-    if catalog.fits_mask:
-        counts = without_channels(kept(channel_counts(*observed, catalog), "counts"), removals)
-        creators = cr.creator_rows_of(counts, channels, catalog, catalog.default)
-        breakdown = dataset_breakdown(counts, channels, catalog)
-    else:
-        counts = without_channels(kept(filter_channel_counts(*observed, catalog), "counts"), removals)
-        creators = without_channels(cr.creator_rows(*observed, channels, catalog, catalog.default), removals)
-        resolutions = without_channels(inputs.resolutions, removals)
-        breakdown = dataset_breakdown_of_pairs(inputs.observations, resolutions, channels, catalog)
+    counts = without_channels(kept(channel_counts(*observed, catalog), "counts"), removals)
+    creators = cr.creator_rows_of(counts, channels, catalog, catalog.default)
+    breakdown = dataset_breakdown(counts, channels, catalog)
     cells = kept(cells_of(counts, channels, catalog), "cells")
     creators = kept(creators, "creators")
     listing = kept(

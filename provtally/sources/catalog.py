@@ -6,14 +6,12 @@ held on the driver, behind a check of their size, and enter plans as literals.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_CATALOG_ROWS = 10_000
-# One bit of a long per dataset; larger catalogues take the plan without masks.
-MAX_MASK_DATASETS = 63
 
 CORPUS_CLASSES = ("Candidate", "Comparison")
 
@@ -44,32 +42,22 @@ class PublishedFilter:
 class Catalog:
     datasets: tuple[Dataset, ...]
     filters: tuple[PublishedFilter, ...]
-    _bits: dict[str, int] = field(init=False, repr=False, compare=False)
-
-    def __post_init__(self) -> None:
-        object.__setattr__(self, "_bits", {d.dataset_id: i for i, d in enumerate(self.datasets)})
 
     @property
     def dataset_ids(self) -> list[str]:
         return [d.dataset_id for d in self.datasets]
 
-    @property
-    def fits_mask(self) -> bool:
-        return len(self.datasets) <= MAX_MASK_DATASETS
-
     @property
     def default(self) -> PublishedFilter:
         return next((f for f in self.filters if f.is_default), self.filters[0])
 
     def members(self, flt: PublishedFilter) -> list[str]:
         """Datasets a filter keeps: the listed ones of the listed corpus classes."""
+        listed = set(flt.datasets)
         return [
-            d.dataset_id for d in self.datasets if d.dataset_id in flt.datasets and d.corpus_class in flt.corpus_classes
+            d.dataset_id for d in self.datasets if d.dataset_id in listed and d.corpus_class in flt.corpus_classes
         ]
 
-    def mask(self, flt: PublishedFilter) -> int:
-        return sum(1 << self._bits[d] for d in self.members(flt))
-
     def single_dataset_filters(self) -> Catalog:
         """The same datasets with one filter per dataset, keyed by its id."""
         filters = tuple(
@@ -99,8 +87,9 @@ class Catalog:
 
     def membership_frame(self, spark: SparkSession) -> DataFrame:
         """(filter_key, dataset_id), one row per kept dataset."""
-        rows = [(f.key, d) for f in self.filters for d in self.members(f)]
-        return spark.createDataFrame(rows, "filter_key string, dataset_id string")
+        rows = [(f.key, self.members(f)) for f in self.filters]
+        listed = spark.createDataFrame(rows, "filter_key string, datasets array<string>")
+        return listed.select("filter_key", F.explode("datasets").alias("dataset_id"))
 
     @staticmethod
     def read(datasets: DataFrame, filters: DataFrame) -> Catalog:

@@ -1,4 +1,4 @@
-"""Properties of the totals, and the mask plan against the plain one and against brute force."""
+"""Properties of the totals, and the operators against brute force for catalogues of any size."""
 
 import random
 from collections import Counter, defaultdict
@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from provtally import fixtures as fx
 from provtally.operators import creators as cr
 from provtally.operators import metrics as mt
-from provtally.sources import catalog as cat
 from provtally.sources.catalog import Catalog, Dataset, PublishedFilter
 
 
@@ -51,24 +50,6 @@ def test_dataset_totals_overshoot_the_combined_one(inputs):
     assert row["summed_videos"] > row["combined_videos"]
 
 
-def test_plan_without_masks_agrees(inputs, monkeypatch):
-    catalog = fx.catalog()
-    calls = {
-        "cells": lambda: mt.filter_cells(*inputs, catalog),
-        "states": lambda: mt.state_counts(*inputs[:2], catalog),
-        "videos": lambda: mt.represented_videos(inputs[0], catalog),
-        "creators": lambda: mt.creators(*inputs[:2], catalog),
-        "overlap": lambda: mt.dataset_overlap(inputs[0], catalog),
-        "pairs": lambda: mt.dataset_pairs(inputs[0], catalog),
-        "rows": lambda: cr.creator_rows(*inputs, catalog, catalog.filters[1]),
-    }
-    with_masks = {k: _as_set(f()) for k, f in calls.items()}
-    monkeypatch.setattr(cat, "MAX_MASK_DATASETS", 0)
-    assert not catalog.fits_mask
-    for name, f in calls.items():
-        assert _as_set(f()) == with_masks[name], name
-
-
 def _catalog(datasets, filters):
     ds = tuple(
         Dataset(d, d, "1", c, "MediaIndex", "Clip", "https://example.org", "sha256:" + "0" * 64) for d, c in datasets
@@ -130,15 +111,93 @@ def test_skewed_input_against_brute_force(spark, seed):
     assert got == want
 
 
-def test_as_many_datasets_as_a_mask_has_bits(spark):
-    rnd = random.Random(1)
-    ids = [f"d{i:02d}" for i in range(cat.MAX_MASK_DATASETS)]
-    catalog = _catalog([(d, "Candidate") for d in ids], [("all", ids), ("last", ids[-1:]), ("mid", ids[30:32])])
-    assert catalog.fits_mask
-    rows = [(rnd.choice(ids), f"vid{rnd.randrange(300):08d}") for _ in range(3000)]
-    observed = spark.createDataFrame(rows, "dataset_id string, video_id string")
-    got = {r["filter_key"]: r["represented_video_count"] for r in mt.represented_videos(observed, catalog).collect()}
-    assert got == {f.key: len({v for d, v in rows if d in f.datasets}) for f in catalog.filters}
+@pytest.mark.parametrize("n", [64, 130])
+def test_large_catalogues_against_brute_force(spark, n):
+    """Foreign datasets, repeated records of a video and of a channel, and an unknown state."""
+    rnd = random.Random(n)
+    ids = [f"d{i:03d}" for i in range(n)]
+    catalog = _catalog(
+        [(d, "Comparison" if i % 3 == 0 else "Candidate") for i, d in enumerate(ids)],
+        [("all", ids), ("last", ids[-2:]), ("mid", ids[30:34]), ("none", ["foreign1"])],
+    )
+    videos = [f"vid{i:08d}" for i in range(80)] + ["short"]
+    rows = [(rnd.choice(ids[::9] + ids[-2:] + ["foreign1", "foreign2"]), rnd.choice(videos)) for _ in range(900)]
+    records = [(v, rnd.choice([*mt.STATES, mt.RESOLVED, "unheard-of"]), rnd.randrange(9)) for v in videos[:70]]
+    records += [(v, rnd.choice(mt.STATES[:2]), rnd.choice([None, 3, 4])) for v in videos[:20]] + records[:5]
+    channels = [(k, "2024-01-01", f"old {k}", "US") for k in range(7)]
+    channels += [(k, "2024-02-01", f"new {k}", rnd.choice(["DE", "FR", None])) for k in range(4)] + channels[:2]
+
+    best = {}
+    for v, state, key in records:
+        rank = mt.STATES.index(state) if state in mt.STATES else 99
+        order = (rank, key is None, key or 0)
+        if v not in best or order < best[v][0]:
+            best[v] = (order, state if rank < 99 else mt.PENDING, key)
+    latest = {}
+    for k, at, name, country in channels:
+        if k not in latest or at > latest[k][0]:
+            latest[k] = (at, name, country)
+    per_video = defaultdict(Counter)
+    for d, v in rows:
+        if d in ids:
+            per_video[v][d] += 1
+    place = {}
+    for v in per_video:
+        _, state, key = best.get(v, (None, mt.PENDING, None))
+        state = mt.INVALID if v == "short" else state
+        place[v] = (state, key if state == mt.RESOLVED else None)
+
+    observed = spark.createDataFrame(rows, "dataset_id string, video_id string").repartition(3)
+    resolutions = spark.createDataFrame(records, "video_id string, state string, channel_key long")
+    meta = spark.createDataFrame(
+        channels, "channel_key long, last_observed_at string, display_name string, country string"
+    )
+    cells, states, seen, creators = {}, {}, {}, {}
+    for f in catalog.filters:
+        inside = {v: sum(c[d] for d in catalog.members(f)) for v, c in per_video.items()}
+        inside = {v: k for v, k in inside.items() if k}
+        seen[f.key] = len(inside)
+        creators[f.key] = len({place[v][1] for v in inside} - {None})
+        for v, k in inside.items():
+            state, key = place[v]
+            country = (latest.get(key, (0, 0, None))[2] or "XX") if state == mt.RESOLVED else None
+            for table, cell in ((cells, (f.key, state, country)), (states, (f.key, state))):
+                who, count, total = table.get(cell, (frozenset(), 0, 0))
+                table[cell] = (who | ({key} - {None}), count + 1, total + k)
+
+    got = mt.filter_cells(observed, resolutions, meta, catalog).collect()
+    assert {(r["filter_key"], r["state"], r["country"]): (r["creators"], r["videos"], r["occurrences"]) for r in got} == {
+        c: (len(who), count, total) for c, (who, count, total) in cells.items()
+    }
+    got = mt.state_counts(observed, resolutions, catalog).collect()
+    assert {(r["filter_key"], r["state"]): (r["videos"], r["occurrences"]) for r in got} == {
+        c: (count, total) for c, (_, count, total) in states.items()
+    }
+    assert dict(map(tuple, mt.represented_videos(observed, catalog).collect())) == seen
+    assert dict(map(tuple, mt.creators(observed, resolutions, catalog).collect())) == creators
+    for row in mt.coverage_partition(observed, resolutions, catalog).collect():
+        assert sum(row[s] for s in mt.STATES) == row["distinct_input_video_count"]
+
+    pairs = Counter((a, b) for c in per_video.values() for a in c for b in c if a < b)
+    assert {(r[0], r[1]): r[2] for r in mt.dataset_pairs(observed, catalog).collect()} == dict(pairs)
+    sizes = Counter(len(c) for c in per_video.values())
+    overlap = mt.dataset_overlap(observed, catalog).collect()
+    assert {r["dataset_count"]: r["videos"] for r in overlap} == dict(sizes)
+    assert {r["summed_videos"] for r in overlap} == {sum(len(c) for c in per_video.values())}
+
+    flt = catalog.filters[0]
+    want = {}
+    for v, c in per_video.items():
+        key, kept = place[v][1], {d for d in c if d in catalog.members(flt)}
+        if key in latest and kept:
+            total, per = want.setdefault(key, (0, Counter()))
+            per.update(kept)
+            want[key] = (total + 1, per)
+    got = cr.creator_rows(observed, resolutions, meta, catalog, flt).collect()
+    assert {
+        r["channel_key"]: (r["display_name"], r["represented_video_count"], [tuple(b) for b in r["dataset_breakdown"]])
+        for r in got
+    } == {k: (latest[k][1], total, sorted(per.items())) for k, (total, per) in want.items()}
 
 
 def test_filter_without_occurrences_has_a_zero_row(spark, inputs):
@@ -155,12 +214,12 @@ def test_occurrences_are_read_once(inputs):
     assert plan.count("lineitem.parquet") == 1
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "partial_count" in plan
+    assert "Window" not in plan
 
 
-def test_pairs_beyond_a_mask_leave_foreign_datasets_out(spark):
+def test_pairs_leave_foreign_datasets_out(spark):
     ids = [f"d{i:03d}" for i in range(130)]
     catalog = _catalog([(d, "Candidate") for d in ids], [("all", ids)])
-    assert not catalog.fits_mask
     rows = [(d, "vid00000001") for d in ("d000", "d129", "foreign1", "foreign2")]
     observed = spark.createDataFrame(rows, "dataset_id string, video_id string")
     got = [tuple(r) for r in mt.dataset_pairs(observed, catalog).collect()]
@@ -168,7 +227,7 @@ def test_pairs_beyond_a_mask_leave_foreign_datasets_out(spark):
 
 
 def test_rows_without_a_channel_are_dealt_over_tasks(spark):
-    rows = spark.range(2000).selectExpr("cast(null as bigint) as channel_key", "id as mask")
+    rows = spark.range(2000).selectExpr("cast(null as bigint) as channel_key", "id as videos")
     channels = spark.createDataFrame([(1, "DE")], "channel_key long, country string")
     located = mt.with_country(rows, channels)
     assert located.where("country = 'XX'").count() == 2000

@@ -235,10 +235,10 @@ _CTES = {
         LEFT JOIN idx a ON a.country = cs.country AND a.sort_order = 'representedVideoCountDesc'
         LEFT JOIN idx n ON n.country = cs.country AND n.sort_order = 'displayNameAsc'
         WHERE filter_key = 'all'""",
-    "docs": f"""SELECT path, 'overview' AS kind, NULL AS shard, body FROM ovj
-        UNION ALL SELECT path, 'shard', path, body FROM shj
+    "docs": f"""SELECT path, 'overview' AS kind, body FROM ovj
+        UNION ALL SELECT path, 'shard', body FROM shj
         UNION ALL SELECT 'releases/{fx.RELEASE_ID}/creators/' || country || '/' || sort_order || '/page-' || page ||
-            '.json', 'page', 'releases/{fx.RELEASE_ID}/countries/' || country || '.json', body FROM pgj""",
+            '.json', 'page', body FROM pgj""",
 }
 
 _PERCENT = "(CAST({p} AS DOUBLE) / {t} * 100)"
@@ -454,21 +454,25 @@ _BODIES = {
     "overview_json": "SELECT path, body FROM ovj",
     "country_shard": "SELECT path, body FROM shj",
     "manifest_digests": "SELECT path, 'sha256:' || sha256(body) AS digest FROM docs",
-    "release_audit": f"""WITH f AS (SELECT path, kind, shard, {_hex_digit('path')} AS fault,
-            {_hex_digit('shard')} AS shard_fault FROM docs)
+    "release_audit": f"""WITH f AS (SELECT path, kind, {_hex_digit('path')} AS fault,
+            regexp_extract(path, 'countries/(.*)[.]json', 1) AS country,
+            {_hex_digit(f"'releases/{fx.RELEASE_ID}/overview.json'")} AS overview_fault FROM docs)
         SELECT path, kind, CASE WHEN fault IN (1, 2) THEN 'not-found' WHEN fault = 0 THEN 'digest-mismatch'
                 WHEN fault = 3 THEN 'schema-invalid'
-                WHEN fault = 4 AND (kind <> 'page' OR shard_fault > 4) THEN 'mixed-release' ELSE 'ok' END AS status,
+                WHEN fault = 4 THEN 'mixed-release'
+                WHEN fault = 5 AND kind = 'shard' AND overview_fault > 4 THEN 'mixed-release' ELSE 'ok' END AS status,
             CASE WHEN fault = 2 THEN 'not listed' WHEN fault = 1 THEN 'absent' WHEN fault = 0 THEN 'digest mismatch'
                 WHEN fault = 3 THEN 'Unrecognized key(s) in object: ''extra'''
-                WHEN fault = 4 AND kind = 'overview' THEN 'the overview belongs to a different release'
-                WHEN fault = 4 AND kind = 'shard' THEN 'shard reports country QQ'
-                WHEN fault = 4 AND shard_fault > 4 THEN
-                    'the creator page does not match the requested country and sort order' END AS detail
+                WHEN fault = 4 AND kind = 'overview' THEN 'the filtered overview belongs to a different release'
+                WHEN fault = 4 AND kind = 'shard' THEN 'shard for ' || country || ' reports country QQ'
+                WHEN fault = 4 THEN 'the creator page does not match the requested country and sort order'
+                WHEN fault = 5 AND kind = 'shard' AND overview_fault > 4 THEN
+                    'the country detail disagrees with the overview totals' END AS detail
         FROM f
         UNION ALL SELECT 'active-release.json', 'pointer', 'ok', NULL
         UNION ALL SELECT 'releases/{fx.RELEASE_ID}/manifest.json', 'manifest', 'ok', NULL""",
-    "shard_reconcile": """SELECT k.filter_key, s.country, CASE WHEN o.country IS NULL THEN 'not-in-filter'
+    "shard_reconcile": f"""SELECT k.filter_key, s.country, CASE WHEN o.country IS NULL THEN 'not-in-filter'
+            WHEN {_hex_digit(f"'releases/{fx.RELEASE_ID}/countries/' || s.country || '.json'")} = 5 THEN 'mixed-release'
             WHEN o.creator_count = s.creator_count AND o.represented_video_count = s.represented_video_count THEN 'ok'
             ELSE 'mixed-release' END AS status
         FROM keys k CROSS JOIN (SELECT * FROM cs WHERE filter_key = 'all') s

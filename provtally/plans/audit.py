@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from provtally.functions.identifiers import digest_of
 from provtally.functions.sql import exploded
-from provtally.plans.release import POINTER_PATH, overview_path
+from provtally.plans.release import POINTER_PATH, kept, overview_path
 from provtally.session import prepare
 from provtally.sources import contracts as ct
 from provtally.sources.artifacts import read_artifacts
@@ -24,8 +24,9 @@ POINTER_REFRESH = "pointer-refresh"
 POINTER_NOT_JSON = "the active release pointer is not JSON"
 POINTER_SCHEMA = "the active release pointer does not match its schema"
 OTHER_MANIFEST = "pointer names release {} but the manifest is {}"
-OTHER_OVERVIEW = "the overview belongs to a different release"
-OTHER_SHARD = "shard reports country "
+OTHER_OVERVIEW = "the filtered overview belongs to a different release"
+OTHER_SHARD = "shard for {} reports country {}"
+OTHER_TOTALS = "the country detail disagrees with the overview totals"
 OTHER_PAGE = "the creator page does not match the requested country and sort order"
 
 _RESULT = "path string, kind string, status string, detail string"
@@ -84,9 +85,9 @@ def _verified(files: DataFrame, digests: DataFrame, contract: ct.Record) -> Data
 
 
 def _wanted(spark: SparkSession, root: str, release_id: str, manifest: DataFrame, digests: DataFrame) -> DataFrame:
-    """(path, wanted_kind, want_country, want_sort) of every artifact the release's own documents refer to.
+    """(path, wanted_kind, want_country, want_sort, want_totals) of every artifact the release's own documents refer to.
 
-    The manifest names the overviews, the release's overview the countries, each shard its pages.
+    The manifest names the overviews, the release's overview the countries and their totals, each shard its pages.
     References are followed only out of documents that are themselves in order.
     """
     default_at = overview_path(release_id)
@@ -105,7 +106,7 @@ def _wanted(spark: SparkSession, root: str, release_id: str, manifest: DataFrame
         _verified(read_artifacts(spark, root, default_at), digests, ct.OVERVIEW)
         .where(F.expr(ct.text_at("v", "releaseId")) == release_id)
         .select(F.explode(F.expr("try_variant_get(v, '$.countries', 'array<variant>')")).alias("c"))
-        .select(F.expr(ct.text_at("c", "country")).alias("country"))
+        .select(F.expr(ct.text_at("c", "country")).alias("country"), _totals("c").alias("want_totals"))
     )
     folder = f"releases/{release_id}/countries/"
     shards = (
@@ -124,15 +125,34 @@ def _wanted(spark: SparkSession, root: str, release_id: str, manifest: DataFrame
         .unionByName(
             countries.select(F.concat(F.lit(folder), "country", F.lit(".json")).alias("path"),
                              F.lit("shard").alias("wanted_kind"), F.col("country").alias("want_country"),
-                             nothing.alias("want_sort"))
+                             nothing.alias("want_sort"), "want_totals"),
+            allowMissingColumns=True,
         )
         .unionByName(
             pages.select("path", F.lit("page").alias("wanted_kind"), F.col("country").alias("want_country"),
-                         F.col("sort_order").alias("want_sort"))
+                         F.col("sort_order").alias("want_sort")),
+            allowMissingColumns=True,
         )
     )
 
 
+def _totals(value: str) -> Column:
+    """Creators and videos of a shard or of a country row; null where a number is missing."""
+    return F.expr(
+        f"named_struct('creator_count', try_variant_get({value}, '$.creatorCount', 'bigint'),"
+        f" 'represented_video_count', try_variant_get({value}, '$.representedVideoCount', 'bigint'))"
+    )
+
+
+def shard_totals(spark: SparkSession, root: str, release_id: str) -> DataFrame:
+    """(country, creator_count, represented_video_count) as the written shards of a release state them."""
+    files = read_artifacts(spark, root, f"releases/{release_id}/countries/*")
+    shards = files.select(parsed(F.col("content")).alias("v"))
+    return shards.select(F.expr(ct.text_at("v", "country")).alias("country"), _totals("v").alias("t")).select(
+        "country", "t.*"
+    )
+
+
 def audit_release(spark: SparkSession, root: str) -> DataFrame:
     """(path, kind, status, detail): one row per artifact listed or present.
 
@@ -175,9 +195,14 @@ def audit_release(spark: SparkSession, root: str) -> DataFrame:
 
 def _audit_listed(spark: SparkSession, root: str, manifest_at: str, release_id: str) -> DataFrame:
     manifest = read_artifacts(spark, root, manifest_at).select(parsed(F.col("content")).alias("v"))
-    digests = manifest.select(
-        F.explode(F.expr("try_variant_get(v, '$.artifactDigests', 'map<string,string>')")).alias("path", "digest")
+    # Joined four times, so the manifest is parsed for it once.
+    digests = kept(
+        manifest.select(
+            F.explode(F.expr("try_variant_get(v, '$.artifactDigests', 'map<string,string>')")).alias("path", "digest")
+        ),
+        "digests",
     )
+    page = r"\Areleases/" + release_id.replace(".", r"\.") + r"/creators/([^/]*)/([^/]*)/page-\d+\.json\z"
     shard = r"\Areleases/" + release_id.replace(".", r"\.") + r"/countries/(.*)\.json\z"
     named = manifest.select(
         F.explode(
@@ -205,6 +230,7 @@ def _audit_listed(spark: SparkSession, root: str, manifest_at: str, release_id:
         F.expr(ct.text_at("v", "releaseId")).alias("release"),
         F.expr(ct.text_at("v", "country")).alias("country"),
         F.expr(ct.text_at("v", "sortOrder")).alias("sort_order"),
+        _totals("v").alias("totals"),
     ).withColumn("message", _first_message("issues")).withColumn("bad_schema", F.size("issues") > 0).drop("issues")
     joined = digests.join(checked, "path", "full_outer").join(
         _wanted(spark, root, release_id, manifest, digests), "path", "full_outer"
@@ -212,14 +238,23 @@ def _audit_listed(spark: SparkSession, root: str, manifest_at: str, release_id:
     kind = F.coalesce("kind", "wanted_kind", F.when(F.col("path").rlike(shard), "shard"), F.lit("page"))
     wrong_release = (F.col("kind") == "overview") & ~F.col("release").eqNullSafe(F.lit(release_id))
     wrong_shard = (F.col("kind") == "shard") & ~F.col("country").eqNullSafe(F.regexp_extract("path", shard, 1))
-    wrong_page = (F.col("wanted_kind") == "page") & (
-        ~F.col("country").eqNullSafe(F.col("want_country")) | ~F.col("sort_order").eqNullSafe(F.col("want_sort"))
+    wrong_totals = (
+        (F.col("kind") == "shard") & F.col("want_totals").isNotNull() & ~F.col("totals").eqNullSafe(F.col("want_totals"))
+    )
+    # Where no sound shard refers to a page, its own path says what it should hold.
+    by_path = F.col("path").rlike(page)
+    want_country = F.coalesce("want_country", F.when(by_path, F.regexp_extract("path", page, 1)))
+    want_sort = F.coalesce("want_sort", F.when(by_path, F.regexp_extract("path", page, 2)))
+    wrong_page = (
+        (F.coalesce("wanted_kind", "kind") == "page")
+        & want_country.isNotNull()
+        & (~F.col("country").eqNullSafe(want_country) | ~F.col("sort_order").eqNullSafe(want_sort))
     )
 
     def chain(*outcomes: Column | str | None) -> Column:
         conditions = (
             F.col("digest").isNull(), F.col("found").isNull(), F.col("found") != F.col("digest"), ~F.col("is_json"),
-            F.col("bad_schema"), wrong_release, wrong_shard, wrong_page,
+            F.col("bad_schema"), wrong_release, wrong_shard, wrong_totals, wrong_page,
         )
         result = None
         for condition, outcome in zip(conditions, outcomes, strict=True):
@@ -230,13 +265,14 @@ def _audit_listed(spark: SparkSession, root: str, manifest_at: str, release_id:
     status = F.coalesce(
         chain(
             NOT_FOUND, NOT_FOUND, DIGEST_MISMATCH, SCHEMA_INVALID, SCHEMA_INVALID, MIXED_RELEASE, MIXED_RELEASE,
-            MIXED_RELEASE,
+            MIXED_RELEASE, MIXED_RELEASE,
         ),
         F.lit(OK),
     )
     detail = chain(
         "not listed", "absent", "digest mismatch", "not JSON", F.col("message"),
-        OTHER_OVERVIEW, F.concat(F.lit(OTHER_SHARD), F.col("country")), OTHER_PAGE,
+        OTHER_OVERVIEW, F.format_string(OTHER_SHARD.replace("{}", "%s"), F.regexp_extract("path", shard, 1), "country"),
+        OTHER_TOTALS, OTHER_PAGE,
     )
     return joined.select("path", kind.alias("kind"), status.alias("status"), detail.alias("detail"))
 

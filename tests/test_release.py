@@ -145,6 +145,7 @@ CASES = {
     ),
     "foreign overview": (_edit(OVERVIEW, _set("releaseId", "other")), OVERVIEW, "mixed-release"),
     "foreign shard": (_edit(SHARD, _set("country", "DE")), SHARD, "mixed-release"),
+    "altered totals": (_edit(SHARD, lambda d: d.__setitem__("creatorCount", d["creatorCount"] + 1)), SHARD, "mixed-release"),
     "foreign page": (_edit(PAGE, _set("sortOrder", "representedVideoCountDesc")), PAGE, "mixed-release"),
 }
 
@@ -159,6 +160,15 @@ def test_one_fault_gives_one_status(spark, release, tmp_path, case):
     assert faults[path][0] == status
 
 
+def test_a_page_below_a_broken_shard_is_held_to_its_path(spark, release, tmp_path):
+    root = _copy(release, tmp_path)
+    _edit(SHARD, _set("note", 1))(root)
+    _edit(PAGE, _set("country", "QQ"))(root)
+    faults = _faults(spark, root)
+    assert {p: f[0] for p, f in faults.items()} == {SHARD: "schema-invalid", PAGE: "mixed-release"}
+    assert faults[PAGE][1] == au.OTHER_PAGE
+
+
 def test_pointer_and_manifest_faults(spark, release, tmp_path):
     root = _copy(release, tmp_path)
     whole = (root / rl.POINTER_PATH).read_text()

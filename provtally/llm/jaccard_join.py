@@ -3,11 +3,12 @@
 A document is its set of word shingles; documents of equal sets are one class. Sets are split
 recursively on shared tokens: at a node each set follows the tokens whose hash, keyed by the node,
 is below branch / (threshold * size). Two sets of at least the threshold follow a common token with
-probability 1 - exp(-branch) or more, so independent runs are repeated until the target recall.
-Small nodes are compared by brute force. A large node is split again, unless most of it stays
-together, which means its sets are alike; then it is compared in blocks dealt over tasks. Nothing
-is capped: every pair in a final node is compared exactly, and each similar pair is counted in the
-least final node that both sets share.
+probability 1 - exp(-branch) or more, so independent runs are repeated until the target recall,
+what splits below lose included. Small nodes are compared by brute force. A large node is split
+again, unless most of it stays together, which means its sets are alike; then it is compared in
+blocks dealt over tasks. Nodes of the same members travel as one, but are split by the key of each,
+so that their losses stay independent. Nothing is capped: every pair in a final node is compared
+exactly, and each similar pair is counted in the least final node that both sets share.
 """
 
 from __future__ import annotations
@@ -56,6 +57,14 @@ def _below(branch: float, threshold: float, size: np.ndarray) -> np.ndarray:
     return (np.minimum(1.0, branch / (threshold * np.maximum(size, 1))) * float(2**64 - 2**12)).astype(np.uint64)
 
 
+def _runs(recall: float) -> int:
+    """Runs after which a pair at the threshold is missed with chance 1 - recall at most, however often its nodes are split."""
+    lost = 0.0
+    for _ in range(DEPTH):
+        lost = math.exp(-BRANCH_BELOW * (1 - lost))
+    return math.ceil(math.log(1 - recall) / (-BRANCH_ROOT * (1 - lost)))
+
+
 def _scanner(n: int, threshold: float, runs: int, seed: int) -> Callable:
     keys_of_run = [mixed(seed * 1000 + r + 1) for r in range(runs)]
 
@@ -110,21 +119,23 @@ def _setter(n: int) -> Callable:
 
 
 def _splitter(threshold: float) -> Callable:
-    """Children that the sets of large nodes follow."""
+    """Children that the sets of large nodes follow, by the key of each node of the same members."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, rep, sets = unsigned(batch.column("node").to_numpy()), batch.column("rep").to_numpy(), batch.column("tokens")
-            at = sets.offsets.to_numpy()
-            flat = unsigned(sets.values.to_numpy())
+            node, rep = unsigned(batch.column("node").to_numpy()), batch.column("rep").to_numpy()
+            sets, same = batch.column("tokens"), batch.column("same")
+            at, same_at = sets.offsets.to_numpy(), same.offsets.to_numpy()
+            flat, keys = unsigned(sets.values.to_numpy()), mix(unsigned(same.values.to_numpy()) ^ mixed(7))
             parents, reps, children = [], [], []
             for i in range(len(node)):
                 tokens = flat[at[i] : at[i + 1]]
-                key = mix(node[i : i + 1] ^ mixed(7))
-                hit = tokens[mix(tokens ^ key) <= _below(BRANCH_BELOW, threshold, np.array([len(tokens)]))]
-                parents.append(np.full(len(hit), node[i]))
-                reps.append(np.full(len(hit), rep[i]))
-                children.append(mix(hit + key))
+                bound = _below(BRANCH_BELOW, threshold, np.array([len(tokens)]))
+                for key in keys[same_at[i] : same_at[i + 1]]:
+                    hit = tokens[mix(tokens ^ key) <= bound]
+                    parents.append(np.full(len(hit), node[i]))
+                    reps.append(np.full(len(hit), rep[i]))
+                    children.append(mix(hit + key))
             if parents:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(np.concatenate(parents))), pa.array(np.concatenate(reps)), pa.array(signed(np.concatenate(children)))],
@@ -215,25 +226,38 @@ def _comparer(threshold: float) -> Callable:
     return compare
 
 
+def _folded(entries: DataFrame) -> DataFrame:
+    """(node, rep, n, same) of nodes of two sets at least: nodes of the same members as one; same lists them if it is large."""
+    # Members' hashes are summed twice to tell them apart.
+    hashed = [F.sum(F.xxhash64(F.lit(i), F.col("rep")).cast("decimal(38,0)")).alias(f"h{i}") for i in (1, 2)]
+    nodes = entries.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *hashed).where("n > 1")
+    same = F.collect_list(F.when(F.col("n") > NODE, F.col("node"))).alias("same")
+    nodes = nodes.groupBy("n", "h1", "h2").agg(F.min("node").alias("node"), same).select("node", "n", "same")
+    return stored(entries.join(stored(nodes, "nodes"), "node").select("node", "rep", "n", "same"), "members")
+
+
 def _final_nodes(sets: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
-    """(node, rep, n) of the nodes to compare: members of nodes of two sets at least, split while large and unlike."""
-    final = members.where(F.col("n") <= NODE)
+    """(node, rep, n) of the nodes to compare: members of nodes of two sets at least, split while large and unlike.
+
+    A node without a child of two sets ends here: that its pairs are missed is part of the loss that the runs make up for.
+    """
+    final = members.where(F.col("n") <= NODE).drop("same")
     large = stored(members.where(F.col("n") > NODE), "large")
     for depth in range(DEPTH):
         if large.isEmpty():
             return final
-        split = large.join(sets.select("rep", "tokens"), "rep").select("node", "rep", "tokens")
+        split = large.join(sets.select("rep", "tokens"), "rep").select("node", "rep", "same", "tokens")
         children = stored(split.mapInArrow(_splitter(threshold), "parent long, rep long, node long").distinct(), "children")
         sizes = stored(children.groupBy("parent", "node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
         most = sizes.groupBy("parent").agg(F.max("n").alias("most")).withColumnRenamed("parent", "node")
-        judged = stored(large.join(most, "node", "left").withColumn("alike", F.coalesce(F.col("most") >= ALIKE * F.col("n"), F.lit(False))), "judged")
+        judged = stored(large.drop("same").join(most, "node", "left").withColumn("alike", F.coalesce(F.col("most") >= ALIKE * F.col("n"), F.lit(False))), "judged")
         final = final.unionByName(judged.where("alike").select("node", "rep", "n"))
         split_up = judged.where("not alike").select(F.col("node").alias("parent")).distinct()
-        known = sizes.join(split_up, "parent").select("node", "n")
-        kept = stored(children.select("node", "rep").join(known, "node"), "members")
-        final = final.unionByName(kept.where(F.col("n") <= NODE))
+        known = sizes.join(split_up, "parent").select("node")
+        kept = _folded(stored(children.select("node", "rep").join(known, "node"), "kept"))
+        final = final.unionByName(kept.where(F.col("n") <= NODE).drop("same"))
         large = kept.where(F.col("n") > NODE)
-    return final.unionByName(large)
+    return final.unionByName(large.drop("same"))
 
 
 def near_duplicates(
@@ -255,7 +279,7 @@ def near_duplicates(
     Other columns are not read. Pairs are found with probability ``recall`` or more each.
     """
     spark = docs.sparkSession
-    runs = math.ceil(math.log(1 - recall) / -BRANCH_ROOT)
+    runs = _runs(recall)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, size long, digest string, nodes array<long>"
     rows = stored(source.mapInArrow(_scanner(shingle, threshold, runs, seed), schema), "rows")
@@ -264,11 +288,7 @@ def near_duplicates(
     )
     classes = stored(classes, "classes")
     entries = classes.where("rep is not null").select("rep", F.explode(F.array_distinct("nodes")).alias("node"))
-    # Nodes with the same members are one; members' hashes are summed twice to tell them apart.
-    hashed = [F.sum(F.xxhash64(F.lit(i), F.col("rep")).cast("decimal(38,0)")).alias(f"h{i}") for i in (1, 2)]
-    nodes = entries.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *hashed).where("n > 1")
-    nodes = nodes.groupBy("n", "h1", "h2").agg(F.min("node").alias("node")).select("node", "n")
-    members = stored(entries.join(stored(nodes, "nodes"), "node").select("node", "rep", "n"), "members")
+    members = _folded(entries)
     wanted = stored(members.select("rep").distinct().join(classes.select("rep", "copies"), "rep"), "wanted")
     texts = source.join(wanted.hint("shuffle_hash"), F.col("doc_id") == F.col("rep")).select("rep", "copies", "text")
     texts = texts.groupBy("rep").agg(F.any_value("copies").alias("copies"), F.any_value("text").alias("text"))

@@ -187,6 +187,36 @@ def test_near_duplicates_equal_brute_force(node, docs, rows, empty, monkeypatch)
     assert jaccard_join.near_duplicates(empty).count() == 0
 
 
+def test_large_groups_of_one_body_keep_their_links(spark, monkeypatch):
+    # Each group is one trial of its own keys: all of its members share every shingle but the last.
+    monkeypatch.setattr(jaccard_join, "NODE", 8)
+    rnd, rows, groups, copies = np.random.default_rng(3), [], 500, 20
+    for g in range(groups):
+        body = " ".join(f"w{x}" for x in rnd.integers(0, 1 << 40, 50))
+        rows += [(g * copies + c, f"{body} tail{c}") for c in range(copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = jaccard_join.near_duplicates(docs).collect()
+    assert Counter((r["doc_id"] // copies * copies == r["class_id"], r["n_links"]) for r in got) == {(True, copies - 1): len(rows)}
+
+
+# At the first three seeds the least root node has no child that two of the copies follow.
+@pytest.mark.parametrize("seed", [121, 168, 283, 5])
+def test_a_thousand_copies_that_differ_in_the_last_word(spark, seed):
+    body = " ".join(f"w{x}" for x in range(60))
+    docs = spark.createDataFrame([(i, f"{body} tail{i}") for i in range(1000)], "doc_id long, text string").repartition(8)
+    got = jaccard_join.near_duplicates(docs, seed=seed).collect()
+    assert {(r["class_id"], r["n_links"]) for r in got} == {(0, 999)}
+
+
+def test_runs_make_up_for_what_splits_lose():
+    # A pair follows Poisson many shared children at the root, and each of those is lost with the chance below.
+    lost = 0.0
+    for _ in range(jaccard_join.DEPTH):
+        lost = np.exp(-jaccard_join.BRANCH_BELOW * (1 - lost))
+    for recall in (0.5, 0.9, 0.999, 0.99999):
+        assert np.exp(-jaccard_join._runs(recall) * jaccard_join.BRANCH_ROOT * (1 - lost)) <= 1 - recall
+
+
 def test_copies_and_the_index_across_batches(spark, docs, rows, empty):
     from provtally.session import new_folder
 

@@ -1,9 +1,10 @@
 """URL filters: explicit rules first, then a tree of path templates per host.
 
-A path's segments are generalised by shape (numbers, hex strings), then segments that vary too much
-below their parent become wildcards. The templates' labelled pages give each a purity, smoothed
-towards its host and that towards the whole; sibling templates whose rates do not differ
-significantly are merged first. A template whose purity is too low is blocked.
+A path's segments are generalised by shape (numbers, hex strings), then from the root down segments
+that vary too much below their generalised parent become wildcards. The templates' labelled pages
+give each a purity, smoothed towards its host and that towards the whole; sibling branches whose
+rates do not differ significantly are merged first, from the leaves up. A template whose purity is
+too low is blocked.
 """
 
 from __future__ import annotations
@@ -64,19 +65,71 @@ def _rules_by_host(branches: DataFrame, rules: Sequence[UrlRule]) -> DataFrame:
 
 
 def _templates(branches: DataFrame) -> DataFrame:
-    """branch -> template: per parent in the tree, rare children among many become wildcards."""
-    placed = branches.select("branch", "host", "n", "shapes", F.posexplode("shapes").alias("at", "segment"))
-    # A node is its host and the shapes above it.
-    placed = placed.withColumn("parent", F.concat_ws("/", "host", F.slice("shapes", F.lit(1), F.col("at")))).drop("shapes")
-    children = stored(placed.groupBy("parent", "at", "segment").agg(F.sum("n").alias("n")), "children")
-    parents = children.groupBy("parent", "at").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("many"))
-    rare = children.join(parents, ["parent", "at"])
-    rare = rare.where((F.col("many") > MANY_CHILDREN) & (F.col("n") < LEAST_SHARE * F.col("total")))
-    rare = rare.where("segment <> '' and not startswith(segment, '{')").select("parent", "at", "segment", F.lit(True).alias("rare"))
-    named = placed.join(rare, ["parent", "at", "segment"], "left")
-    kept = F.when(F.col("rare"), F.lit(WILD)).otherwise(F.col("segment"))
-    steps = F.sort_array(F.collect_list(F.struct("at", kept.alias("segment"))))
-    return named.groupBy("branch").agg(F.array_join(F.transform(steps, lambda x: x["segment"]), "/").alias("template"))
+    """branch -> template: level by level, rare children among many below a generalised parent become wildcards.
+
+    A parent of at most MANY_CHILDREN paths can have no wildcard below it, so its paths end with
+    their own segments; only the others go a level further.
+    """
+    rows = branches.select("branch", "host", "n", "shapes", F.lit("").alias("above"))
+    done = rows.where(F.size("shapes") == 1).select("branch", F.col("above").alias("template"))
+    rows, at = rows.where(F.size("shapes") > 1), 1
+    while not rows.isEmpty():
+        # The host has no slash and what is above is empty or begins with one.
+        parent, segment = F.concat("host", "above"), F.col("shapes")[at]
+        rows = rows.withColumn("parent", parent).withColumn("segment", segment)
+        rows = rows.withColumn("child", F.concat_ws("/", "parent", "segment"))
+        deeper = F.sum((F.size("shapes") > at + 1).cast("long")).alias("deeper")
+        children = rows.groupBy("host", "above", "parent", "segment", "child").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("paths"), deeper)
+        children = stored(children, "children")
+        parents = stored(children.groupBy("parent").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("many")), "parents")
+        judged = with_group(children, parents, "parent", "many", F.concat(F.lit("\n"), "child"))
+        rare = (F.col("many") > MANY_CHILDREN) & (F.col("n") < LEAST_SHARE * F.col("total"))
+        rare = rare & (F.col("segment") != "") & ~F.startswith("segment", F.lit("{"))
+        judged = judged.withColumn("next", F.concat_ws("/", "above", F.when(rare, WILD).otherwise(F.col("segment"))))
+        judged = stored(judged.select("host", "child", "paths", "deeper", "next"), "judged")
+        wide = judged.groupBy("host", "next").agg(F.sum("deeper").alias("below"), F.count(F.lit(1)).alias("members"))
+        wide = wide.select(F.concat("host", "next").alias("whole"), (F.col("below") > MANY_CHILDREN).alias("wide"), "members")
+        judged = judged.withColumn("whole", F.concat("host", "next"))
+        judged = with_group(judged, stored(wide, "wide"), "whole", "members", F.concat(F.lit("\n"), "child"))
+        judged = stored(judged.select("child", "paths", "next", "wide"), "judged")
+        rows = with_group(rows, judged, "child", "paths", F.concat(F.lit("\n"), "branch"))
+        rows = stored(rows.select("branch", "host", "n", "shapes", "next", "wide"), "level")
+        at += 1
+        on = F.col("wide") & (F.size("shapes") > at)
+        rest = F.slice("shapes", F.lit(at + 1), F.greatest(F.size("shapes") - at, F.lit(0)))
+        ended = rows.where(~on).select("branch", F.array_join(F.concat(F.array("next"), rest), "/").alias("template"))
+        done = done.unionByName(ended)
+        rows = rows.where(on).select("branch", "host", "n", "shapes", F.col("next").alias("above"))
+    return done
+
+
+def _pooled(stats: DataFrame, base: float) -> DataFrame:
+    """stats with the pool of each template: siblings of like rates are one, level by level from the leaves up.
+
+    Siblings' patterns differ in one segment, literal or wildcard; merged ones have a wildcard there and
+    meet the merged ones of their parent's siblings a level further up.
+    """
+    rows = stats.withColumn("pattern", F.split("template", "/", -1)).withColumn("pool", F.col("template"))
+    # Only where paths of one host and length differ can any be siblings.
+    places = rows.select("host", F.size("pattern").alias("length"), F.posexplode("pattern").alias("at", "segment"))
+    places = places.groupBy("host", "length", "at").agg(F.min("segment").alias("low"), F.max("segment").alias("high"))
+    levels = [r["at"] for r in places.where("low <> high").select("at").distinct().collect()]
+    for at in sorted(levels, reverse=True):
+        literal = (F.size("pattern") > at) & F.get("pattern", F.lit(at)).rlike("^[^{*]")
+        starred = F.transform("pattern", lambda x, i: F.when(i == at, F.lit(WILD)).otherwise(x))  # noqa: B023
+        groups = rows.groupBy("host", "pattern", "pool").agg(F.sum("seen").alias("seen"), F.sum("good").alias("good"))
+        groups = stored(groups.withColumn("family", F.when(literal, starred).otherwise(F.col("pattern"))), "groups")
+        whole = groups.groupBy("host", "family").agg(F.sum("seen").alias("all_seen"), F.sum("good").alias("all_good"))
+        rate = F.when(F.col("all_seen") > 0, F.col("all_good") / F.col("all_seen")).otherwise(F.lit(base))
+        apart = F.abs(F.col("good") - F.col("seen") * rate)
+        like = apart <= DIFFERENT * F.sqrt(F.greatest(F.col("seen") * rate * (1 - rate), F.lit(0.0))) + 1e-9
+        alike = stored(groups.join(whole, ["host", "family"]).where(like).select("host", "family", "pool"), "siblings")
+        merged = alike.groupBy("host", "family").agg(F.min("pool").alias("joint"), F.count(F.lit(1)).alias("many")).where("many > 1")
+        moved = alike.join(merged, ["host", "family"]).select("host", "pool", "family", "joint")
+        rows = rows.join(moved, ["host", "pool"], "left")
+        rows = rows.select(*stats.columns, F.coalesce("family", "pattern").alias("pattern"), F.coalesce("joint", "pool").alias("pool"))
+        rows = stored(rows, "pools")
+    return rows.drop("pattern")
 
 
 def _purity(leaves: DataFrame) -> DataFrame:
@@ -88,20 +141,11 @@ def _purity(leaves: DataFrame) -> DataFrame:
     base = (whole["good"] / whole["seen"]) if whole["seen"] else 1.0
     hosts = stats.groupBy("host").agg(F.sum("seen").alias("host_seen"), F.sum("good").alias("host_good"))
     prior = (F.col("host_good") + HOST_PRIOR * base) / (F.col("host_seen") + HOST_PRIOR)
-    # Siblings differ in one literal segment, the first one.
-    family = F.regexp_replace("template", r"^(/?)[^/{*][^/]*", "$1*")
-    rows = stats.withColumn("family", family)
-    pooled = rows.groupBy("host", "family").agg(F.sum("seen").alias("all_seen"), F.sum("good").alias("all_good"))
-    rows = rows.join(pooled, ["host", "family"])
-    rate = F.when(F.col("all_seen") > 0, F.col("all_good") / F.col("all_seen")).otherwise(F.lit(base))
-    apart = F.abs(F.col("good") - F.col("seen") * rate)
-    like = apart <= DIFFERENT * F.sqrt(F.greatest(F.col("seen") * rate * (1 - rate), F.lit(0.0))) + 1e-9
-    rows = stored(rows.select("host", "template", "family", "seen", "good", like.alias("merged")), "siblings")
-    merged = rows.where("merged").groupBy("host", "family").agg(F.sum("seen").alias("m_seen"), F.sum("good").alias("m_good"))
-    rows = rows.join(merged, ["host", "family"], "left").join(hosts, "host")
-    seen = F.when(F.col("merged"), F.col("m_seen")).otherwise(F.col("seen"))
-    good = F.when(F.col("merged"), F.col("m_good")).otherwise(F.col("good"))
-    return rows.select("host", "template", ((good + TEMPLATE_PRIOR * prior) / (seen + TEMPLATE_PRIOR)).alias("purity"))
+    rows = stored(_pooled(stats, base).select("host", "template", "pool", "seen", "good"), "pooled")
+    pools = rows.groupBy("host", "pool").agg(F.sum("seen").alias("m_seen"), F.sum("good").alias("m_good"))
+    rows = rows.join(pools, ["host", "pool"]).join(hosts, "host")
+    purity = (F.col("m_good") + TEMPLATE_PRIOR * prior) / (F.col("m_seen") + TEMPLATE_PRIOR)
+    return rows.select("host", "template", purity.alias("purity"))
 
 
 def url_verdicts(

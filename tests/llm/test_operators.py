@@ -325,3 +325,28 @@ def test_varying_segments_become_wildcards(spark):
     labels = spark.createDataFrame([(1, True)], "page_id long, good boolean")
     got = url_filter.url_verdicts(pages, labels, url_filter.QUERY_RULES).select("template").distinct().collect()
     assert [r[0] for r in got] == ["/*/home"]
+
+
+def test_segments_below_a_wildcard_become_wildcards(spark):
+    urls = [f"http://h.example/user-{chr(97 + u)}{v}/slug-{chr(97 + s)}{u}x{v}" for u in range(26) for v in "abcd" for s in range(4)]
+    deep = [f"http://h.example/one/{u}/two/{s}-{u}/end" for u in ("abcdefghijklmnopqrstuvwxyz") for s in "pq"]
+    rows = list(enumerate([*urls, *deep, "http://alone.example/" + "a/" * 40, "http://bare.example"]))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(1, True)], "page_id long, good boolean")
+    got = url_filter.url_verdicts(pages, labels, url_filter.QUERY_RULES).collect()
+    templates = Counter((r["host"], r["template"]) for r in got)
+    assert templates == {
+        ("h.example", "/*/*"): len(urls), ("h.example", "/one/*/two/*/end"): len(deep),
+        ("alone.example", "/" + "a/" * 40): 1, ("bare.example", ""): 1,
+    }
+
+
+def test_like_siblings_are_merged_at_every_level(spark):
+    bad = [f"http://h.example/shop/{a}/{b}" for a in "abc" for b in "xyz"]
+    good = [f"http://h.example/news/{a}/{b}" for a in "abc" for b in "xyz"]
+    rows = list(enumerate((bad + good * 4) * 3))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, "/news/" in u) for i, u in rows if i % 2], "page_id long, good boolean")
+    got = url_filter.url_verdicts(pages, labels, [url_filter.UrlRule("block", "other.example")]).collect()
+    assert {(r["template"].split("/")[1], r["verdict"]) for r in got} == {("shop", "block"), ("news", "allow")}
+    assert len({r["purity"] for r in got}) == 2

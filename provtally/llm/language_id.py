@@ -66,17 +66,17 @@ def _grams(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
             held += len(texts[last]) + 2
             last += 1
         part = texts[first:last]
-        codes = np.frombuffer("\0\0".join([*part, "\0"]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        # A sign before the first text, so that every letter of every text is a centre; a gram is of its centre's row.
+        codes = np.frombuffer(("\0" + "\0\0".join([*part, "\0"])).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         letter = folded().take(codes)
         sizes = np.array([len(t) + 2 for t in part])
-        row = np.repeat(np.arange(len(part)), sizes)[: len(letter) - 2]
-        letter = letter[: len(row) + 2]
+        row = np.repeat(np.arange(len(part)), sizes)
         a, b, c = letter[:-2], letter[1:-1], letter[2:]
         known = b > 0
         pair = (a * np.uint32(0x9E3779B1) ^ b * np.uint32(0x85EBCA77)) * np.uint32(0xC2B2AE3D)
         triple = (pair ^ c * np.uint32(0x27D4EB2F)) * np.uint32(0x165667B1)
         shift = np.uint32(32 - BUCKETS.bit_length() + 1)
-        letters = np.add.reduceat((letter[: len(row)] > 0).astype(np.int64), np.cumsum(sizes) - sizes) if len(row) else sizes * 0
+        letters = np.add.reduceat(known.astype(np.int64), np.cumsum(sizes) - sizes) if len(row) else sizes * 0
         grams = np.stack((pair >> shift, (triple >> shift) + np.uint32(BUCKETS)))[:, known]
         yield first, last, grams, row[known], letters
         first = last

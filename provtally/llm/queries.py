@@ -7,18 +7,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from provtally.llm import (
     byte_bpe,
+    conversation_repair,
     exact_dedup,
     jaccard_join,
     language_id,
     mixing,
+    packing,
     quality_rules,
     sharding,
     substring_dedup,
     suffix_dedup,
     url_filter,
+    whitening,
 )
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +70,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damaged_audits(_table(spark, sf_dir, "conversations"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.piece_digests(packing.pack_documents(_table(spark, sf_dir, "documents"), VOCABULARY))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -79,6 +95,9 @@ QUERIES = {
         op8_exact_dedup,
         op9_mixing,
         op10_quality_rules,
+        op11_conversation_repair,
+        op12_packing,
+        op13_whitening,
     )
 }
 

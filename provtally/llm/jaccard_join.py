@@ -4,11 +4,14 @@ A document is its set of word shingles; documents of equal sets are one class. S
 recursively on shared tokens: at a node each set follows the tokens whose hash, keyed by the node,
 is below branch / (threshold * size). Two sets of at least the threshold follow a common token with
 probability 1 - exp(-branch) or more, so independent runs are repeated until the target recall,
-what splits below lose included. Small nodes are compared by brute force. A large node is split
-again, unless most of it stays together, which means its sets are alike; then it is compared in
-blocks dealt over tasks. Nodes of the same members travel as one, but are split by the key of each,
-so that their losses stay independent. Nothing is capped: every pair in a final node is compared
-exactly, and each similar pair is counted in the least final node that both sets share.
+what splits below lose included. Small nodes are compared by brute force. A large node is divided by
+size, then judged by counts of its tokens: where its sets share most of their tokens on average it is
+compared in blocks dealt over tasks, otherwise it is split on the tokens that less than about half of it holds.
+A set's tokens that most of its node holds, such as a common line, say nothing about a pair, so they are
+left out, and the others followed the more often; sets of little else meet in a child of their own. Nodes
+of the same members travel as one, but are split by the key of each, so that their losses stay independent.
+Nothing is capped: every pair in a final node is compared exactly, and each similar pair is
+counted in the least final node that both sets share.
 """
 
 from __future__ import annotations
@@ -31,9 +34,13 @@ NODE = 768
 NODE_TOKENS = 1_500_000
 #: Expected shared children of a similar pair: at the root, where runs repeat it, and below.
 BRANCH_ROOT, BRANCH_BELOW = 1.0, 4.0
-#: A node whose largest child keeps this share of it is not split further.
-ALIKE = 0.5
+#: A token that this share of a node's sets holds is common there.
+COMMON = 0.4
+#: Two sets of the threshold differ in at most (1 - t) / t of either; this much more has to be uncommon for a split.
+MARGIN = 0.1
 DEPTH = 6
+#: Counts that a task holds before it hands them on.
+HELD = 1 << 20
 
 
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,36 +117,91 @@ def _setter(n: int) -> Callable:
                     [
                         batch.column("rep").slice(first, last - first),
                         batch.column("copies").slice(first, last - first),
+                        pa.array(np.bincount(row, minlength=last - first).astype(np.int64)),
                         lists(pa.array(signed(value)), np.bincount(row, minlength=last - first)),
                     ],
-                    names=["rep", "copies", "tokens"],
+                    names=["rep", "copies", "size", "tokens"],
                 )
 
     return sets
 
 
+def _spare(threshold: float) -> float:
+    """The most of a set that a similar set can lack."""
+    return (1 - threshold) / threshold
+
+
+def _least(threshold: float) -> float:
+    """Share of a set's tokens, uncommon in their node, that similar sets share at least unless both are of common tokens."""
+    return MARGIN * threshold
+
+
+def _looked_at(tokens: np.ndarray, key: np.uint64, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of a set that a node counts: all that a split may follow; and their hashes."""
+    hashed = mix(tokens ^ key)
+    seen = hashed <= _below(BRANCH_BELOW, _least(threshold), np.array([len(tokens)]))
+    return tokens[seen], hashed[seen]
+
+
+def _counter(threshold: float) -> Callable:
+    """(node, child, n): how many sets of a node hold the token of a child, summed in the task."""
+
+    def added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        node, child, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((child, node))
+        node, child, n = node[order], child[order], n[order]
+        new = np.flatnonzero(np.concatenate(([True], (node[1:] != node[:-1]) | (child[1:] != child[:-1])))) if len(node) else np.zeros(0, int)
+        return node[new], child[new], np.add.reduceat(n, new) if len(new) else n
+
+    def out(held: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(signed(held[0])), pa.array(signed(held[1])), pa.array(held[2])], names=["node", "child", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            node, sets = unsigned(batch.column("node").to_numpy()), batch.column("tokens")
+            at, flat = sets.offsets.to_numpy(), unsigned(sets.values.to_numpy())
+            keys = mix(node ^ mixed(7))
+            parts = [] if held is None else [held]
+            for i in range(len(node)):
+                tokens, _ = _looked_at(flat[at[i] : at[i + 1]], keys[i], threshold)
+                parts.append((np.full(len(tokens), node[i]), mix(tokens + keys[i]), np.ones(len(tokens), dtype=np.int64)))
+            held = added(parts) if parts else held
+            if held is not None and len(held[0]) > HELD:
+                yield out(held)
+                held = None
+        if held is not None:
+            yield out(held)
+
+    return count
+
+
 def _splitter(threshold: float) -> Callable:
-    """Children that the sets of large nodes follow, by the key of each node of the same members."""
+    """Children that the sets of a node follow: uncommon tokens, and one child for sets of little else than common ones."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, rep = unsigned(batch.column("node").to_numpy()), batch.column("rep").to_numpy()
-            sets, same = batch.column("tokens"), batch.column("same")
-            at, same_at = sets.offsets.to_numpy(), same.offsets.to_numpy()
-            flat, keys = unsigned(sets.values.to_numpy()), mix(unsigned(same.values.to_numpy()) ^ mixed(7))
-            parents, reps, children = [], [], []
+            sets, common = batch.column("tokens"), batch.column("common")
+            at, common_at = sets.offsets.to_numpy(), common.offsets.to_numpy()
+            flat, known = unsigned(sets.values.to_numpy()), unsigned(common.values.to_numpy())
+            keys = mix(node ^ mixed(7))
+            reps, children = [], []
             for i in range(len(node)):
-                tokens = flat[at[i] : at[i + 1]]
-                bound = _below(BRANCH_BELOW, threshold, np.array([len(tokens)]))
-                for key in keys[same_at[i] : same_at[i + 1]]:
-                    hit = tokens[mix(tokens ^ key) <= bound]
-                    parents.append(np.full(len(hit), node[i]))
-                    reps.append(np.full(len(hit), rep[i]))
-                    children.append(mix(hit + key))
-            if parents:
+                size = int(at[i + 1] - at[i])
+                tokens, hashed = _looked_at(flat[at[i] : at[i + 1]], keys[i], threshold)
+                child = mix(tokens + keys[i])
+                own = ~np.isin(child, known[common_at[i] : common_at[i + 1]])
+                uncommon = float(own.mean()) if len(own) else 0.0
+                shared = max(uncommon - _spare(threshold), _least(threshold))
+                followed = child[own & (hashed <= _below(BRANCH_BELOW, shared, np.array([size])))]
+                if uncommon <= _spare(threshold) + MARGIN:
+                    followed = np.append(followed, keys[i] ^ mixed(8))
+                reps.append(np.full(len(followed), rep[i]))
+                children.append(followed)
+            if reps:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(np.concatenate(parents))), pa.array(np.concatenate(reps)), pa.array(signed(np.concatenate(children)))],
-                    names=["parent", "rep", "node"],
+                    [pa.array(np.concatenate(reps)), pa.array(signed(np.concatenate(children)))], names=["rep", "node"]
                 )
 
     return split
@@ -227,13 +289,33 @@ def _comparer(threshold: float) -> Callable:
 
 
 def _folded(entries: DataFrame) -> DataFrame:
-    """(node, rep, n, same) of nodes of two sets at least: nodes of the same members as one; same lists them if it is large."""
+    """(node, rep, n, same) of nodes of two sets at least: nodes of the same members as one; same lists the keys of a large one.
+
+    ``entries`` has node, rep and, where its nodes are folded already, the keys ``same`` of each.
+    """
     # Members' hashes are summed twice to tell them apart.
     hashed = [F.sum(F.xxhash64(F.lit(i), F.col("rep")).cast("decimal(38,0)")).alias(f"h{i}") for i in (1, 2)]
-    nodes = entries.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *hashed).where("n > 1")
-    same = F.collect_list(F.when(F.col("n") > NODE, F.col("node"))).alias("same")
+    keys = F.any_value("same") if "same" in entries.columns else F.array("node")
+    nodes = entries.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *hashed, *([keys.alias("keys")] if "same" in entries.columns else [])).where("n > 1")
+    nodes = nodes if "keys" in nodes.columns else nodes.withColumn("keys", keys)
+    same = F.flatten(F.collect_list(F.when(F.col("n") > NODE, F.col("keys")))).alias("same")
     nodes = nodes.groupBy("n", "h1", "h2").agg(F.min("node").alias("node"), same).select("node", "n", "same")
-    return stored(entries.join(stored(nodes, "nodes"), "node").select("node", "rep", "n", "same"), "members")
+    return stored(entries.select("node", "rep").join(stored(nodes, "nodes"), "node").select("node", "rep", "n", "same"), "members")
+
+
+def _by_size(large: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Members of large nodes divided by size: similar sets are in one class of sizes or in two next to each other."""
+    step = F.floor(F.log(F.col("size")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int")
+    sized = large.join(sets.select("rep", "size"), "rep").withColumn("class", step)
+    sized = sized.withColumn("class", F.explode(F.array("class", F.col("class") - 1)))
+    keyed = F.transform("same", lambda key: F.xxhash64(key, F.col("class")))
+    return sized.select(F.xxhash64("node", "class").alias("node"), "rep", keyed.alias("same"))
+
+
+def _counts(nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(node, child, n): sets of a node that hold a token, of the tokens that a split may follow."""
+    held = nodes.select("node", "rep").join(sets.select("rep", "tokens"), "rep").select("node", "tokens")
+    return held.mapInArrow(_counter(threshold), "node long, child long, n long").groupBy("node", "child").agg(F.sum("n").alias("n"))
 
 
 def _final_nodes(sets: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
@@ -241,23 +323,35 @@ def _final_nodes(sets: DataFrame, members: DataFrame, threshold: float) -> DataF
 
     A node without a child of two sets ends here: that its pairs are missed is part of the loss that the runs make up for.
     """
-    final = members.where(F.col("n") <= NODE).drop("same")
-    large = stored(members.where(F.col("n") > NODE), "large")
-    for depth in range(DEPTH):
+    small, brief = F.col("n") <= NODE, ("node", "rep", "n")
+    final = members.where(small).select(*brief)
+    large = members.where(~small)
+    if large.isEmpty():
+        return final
+    divided = _folded(stored(_by_size(large, sets, threshold), "sized"))
+    final, large = final.unionByName(divided.where(small).select(*brief)), divided.where(~small)
+    for _ in range(DEPTH):
         if large.isEmpty():
             return final
-        split = large.join(sets.select("rep", "tokens"), "rep").select("node", "rep", "same", "tokens")
-        children = stored(split.mapInArrow(_splitter(threshold), "parent long, rep long, node long").distinct(), "children")
-        sizes = stored(children.groupBy("parent", "node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
-        most = sizes.groupBy("parent").agg(F.max("n").alias("most")).withColumnRenamed("parent", "node")
-        judged = stored(large.drop("same").join(most, "node", "left").withColumn("alike", F.coalesce(F.col("most") >= ALIKE * F.col("n"), F.lit(False))), "judged")
-        final = final.unionByName(judged.where("alike").select("node", "rep", "n"))
-        split_up = judged.where("not alike").select(F.col("node").alias("parent")).distinct()
-        known = sizes.join(split_up, "parent").select("node")
-        kept = _folded(stored(children.select("node", "rep").join(known, "node"), "kept"))
-        final = final.unionByName(kept.where(F.col("n") <= NODE).drop("same"))
-        large = kept.where(F.col("n") > NODE)
-    return final.unionByName(large.drop("same"))
+        totals = large.groupBy("node").agg(F.max("n").alias("sets"))
+        held = _counts(large, sets, threshold).groupBy("node").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs"), F.sum("n").alias("all"))
+        # Of a set's tokens, the share that another set of the node holds, on average.
+        alike = F.col("pairs") >= (1 - _spare(threshold) - MARGIN) * F.col("sets") * F.col("all")
+        judged = stored(totals.join(held, "node").select("node", alike.alias("alike")), "judged")
+        known = stored(large.join(judged, "node"), "known")
+        final = final.unionByName(known.where("alike").select(*brief))
+        unlike = stored(known.where("not alike").select(F.explode("same").alias("node"), "rep", "n"), "unlike")
+        if unlike.isEmpty():
+            return final
+        totals = unlike.groupBy("node").agg(F.max("n").alias("sets"))
+        common = _counts(unlike, sets, threshold).join(totals, "node").where(F.col("n") >= COMMON * F.col("sets"))
+        common = stored(common.groupBy("node").agg(F.collect_list("child").alias("common")), "common")
+        nothing = F.coalesce("common", F.array().cast("array<long>")).alias("common")
+        split = unlike.join(common, "node", "left").join(sets.select("rep", "tokens"), "rep").select("node", "rep", nothing, "tokens")
+        children = stored(split.mapInArrow(_splitter(threshold), "rep long, node long").distinct(), "children")
+        kept = _folded(children)
+        final, large = final.unionByName(kept.where(small).select(*brief)), kept.where(~small)
+    return final.unionByName(large.select(*brief))
 
 
 def near_duplicates(
@@ -292,15 +386,15 @@ def near_duplicates(
     wanted = stored(members.select("rep").distinct().join(classes.select("rep", "copies"), "rep"), "wanted")
     texts = source.join(wanted.hint("shuffle_hash"), F.col("doc_id") == F.col("rep")).select("rep", "copies", "text")
     texts = texts.groupBy("rep").agg(F.any_value("copies").alias("copies"), F.any_value("text").alias("text"))
-    sets = bucketed(texts.mapInArrow(_setter(shingle), "rep long, copies long, tokens array<long>"), "rep", "sets")
+    sets = bucketed(texts.mapInArrow(_setter(shingle), "rep long, copies long, size long, tokens array<long>"), "rep", "sets")
     final = stored(_final_nodes(sets, members, threshold), "final")
     own = final.groupBy("rep").agg(F.collect_set("node").alias("nodes"))
-    weights = final.join(classes.select("rep", "size"), "rep").groupBy("node").agg(F.sum("size").alias("weight"))
+    weights = final.join(classes.select("rep", "size"), "rep").groupBy("node").agg(F.sum("size").alias("weight"), F.count(F.lit(1)).alias("sets"))
     parts = F.ceil(F.greatest(F.col("n") / F.lit(NODE), F.col("weight") / F.lit(NODE_TOKENS))).cast("int")
-    dealt = final.join(stored(weights, "weights"), "node").withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("rep", "node"), F.col("parts")).cast("int"))
+    dealt = with_group(final, stored(weights, "weights"), "node", "sets", F.xxhash64(F.lit("row"), "rep", "node")).withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("rep", "node"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("node", "rep", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
-    shipped = dealt.join(sets.join(own, "rep"), "rep")
+    shipped = dealt.join(sets.drop("size").join(own, "rep"), "rep")
     shipped = shipped.select("node", "one", "two", "block", "rep", "copies", "tokens", "nodes")
     shipped = shipped.repartition("node", "one", "two").sortWithinPartitions("node", "one", "two")
     found = stored(shipped.mapInArrow(_comparer(threshold), "rep long, label long, links long"), "found")

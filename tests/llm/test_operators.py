@@ -350,3 +350,54 @@ def test_like_siblings_are_merged_at_every_level(spark):
     got = url_filter.url_verdicts(pages, labels, [url_filter.UrlRule("block", "other.example")]).collect()
     assert {(r["template"].split("/")[1], r["verdict"]) for r in got} == {("shop", "block"), ("news", "allow")}
     assert len({r["purity"] for r in got}) == 2
+
+
+def _compared(monkeypatch, spark, n, seed=0):
+    """Pairs of sets that final nodes compare, and links found, for texts that share one line of ten words and nothing else."""
+    rnd = np.random.default_rng(seed)
+    line = " ".join(f"licence{x}" for x in range(10))
+    rows = [(i, " ".join(f"w{x}" for x in rnd.integers(0, 1 << 60, 60)) + " " + line) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    nodes, final = [], jaccard_join._final_nodes
+
+    def counted(*args):
+        found = final(*args)
+        nodes.extend(found.groupBy("node").count().collect())
+        return found
+
+    monkeypatch.setattr(jaccard_join, "_final_nodes", counted)
+    links = jaccard_join.near_duplicates(docs).agg({"n_links": "sum"}).first()[0]
+    monkeypatch.setattr(jaccard_join, "_final_nodes", final)
+    return sum(r["count"] * (r["count"] - 1) // 2 for r in nodes), links
+
+
+def test_texts_that_share_one_line_are_not_compared_in_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "NODE", 64)
+    for n in (1500, 3000, 6000):
+        pairs, links = _compared(monkeypatch, spark, n)
+        assert pairs <= 70 * n and links == 0
+
+
+def test_clusters_below_common_lines_keep_their_links(spark, monkeypatch):
+    # Half of each text is the same in all of them; clusters of three differ in one word.
+    monkeypatch.setattr(jaccard_join, "NODE", 32)
+    rnd, rows = np.random.default_rng(8), []
+    common = " ".join(f"common{x}" for x in range(60))
+    for g in range(200):
+        body = [f"w{x}" for x in rnd.integers(0, 1 << 60, 60)]
+        for c in range(3):
+            own = list(body)
+            own[20 * c] = "changed"
+            rows.append((3 * g + c, " ".join(own) + " " + common))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = jaccard_join.near_duplicates(docs).collect()
+    assert {(r["doc_id"] - r["class_id"] < 3 and r["class_id"] % 3 == 0, r["n_links"]) for r in got} == {(True, 2)}
+
+
+def test_recall_on_a_given_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join.near_duplicates(table).collect()}
+    want = {i: (c, n) for i, c, n, _ in _links([tuple(r) for r in table.collect()])}
+    ends = sum(n for _, n in want.values())
+    assert sum(n for _, n in got.values()) >= 0.999 * ends and all(got[i][1] <= n for i, (_, n) in want.items())
+    assert ends > 100 and sum(got[i] != w for i, w in want.items()) <= 0.001 * ends

@@ -1,7 +1,7 @@
 """Quality rules as a short-circuit cascade.
 
-On a sample each rule's rejection rate and cost are estimated, cost as work on characters and
-words; rules are ordered by rejection per cost and tried in that order until one rejects. The
+On a sample, drawn by a hash of the id, each rule's rejection rate and cost are estimated, cost as work on
+characters and words; rules are ordered by rejection per cost and tried in that order until one rejects. The
 order decides what is computed for a rejected text, never the verdict.
 """
 
@@ -17,7 +17,7 @@ from provtally.llm.common import WORD
 
 GRAM = 5
 SYMBOLS = "[#*$%&|<>]"
-#: Rows that costs and selectivities are estimated on; they only set the order of the rules.
+#: Expected rows that costs and selectivities are estimated on; they only set the order of the rules.
 SAMPLE_ROWS = 1000
 
 
@@ -134,9 +134,16 @@ def _measured(docs: DataFrame, text_col: str) -> DataFrame:
 _FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")
 
 
-def ordered(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text") -> list[Rule]:
-    """Rules by rejection per cost on a sample of at most SAMPLE_ROWS rows; ties keep their order."""
-    sample = _measured(docs.select(F.col(f"`{text_col}`").alias("text")).limit(SAMPLE_ROWS), "text")
+def ordered(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text") -> list[Rule]:
+    """Rules by rejection per cost on a sample of some SAMPLE_ROWS rows; ties keep their order.
+
+    The sample is the rows whose hash of id and length falls below a share of all rows, so it is the same on every run;
+    its texts are measured where they are and only sums leave a task.
+    """
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    share = min(1.0, SAMPLE_ROWS / max(1, docs.count()))
+    drawn = F.pmod(F.xxhash64(F.col("id").cast("string"), F.char_length("text")), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = _measured(rows.where(drawn).select("text"), "text")
     given = {n: F.col("_signals")[n] for n in _FIELDS}
     row = sample.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -172,6 +179,6 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
-def passing(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def passing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that no rule rejects, with docs' columns; a rejected text costs no further rules."""
-    return docs.where(verdict(ordered(docs, text_col=text_col), text_col).isNull())
+    return docs.where(verdict(ordered(docs, id_col=id_col, text_col=text_col), text_col).isNull())

@@ -36,6 +36,16 @@ def utf8_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def packed(df: DataFrame, name: str = "row") -> DataFrame:
+    """All columns of df as one struct, so that names used beside it cannot clash with theirs."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
+
+
+def unpacked(df: DataFrame, columns: list[str], name: str = "row") -> list[Column]:
+    """The columns of a struct made by packed, under their own names."""
+    return [df[name].getField(c).alias(c) for c in columns]
+
+
 def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str, spread: Column) -> DataFrame:
     """Left join of rows to one row per group, safe for groups that hold much of all rows.
 
@@ -61,9 +71,10 @@ def numbered(df: DataFrame, order: list[str], name: str = "row_number") -> tuple
     Rows are range-partitioned and sorted once and kept by a reliable checkpoint; a row's number is
     its place in its partition plus the rows of the partitions before. Equal rows may swap numbers.
     """
-    spread = df.withColumn("_tie", F.monotonically_increasing_id())
-    ordered = spread.repartitionByRange(*[F.col(c) for c in order], F.col("_tie"))
-    ordered = ordered.sortWithinPartitions(*order, "_tie").drop("_tie")
+    keys = [f"key{i}" for i in range(len(order))]
+    spread = packed(df).select("row", *[F.col("row").getField(c).alias(k) for c, k in zip(order, keys, strict=True)])
+    spread = spread.withColumn("tie", F.monotonically_increasing_id())
+    ordered = spread.repartitionByRange(*keys, "tie").sortWithinPartitions(*keys, "tie").select("row")
     new_folder(df.sparkSession, "number")
     placed = ordered.checkpoint().withColumn("_place", F.monotonically_increasing_id())
     counts = placed.groupBy(F.shiftright("_place", 33).alias("_part")).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -74,7 +85,8 @@ def numbered(df: DataFrame, order: list[str], name: str = "row_number") -> tuple
     offsets = df.sparkSession.createDataFrame(starts, "_part long, _start long")
     placed = placed.withColumn("_part", F.shiftright("_place", 33)).join(F.broadcast(offsets), "_part")
     number = F.col("_start") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn(name, number).drop("_part", "_place", "_start"), total
+    kept = [c for c in df.columns if c != name]
+    return placed.select(*unpacked(placed, kept), number.alias(name)), total
 
 
 def components(links: DataFrame, spark: SparkSession) -> DataFrame:

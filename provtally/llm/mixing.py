@@ -11,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from provtally.llm.common import WORD, numbered, stored
+from provtally.llm.common import WORD, numbered, packed, stored, unpacked
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST = 3.0
+#: Sources up to which their rates are broadcast, some 50 MB; more are joined by a shuffle.
+BROADCAST_SOURCES = 1 << 20
 
 
 def uniform(id_col: str, seed: int) -> Column:
@@ -81,11 +83,25 @@ def mixed_sizes(
     )
 
 
-def mix_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """The documents themselves, each as often as the mix takes it; columns are those of docs."""
-    plan = stored(mixed_sizes(docs, seed=seed).where("copies > 0").select("doc_id", "source", "copies").distinct(), "copies")
-    plan = plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("copies").alias("_copies"))
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].cast("string").eqNullSafe(F.col("_source"))
-    taken = docs.join(plan.hint("shuffle_hash"), same)
-    taken = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return taken.select(*[docs[c] for c in docs.columns])
+def mix_documents(
+    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = 0
+) -> DataFrame:
+    """The documents themselves, each as often as the mix takes it; columns are those of docs, whatever their names.
+
+    Copies follow from a source's rate and the row's id where the row is: texts are not moved. Nulls,
+    rows of one id and sources without words are treated as in mixed_sizes.
+    """
+    rows = packed(docs)
+    field = rows["row"].getField
+    rows = rows.select("row", field("doc_id").alias("id"), field("source").cast("string").alias("source"))
+    size = F.coalesce(F.regexp_count(rows["row"].getField("text"), F.lit(WORD)), F.lit(0)).cast("long")
+    sizes = rows.groupBy("source").agg(F.sum(size).alias("source_size"))
+    targets = source_targets(sizes, weights, most)
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    rates = stored(targets.select(F.col("source").alias("name"), rate.alias("rate")), "rates")
+    rates = F.broadcast(rates) if rates.count() <= BROADCAST_SOURCES else rates
+    joined = rows.join(rates, F.col("source").eqNullSafe(F.col("name")))
+    whole = F.floor("rate")
+    copies = (whole + (uniform("id", seed) < F.col("rate") - whole).cast("long")).cast("int")
+    taken = joined.select("row", F.explode(F.array_repeat(F.lit(True), copies)).alias("copy"))
+    return taken.select(*unpacked(taken, docs.columns))

@@ -97,11 +97,12 @@ def _scanner(n: int, threshold: float, runs: int, seed: int) -> Callable:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
+                        batch.column(2).slice(first, last - first),
                         pa.array(size.astype(np.int64)),
                         pa.array([f"{a:016x}{b:016x}" for a, b in zip(one.tolist(), two.tolist(), strict=True)]),
                         lists(pa.array(signed(node[order])), np.bincount(owner, minlength=last - first)),
                     ],
-                    names=["doc_id", "size", "digest", "nodes"],
+                    names=["doc_id", "text_hash", "size", "digest", "nodes"],
                 )
 
     return scan
@@ -363,35 +364,50 @@ def near_duplicates(
     recall: float = RECALL,
     seed: int = 0,
 ) -> DataFrame:
-    """One row per document row: doc_id, class_id, n_links, n_shingles.
+    """One row per document row: doc_id, class_id, n_links, n_shingles, stays, text_hash.
 
     n_links is the number of other document rows whose shingle set has at least the threshold's
     Jaccard similarity, copies included; class_id is the least doc_id that such links lead to.
     Words are runs of anything but ASCII white space, unchanged. A text of fewer words than a
-    shingle is one shingle; null texts and texts without a word link to nothing. Rows of one id
-    should hold one text; a row of null id counts as a copy, but its class is named by another.
-    Other columns are not read. Pairs are found with probability ``recall`` or more each.
+    shingle is one shingle; null texts and texts without a word link to nothing. Rows are told apart by id and
+    text_hash (xxhash64 of the text), so rows of one id, or of none, may hold different texts; a class of null ids alone has
+    a null class_id. stays is true for one row of each class (for equal rows, all): that of the least id. Other columns are not read. Pairs are found with probability ``recall`` or more each.
     """
     spark = docs.sparkSession
     runs = _runs(recall)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, size long, digest string, nodes array<long>"
+    source = source.withColumn("text_hash", F.xxhash64("text"))
+    schema = "doc_id long, text_hash long, size long, digest string, nodes array<long>"
     rows = stored(source.mapInArrow(_scanner(shingle, threshold, runs, seed), schema), "rows")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("least")
     classes = rows.where("size > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("size"), F.any_value("nodes").alias("nodes")
+        least, F.count(F.lit(1)).alias("copies"), F.max("size").alias("size"), F.any_value("nodes").alias("nodes")
     )
+    classes = classes.select("digest", F.col("least.doc_id").alias("first"), F.col("least.text_hash").alias("text_hash"), "copies", "size", "nodes")
     classes = stored(classes, "classes")
-    entries = classes.where("rep is not null").select("rep", F.explode(F.array_distinct("nodes")).alias("node"))
+    # A class goes by its least id; where that is null, or another class has it too, by a hash of its tokens.
+    shared = stored(classes.groupBy("first").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or first is null").select(F.col("first").alias("_first")), "shared")
+    plain = shared.isEmpty()
+    if plain:
+        classes = classes.withColumn("rep", F.col("first"))
+    else:
+        classes = classes.join(shared, F.col("first").eqNullSafe(F.col("_first")), "left")
+        own = F.when(F.col("first").isNull() | F.col("_first").isNotNull(), F.xxhash64("digest")).otherwise(F.col("first"))
+        classes = stored(classes.withColumn("rep", own).drop("_first"), "classes")
+    entries = classes.select("rep", F.explode(F.array_distinct("nodes")).alias("node"))
     members = _folded(entries)
-    wanted = stored(members.select("rep").distinct().join(classes.select("rep", "copies"), "rep"), "wanted")
-    texts = source.join(wanted.hint("shuffle_hash"), F.col("doc_id") == F.col("rep")).select("rep", "copies", "text")
-    texts = texts.groupBy("rep").agg(F.any_value("copies").alias("copies"), F.any_value("text").alias("text"))
+    place = F.xxhash64("doc_id", "text_hash").alias("place")
+    wanted = members.select("rep").distinct().join(classes.select("rep", "copies", F.col("first").alias("doc_id"), "text_hash"), "rep")
+    wanted = stored(wanted.select("rep", "copies", place), "wanted")
+    texts = source.select("text", place).join(wanted.hint("shuffle_hash"), "place")
+    texts = texts.groupBy("place").agg(*[F.any_value(c).alias(c) for c in ("rep", "copies", "text")])
     sets = bucketed(texts.mapInArrow(_setter(shingle), "rep long, copies long, size long, tokens array<long>"), "rep", "sets")
     final = stored(_final_nodes(sets, members, threshold), "final")
     own = final.groupBy("rep").agg(F.collect_set("node").alias("nodes"))
     weights = final.join(classes.select("rep", "size"), "rep").groupBy("node").agg(F.sum("size").alias("weight"), F.count(F.lit(1)).alias("sets"))
     parts = F.ceil(F.greatest(F.col("n") / F.lit(NODE), F.col("weight") / F.lit(NODE_TOKENS))).cast("int")
-    dealt = with_group(final, stored(weights, "weights"), "node", "sets", F.xxhash64(F.lit("row"), "rep", "node")).withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("rep", "node"), F.col("parts")).cast("int"))
+    dealt = with_group(final, stored(weights, "weights"), "node", "sets", F.xxhash64(F.lit("row"), "rep", "node")).withColumn("parts", parts)
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep", "node"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("node", "rep", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
     shipped = dealt.join(sets.drop("size").join(own, "rep"), "rep")
@@ -402,12 +418,25 @@ def near_duplicates(
     grouped = components(found.select(F.col("rep").alias("a"), F.col("label").alias("b")), spark)
     grouped = grouped.select(F.col("node").alias("rep"), "component")
     named = classes.drop("nodes", "size").join(links, "rep", "left").join(grouped, "rep", "left")
-    named = stored(named, "named")
+    named = named.withColumn("component", F.coalesce("component", "rep"))
+    if plain:
+        chosen = F.when(F.col("component") == F.col("rep"), F.col("text_hash"))
+        named = named.withColumn("class_id", F.col("component")).withColumn("chosen", chosen)
+    else:
+        named = stored(named, "named")
+        least = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "text_hash")).alias("least")
+        ids = stored(named.groupBy("component").agg(least, F.count(F.lit(1)).alias("sets")), "ids")
+        named = with_group(named, ids, "component", "sets", F.xxhash64(F.lit("row"), "rep"))
+        named = named.withColumn("class_id", F.col("least.first")).withColumn("chosen", F.col("least.text_hash"))
+    named = stored(named.select("digest", "copies", "links", "class_id", "chosen"), "named")
     out = with_group(rows.drop("nodes"), named, "digest", "copies", F.concat(F.lit("row "), F.col("doc_id").cast("string")))
     grown = F.col("size") > 0
+    stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & F.col("text_hash").eqNullSafe(F.col("chosen"))
     return out.select(
         "doc_id",
-        F.when(grown, F.coalesce("component", "rep", "doc_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(grown, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.when(grown, F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).otherwise(F.lit(0)).cast("long").alias("n_links"),
         F.col("size").alias("n_shingles"),
+        F.coalesce(~grown | stays, F.lit(False)).alias("stays"),
+        "text_hash",
     )

@@ -42,7 +42,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents")).drop("stays", "text_hash")
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

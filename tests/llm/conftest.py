@@ -3,6 +3,9 @@ import random
 import pytest
 from pyspark.sql import types as T
 
+# More names that the stages or their helpers use.
+CLASHES = ("_id", "_digest", "_sha", "_copies", "_source", "_part", "_place", "_start", "_tie", "row", "name", "place", "rate", "copy")
+
 SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -14,6 +17,7 @@ SCHEMA = T.StructType(
         T.StructField("digest", T.StringType()),
         T.StructField("spans", T.LongType()),
         T.StructField("score", T.StringType()),
+        *[T.StructField(n, T.StringType()) for n in CLASHES],
     ]
 )
 
@@ -45,9 +49,9 @@ def _texts() -> list[str | None]:
 
 @pytest.fixture(scope="session")
 def rows():
-    made = [(i, t, "en" if i % 2 else "de", [None, "a", "b"][i % 3], 0, "d", 1, "s") for i, t in enumerate(_texts())]
+    made = [(i, t, "en" if i % 2 else "de", [None, "a", "b"][i % 3], 0, "d", 1, "s", *(f"{n} of {i}" for n in CLASHES)) for i, t in enumerate(_texts())]
     # Repeated rows, and one without an id.
-    return [*made, made[0], made[4], (None, "no id " * 30, None, None, None, None, None, None)]
+    return [*made, made[0], made[4], (None, "no id " * 30, *[None] * (6 + len(CLASHES)))]
 
 
 @pytest.fixture(scope="session")

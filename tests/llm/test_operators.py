@@ -183,7 +183,7 @@ def test_a_line_that_two_texts_repeat_is_hot(find, spark):
 @pytest.mark.parametrize("node", [768, 3])
 def test_near_duplicates_equal_brute_force(node, docs, rows, empty, monkeypatch):
     monkeypatch.setattr(jaccard_join, "NODE", node)
-    assert sorted((tuple(r) for r in jaccard_join.near_duplicates(docs).collect()), key=repr) == _links(rows)
+    assert sorted((tuple(r)[:4] for r in jaccard_join.near_duplicates(docs).collect()), key=repr) == _links(rows)
     assert jaccard_join.near_duplicates(empty).count() == 0
 
 
@@ -283,6 +283,7 @@ def test_quality_signals_equal_brute_force_and_the_cascade_its_rules(docs, rows,
     passed = quality_rules.passing(docs)
     assert passed.columns == docs.columns and passed.count() == sum(r["kept"] for r in got)
     assert quality_rules.judge(empty).count() == 0 and quality_rules.passing(empty).count() == 0
+    assert quality_rules.ordered(docs) == quality_rules.ordered(docs.repartition(2))
     plan = passed._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
@@ -352,6 +353,20 @@ def test_like_siblings_are_merged_at_every_level(spark):
     assert len({r["purity"] for r in got}) == 2
 
 
+def test_rows_of_one_id_and_of_none_are_told_apart(spark):
+    rnd = np.random.default_rng(6)
+    texts = [" ".join(f"w{x}" for x in rnd.integers(0, 1 << 60, 60)) for _ in range(4)]
+    rows = [(1, texts[0]), (2, texts[0] + " x"), (2, texts[1]), (None, texts[2]), (None, texts[2] + " y"), (None, texts[3]), (5, texts[3] + " z")]
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {(r["doc_id"], r["text"]): (r["class_id"], r["n_links"], r["stays"]) for r in got.join(
+        spark.createDataFrame(rows, "id long, text string").selectExpr("xxhash64(text) as text_hash", "text"), "text_hash").collect()}
+    assert found[1, rows[0][1]][:2] == found[2, rows[1][1]][:2] == (1, 1) and found[2, rows[2][1]] == (2, 0, True)
+    assert found[None, rows[3][1]][:2] == found[None, rows[4][1]][:2] == (None, 1)
+    assert found[None, rows[5][1]][:2] == found[5, rows[6][1]][:2] == (5, 1)
+    for pair in ((0, 1), (3, 4), (5, 6)):
+        assert sum(found[rows[i]][2] for i in pair) == 1
+
+
 def _compared(monkeypatch, spark, n, seed=0):
     """Pairs of sets that final nodes compare, and links found, for texts that share one line of ten words and nothing else."""
     rnd = np.random.default_rng(seed)

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from provtally.functions.countries import country_bucket
 from provtally.functions.identifiers import public_channel_key
 from provtally.functions.labels import date_label
-from provtally.functions.sql import text_array
-from provtally.operators.metrics import channel_counts, one_per_channel
+from provtally.operators.metrics import channel_counts, dataset_at, kept_words, one_per_channel, positions
 from provtally.session import work_root
 from provtally.sources.catalog import Catalog, PublishedFilter
 
@@ -33,15 +32,16 @@ def creator_rows(
 
 def creator_rows_of(counts: DataFrame, channels: DataFrame, catalog: Catalog, flt: PublishedFilter) -> DataFrame:
     """The same out of ``channel_counts``."""
-    members = text_array(sorted(catalog.members(flt)))
+    kept = positions(*kept_words(catalog, catalog.members(flt)))
     per_channel = (
         counts.where("channel_key is not null and videos > 0")
-        .selectExpr("channel_key", "videos", f"array_intersect(datasets, {members}) as kept")
+        .selectExpr("channel_key", "videos", f"{kept} as kept")
         .where("size(kept) > 0")
         # The entry without a dataset counts the channel's videos once each.
-        .selectExpr("channel_key", "videos", "explode_outer(array_append(kept, null)) as dataset_id")
-        .groupBy("channel_key", "dataset_id")
+        .selectExpr("channel_key", "videos", "explode_outer(array_append(kept, null)) as place")
+        .groupBy("channel_key", "place")
         .agg(F.sum("videos").alias("represented_video_count"))
+        .selectExpr("channel_key", f"{dataset_at(catalog, 'place')} as dataset_id", "represented_video_count")
         .groupBy("channel_key")
         # At most one entry per dataset of the catalogue.
         .agg(

@@ -2,8 +2,8 @@
 
 Filters overlap, so their distinct counts cannot be added up from parts. Joining every
 occurrence to every filter would multiply the largest table. Instead each video is reduced
-once to the sorted list of datasets it occurs in (its dataset set) and videos with the same
-set are counted together; filters are matched against those counts:
+once to the set of datasets it occurs in and videos with the same set are counted together;
+filters are matched against those counts:
 
 1. occurrences -> one row per video and dataset -> one row per video. Counted map-side before
    each shuffle, so a video holding a third of all rows costs its tasks one row per dataset.
@@ -12,19 +12,23 @@ set are counted together; filters are matched against those counts:
    is joined: a channel with a third of all videos is then a handful of rows.
 4. filters are matched against the dataset sets of the counted rows.
 
-A video has one dataset set, so sums over sets are exact distinct counts. Occurrences do add
-up, so they are counted under the set of their one dataset, beside the videos. Nothing in this
-depends on how many datasets or filters a catalogue has.
+A dataset is a bit, by its place in the catalogue, of one of the columns w0, w1, ... of 62 bits
+each, so sets are joined by bit_or and compared as numbers. A video has one dataset set, so
+sums over sets are exact distinct counts. Occurrences do add up, so they are counted under the set of
+their one dataset, beside the videos. Filters are an inverted index: each kind of dataset that
+the filters tell apart has the bitmap of its filters, again in words of 62 bits.
+A counted row meets one entry per kind in its set and word of filters, and
+becomes rows of single filters only once these are joined.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provtally.functions.countries import UNKNOWN_COUNTRY, country_bucket
 from provtally.functions.identifiers import is_video_id
-from provtally.functions.sql import text_list
+from provtally.functions.sql import text_array, text_list
 from provtally.sources.catalog import Catalog
 
 # The resolution states, in published order.
@@ -33,6 +37,9 @@ RESOLVED = "resolved"
 PENDING = "retryableOrPending"
 INVALID = "invalid"
 
+#: Datasets, or filters, in a word; the sign stays clear.
+WORD_BITS = 62
+
 
 def effective_state(video_id: Column, state: Column) -> Column:
     """A malformed identifier is invalid whatever was recorded; one without a known state is pending."""
@@ -42,19 +49,12 @@ def effective_state(video_id: Column, state: Column) -> Column:
 
 def one_per_video(resolutions: DataFrame) -> DataFrame:
     """(video_id, state, channel_key): of several records of a video the first state in published
-    order stays, then a record with a channel before one without, then the least channel."""
-    rank = F.coalesce(
-        F.array_position(F.array(*[F.lit(s) for s in STATES]), F.col("state")).cast("int"), F.lit(0)
-    )
-    order = F.struct(
-        F.when(rank == 0, len(STATES) + 1).otherwise(rank).alias("rank"),
-        F.col("channel_key").isNull().alias("without"),
-        F.col("channel_key").alias("channel_key"),
-        F.col("state").alias("state"),
-    )
-    return resolutions.groupBy("video_id").agg(F.min(order).alias("_first")).select(
-        "video_id", "_first.state", "_first.channel_key"
-    )
+    order stays, one without a known state being last; of a resolved video the least channel."""
+    states = F.array(*[F.lit(s) for s in STATES])
+    rank = F.nullif(F.coalesce(F.array_position(states, F.col("state")).cast("int"), F.lit(0)), F.lit(0))
+    channel = F.when(F.col("state") == RESOLVED, F.col("channel_key"))
+    first = resolutions.groupBy("video_id").agg(F.min(rank).alias("_rank"), F.min(channel).alias("channel_key"))
+    return first.select("video_id", F.get(states, F.col("_rank") - 1).alias("state"), "channel_key")
 
 
 def one_per_channel(channels: DataFrame) -> DataFrame:
@@ -68,59 +68,131 @@ def one_per_channel(channels: DataFrame) -> DataFrame:
     )
 
 
-def video_sets(observations: DataFrame, catalog: Catalog) -> DataFrame:
-    """One row per video: its ``members``, each a dataset with its occurrences, sorted by dataset."""
-    return (
-        observations.where(f"dataset_id in ({text_list(catalog.dataset_ids)})")
-        .groupBy("video_id", "dataset_id")
-        .agg(F.count("*").alias("n"))
-        .groupBy("video_id")
-        # At most one entry per dataset of the catalogue.
-        .agg(F.array_sort(F.collect_list(F.struct("dataset_id", "n"))).alias("members"))
-    )
+def words(catalog: Catalog) -> list[str]:
+    """Names of the columns that hold a dataset set."""
+    return [f"w{i}" for i in range(max(1, -(-len(catalog.datasets) // WORD_BITS)))]
+
+
+def positions(*sets: str) -> str:
+    """SQL for the places of the datasets in a set, given its words as SQL."""
+    bits = f"sequence(0, {WORD_BITS - 1})"
+    parts = [
+        f"transform(filter({bits}, b -> ({word} & shiftleft(1L, b)) <> 0), b -> b + {i * WORD_BITS})"
+        for i, word in enumerate(sets)
+    ]
+    return f"concat({', '.join(parts)})"
+
+
+def kept_words(catalog: Catalog, dataset_ids: list[str]) -> list[str]:
+    """SQL for the words of a set without all but these datasets."""
+    place = {d: i for i, d in enumerate(catalog.dataset_ids)}
+    masks = [0] * len(words(catalog))
+    for d in dataset_ids:
+        masks[place[d] // WORD_BITS] |= 1 << place[d] % WORD_BITS
+    return [f"({w} & {mask}L)" for w, mask in zip(words(catalog), masks, strict=True)]
+
+
+def dataset_at(catalog: Catalog, place: str) -> str:
+    """SQL for the id of the dataset at a place of the catalogue; null for null."""
+    return f"get({text_array(catalog.dataset_ids)}, {place})"
+
+
+def _marked(observations: DataFrame, catalog: Catalog) -> DataFrame:
+    """(video_id, word, bit) of occurrences in datasets of the catalogue."""
+    rows = [(d, i // WORD_BITS, 1 << i % WORD_BITS) for i, d in enumerate(catalog.dataset_ids)]
+    places = observations.sparkSession.createDataFrame(rows, "dataset_id string, word int, bit long")
+    listed = observations.where(f"dataset_id in ({text_list(catalog.dataset_ids)})")
+    # One row per dataset of a catalogue that the driver holds.
+    return listed.join(F.broadcast(places), "dataset_id").select("video_id", "word", "bit")
+
+
+def _union(catalog: Catalog) -> list[Column]:
+    """The set of all marked rows of a group."""
+    return [
+        F.bit_or(F.when(F.col("word") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(w)
+        for i, w in enumerate(words(catalog))
+    ]
 
 
 def set_counts(observations: DataFrame, catalog: Catalog) -> DataFrame:
-    """(datasets) with the videos that occur in exactly these."""
-    sets = video_sets(observations, catalog).select(F.col("members.dataset_id").alias("datasets"))
-    return sets.groupBy("datasets").agg(F.count("*").alias("videos"))
+    """(w0, w1, ...) with the videos that occur in exactly these datasets."""
+    sets = _marked(observations, catalog).groupBy("video_id").agg(*_union(catalog))
+    return sets.groupBy(*words(catalog)).agg(F.count("*").alias("videos"))
 
 
 def _counted(observations: DataFrame, resolutions: DataFrame, catalog: Catalog, *keys: str) -> DataFrame:
-    """(*keys, datasets) with videos and occurrences.
+    """(*keys, w0, w1, ...) with videos and occurrences.
 
     A video counts under its dataset set, its occurrences under the sets of one dataset each.
     """
     recorded = one_per_video(resolutions)
-    joined = video_sets(observations, catalog).join(recorded, "video_id", "left").withColumn(
+    videos = (
+        _marked(observations, catalog)
+        .groupBy("video_id", "word", "bit")
+        .agg(F.count("*").alias("n"))
+        .groupBy("video_id")
+        # At most one entry per dataset of the catalogue.
+        .agg(*_union(catalog), F.collect_list(F.struct("word", "bit", "n")).alias("members"))
+    )
+    joined = videos.join(recorded, "video_id", "left").withColumn(
         "state", effective_state(F.col("video_id"), F.col("state"))
     )
-    entries = """inline_outer(array_append(
-        transform(members, m -> named_struct('datasets', array(m.dataset_id), 'videos', 0L, 'occurrences', m.n)),
-        named_struct('datasets', members.dataset_id, 'videos', 1L, 'occurrences', 0L)))"""
+    sets = words(catalog)
+    single = ", ".join(f"'{w}', if(m.word = {i}, m.bit, 0L)" for i, w in enumerate(sets))
+    whole = ", ".join(f"'{w}', {w}" for w in sets)
+    entries = f"""inline(array_append(
+        transform(members, m -> named_struct({single}, 'videos', 0L, 'occurrences', m.n)),
+        named_struct({whole}, 'videos', 1L, 'occurrences', 0L)))"""
     return (
         joined.withColumn("channel_key", F.when(F.col("state") == RESOLVED, F.col("channel_key")))
+        .select(*keys, F.struct(*sets, "members").alias("v"))
+        .select(*keys, "v.*")
         .selectExpr(*keys, entries)
-        .groupBy(*keys, "datasets")
+        .groupBy(*keys, *sets)
         .agg(F.sum("videos").alias("videos"), F.sum("occurrences").alias("occurrences"))
     )
 
 
 def channel_counts(observations: DataFrame, resolutions: DataFrame, catalog: Catalog) -> DataFrame:
-    """(state, channel_key, datasets) with videos and occurrences; channel only when resolved."""
+    """(state, channel_key, w0, w1, ...) with videos and occurrences; channel only when resolved."""
     return _counted(observations, resolutions, catalog, "state", "channel_key")
 
 
+def _filter_index(spark: SparkSession, catalog: Catalog) -> tuple[DataFrame, list[int]]:
+    """(kind, word, filters): the filters of each kind of dataset as bitmaps; and the kind of each dataset, -1 for none.
+
+    Datasets that no filter tells apart are of one kind.
+    """
+    place = {d: i for i, d in enumerate(catalog.dataset_ids)}
+    member_of: list[list[int]] = [[] for _ in place]
+    for number, flt in enumerate(catalog.filters):
+        for d in set(catalog.members(flt)):
+            member_of[place[d]].append(number)
+    kinds: dict[tuple[int, ...], int] = {}
+    kind = [kinds.setdefault(tuple(m), len(kinds)) if m else -1 for m in member_of]
+    rows: dict[tuple[int, int], int] = {}
+    for numbers, k in kinds.items():
+        for n in numbers:
+            rows[k, n // WORD_BITS] = rows.get((k, n // WORD_BITS), 0) | 1 << n % WORD_BITS
+    index = [(k, word, bits) for (k, word), bits in rows.items()]
+    return spark.createDataFrame(index, "kind int, word int, filters long"), kind
+
+
 def in_filters(rows: DataFrame, catalog: Catalog, *values: str) -> DataFrame:
     """Each counted row once per filter that keeps any of its datasets.
 
-    ``values`` are the counts of a row; its other columns tell it apart.
+    ``values`` are the counts of a row; its other columns tell it apart. The set's words are left out.
     """
     keys = [c for c in rows.columns if c not in values]
-    membership = catalog.membership_frame(rows.sparkSession)
-    touched = rows.withColumn("dataset_id", F.explode("datasets")).join(membership, "dataset_id")
-    once = touched.groupBy(*keys, "filter_key").agg(*[F.max(v).alias(v) for v in values])
-    return once.drop("datasets")
+    others = [k for k in keys if k not in words(catalog)]
+    index, kind = _filter_index(rows.sparkSession, catalog)
+    kind_of = f"array({', '.join(map(str, kind))})" if kind else "cast(array() as array<int>)"
+    found = f"array_distinct(transform({positions(*words(catalog))}, p -> get({kind_of}, p)))"
+    touched = rows.selectExpr(*keys, *values, f"explode({found}) as kind").join(index, "kind")
+    once = touched.groupBy(*keys, "word").agg(F.bit_or("filters").alias("filters"), *[F.max(v).alias(v) for v in values])
+    key = f"get({text_array([f.key for f in catalog.filters])}, word * {WORD_BITS} + bit)"
+    single = once.selectExpr(*others, *values, "word", f"explode({positions('filters')}) as bit")
+    return single.selectExpr(*others, f"{key} as filter_key", *values)
 
 
 def with_country(df: DataFrame, channels: DataFrame) -> DataFrame:
@@ -141,30 +213,29 @@ def with_country(df: DataFrame, channels: DataFrame) -> DataFrame:
     )
 
 
-def dataset_set_cells(counts: DataFrame, channels: DataFrame) -> DataFrame:
-    """(state, country, datasets) of ``channel_counts`` with videos, occurrences and creators; country only when resolved.
+def dataset_set_cells(counts: DataFrame, channels: DataFrame, catalog: Catalog) -> DataFrame:
+    """(state, country, w0, w1, ...) of ``channel_counts`` with videos, occurrences and creators; country only when resolved.
 
     A channel is represented in a filter when any of its videos is, so it is counted once, under
     all datasets of its videos. Those are at hand in the rows of its occurrences.
     """
+    sets = words(catalog)
+    own = ", ".join(f"'{w}', {w}, 'm{w}', 0L" for w in sets)
+    channel = ", ".join(f"'{w}', cast(null as bigint), 'm{w}', {w}" for w in sets)
     entries = with_country(counts, channels).selectExpr(
         "state",
         f"if(state = '{RESOLVED}', country, null) as country",
-        """inline_outer(array_compact(array(
-            named_struct('channel_key', cast(null as bigint), 'datasets', datasets, 'videos', videos,
-                         'occurrences', occurrences, 'dataset_id', cast(null as string)),
+        f"""inline(array_compact(array(
+            named_struct('channel_key', cast(null as bigint), {own}, 'videos', videos, 'occurrences', occurrences),
             if(channel_key is not null and occurrences > 0,
-               named_struct('channel_key', channel_key, 'datasets', cast(null as array<string>), 'videos', 0L,
-                            'occurrences', 0L, 'dataset_id', datasets[0]),
-               null))))""",
+               named_struct('channel_key', channel_key, {channel}, 'videos', 0L, 'occurrences', 0L), null))))""",
     )
     return (
-        entries.groupBy("state", "country", "channel_key", "datasets")
-        # At most one entry per dataset of the catalogue.
-        .agg(*_sums("videos", "occurrences"), F.array_sort(F.collect_set("dataset_id")).alias("of_channel"))
-        .selectExpr("state", "country", "coalesce(datasets, of_channel) as datasets", "videos", "occurrences",
+        entries.groupBy("state", "country", "channel_key", *sets)
+        .agg(*_sums("videos", "occurrences"), *[F.bit_or(f"m{w}").alias(f"m{w}") for w in sets])
+        .selectExpr("state", "country", *[f"coalesce({w}, m{w}) as {w}" for w in sets], "videos", "occurrences",
                     "if(channel_key is null, 0L, 1L) as creators")
-        .groupBy("state", "country", "datasets")
+        .groupBy("state", "country", *sets)
         .agg(*_sums("videos", "occurrences", "creators"))
     )
 
@@ -184,7 +255,7 @@ def cells_of(counts: DataFrame, channels: DataFrame, catalog: Catalog) -> DataFr
     should keep this table.
     """
     values = ("creators", "videos", "occurrences")
-    rows = in_filters(dataset_set_cells(counts, channels), catalog, *values)
+    rows = in_filters(dataset_set_cells(counts, channels, catalog), catalog, *values)
     return rows.groupBy("filter_key", "state", "country").agg(*_sums(*values))
 
 
@@ -284,9 +355,8 @@ def creators(observations: DataFrame, resolutions: DataFrame, catalog: Catalog)
         channel_counts(observations, resolutions, catalog)
         .where(F.col("channel_key").isNotNull() & (F.col("occurrences") > 0))
         .groupBy("channel_key")
-        # At most one entry per dataset of the catalogue.
-        .agg(F.array_sort(F.collect_set(F.get("datasets", F.lit(0)))).alias("datasets"))
-        .groupBy("datasets")
+        .agg(*[F.bit_or(w).alias(w) for w in words(catalog)])
+        .groupBy(*words(catalog))
         .agg(F.count("*").alias("creators"))
     )
     rows = in_filters(sets, catalog, "creators")
@@ -305,7 +375,8 @@ def occurrences_by_unit(observations: DataFrame, datasets: DataFrame) -> DataFra
 
 def dataset_overlap(observations: DataFrame, catalog: Catalog) -> DataFrame:
     """How many videos are in n datasets, and how far the per-dataset figures overshoot the combined one."""
-    sizes = set_counts(observations, catalog).select(F.size("datasets").alias("dataset_count"), "videos")
+    size = " + ".join(f"bit_count({w})" for w in words(catalog))
+    sizes = set_counts(observations, catalog).selectExpr(f"{size} as dataset_count", "videos")
     histogram = sizes.groupBy("dataset_count").agg(F.sum("videos").alias("videos"))
     # At most one row per dataset count, so the histogram fits in one row beside its totals.
     folded = histogram.groupBy().agg(
@@ -326,8 +397,11 @@ def dataset_pairs(observations: DataFrame, catalog: Catalog) -> DataFrame:
     """Videos in both of two datasets, for every pair that shares any."""
     return (
         set_counts(observations, catalog)
-        .selectExpr("datasets", "videos", "explode(datasets) as dataset_a")
-        .selectExpr("videos", "dataset_a", "explode(filter(datasets, d -> d > dataset_a)) as dataset_b")
-        .groupBy("dataset_a", "dataset_b")
+        .selectExpr(f"{positions(*words(catalog))} as places", "videos")
+        .selectExpr("places", "videos", "explode(places) as a")
+        .selectExpr("videos", "a", "explode(filter(places, p -> p > a)) as b")
+        .groupBy("a", "b")
         .agg(F.sum("videos").alias("shared_videos"))
+        .selectExpr(f"{dataset_at(catalog, 'a')} as a", f"{dataset_at(catalog, 'b')} as b", "shared_videos")
+        .selectExpr("least(a, b) as dataset_a", "greatest(a, b) as dataset_b", "shared_videos")
     )

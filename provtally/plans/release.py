@@ -16,7 +16,10 @@ from provtally.operators.metrics import (
     channel_counts,
     country_rows,
     coverage_rows,
+    dataset_at,
     headline_rows,
+    kept_words,
+    positions,
     with_country,
 )
 from provtally.session import new_folder
@@ -184,11 +187,12 @@ def dataset_breakdown(counts: DataFrame, channels: DataFrame, catalog: Catalog)
     """
     members = catalog.members(catalog.default)
     located = with_country(counts.where((F.col("state") == RESOLVED) & (F.col("videos") > 0)), channels)
+    kept = positions(*kept_words(catalog, members))
     return (
-        located.select("country", "videos", F.explode("datasets").alias("dataset_id"))
-        .where(F.col("dataset_id").isin(members))
-        .groupBy("country", "dataset_id")
+        located.selectExpr("country", "videos", f"explode({kept}) as place")
+        .groupBy("country", "place")
         .agg(F.sum("videos").alias("represented_video_count"))
+        .selectExpr("country", f"{dataset_at(catalog, 'place')} as dataset_id", "represented_video_count")
     )
 
 

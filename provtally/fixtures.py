@@ -198,6 +198,34 @@ def metadata_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Three releases; one cutoff is a reading's own instant, one has no seconds, one an offset beyond a day.
+RELEASE_CUTOFFS = (("r2", "2024-01-20T00:00:00Z"), ("r1", "2024-01-08T10:00Z"), ("r3", "2024-01-27T00:30:00+26:00"))
+
+
+def spoilt_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations in which the rows of orders 1 to 40 are lost, repeated or changed, by dataset; one dataset is foreign."""
+    place, early = F.col("dataset_id"), F.col("l_orderkey") <= 40
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", _dataset_id().alias("dataset_id"), _video_id("l_orderkey").alias("video_id"))
+    times = F.when(early & (place == "ds-af"), 0).when(early & (place == "ds-ao"), 2).otherwise(1)
+    video = F.when(early & (place == "ds-nf"), F.reverse("video_id")).otherwise(F.col("video_id"))
+    name = F.when(place == "ds-ro", "ds-new").otherwise(place)
+    rows = rows.select(name.alias("dataset_id"), video.alias("video_id"), F.explode(F.array_repeat(F.lit(0), times)).alias("copy"))
+    return rows.drop("copy")
+
+
+def faulty_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Observations, resolutions and channels with faults: foreign datasets, unknown states, repeated and nameless rows."""
+    rows = table(spark, sf_dir, "lineitem")
+    name = F.when(F.col("l_orderkey") % 90 == 0, "ds-xx").when(F.col("l_orderkey") % 91 == 0, F.lit(None)).otherwise(_dataset_id())
+    observed = rows.select(name.alias("dataset_id"), _video_id("l_orderkey").alias("video_id"))
+    made = resolutions(spark, sf_dir)
+    state = F.when(F.col("channel_key") % 70 == 0, "unheard-of").when(F.col("channel_key") % 71 == 0, F.lit(None)).otherwise(F.col("state"))
+    repeats = F.array_repeat(F.lit(0), F.when(F.col("channel_key") % 50 == 1, 3).otherwise(1))
+    resolved = made.withColumn("state", state).withColumn("copy", F.explode(repeats)).drop("copy")
+    read = channels(spark, sf_dir).withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.when(F.col("channel_key") % 40 == 0, 2).otherwise(1))))
+    return observed, resolved, read.withColumn("channel_key", F.when(F.col("channel_key") % 33 != 0, F.col("channel_key"))).drop("copy")
+
+
 def boundary_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nations as one GeoJSON feature collection in a ``content`` column."""
     feature = F.struct(

@@ -226,6 +226,28 @@ def page_fetch(requests: DataFrame, counts: DataFrame, release_id: str) -> DataF
     )
 
 
+def metadata_as_of_each(readings: DataFrame, cutoffs: list[tuple[str, Column]]) -> DataFrame:
+    """metadata_as_of for many releases in one pass: (release_id, channel_key, observation_id, ...).
+
+    ``cutoffs`` are (release id, instant). A reading belongs to the interval between two cutoffs that it falls into; the last
+    of each channel and interval is found map-side, so a channel read very often sends one row per interval, and stands for
+    every release until an interval with a later reading. Readings after the last cutoff belong to none.
+    """
+    others = [c for c in readings.columns if c not in ("channel_key", "observed_at", "observation_id")]
+    named = F.array(*[F.struct(at.alias("at"), F.lit(name).alias("release_id")) for name, at in cutoffs])
+    ordered = F.array_sort(F.filter(named, lambda c: c["at"].isNotNull()))
+    first = F.size(F.filter(ordered, lambda c: c["at"] < F.col("observed_at")))
+    newest = F.max_by(F.struct("observed_at", "observation_id", *others), F.struct("observed_at", "observation_id"))
+    last = readings.withColumn("_interval", first).where((F.col("_interval") < F.size(ordered)) & F.col("observed_at").isNotNull())
+    last = last.groupBy("channel_key", "_interval").agg(newest.alias("r"))
+    # At most one entry per cutoff.
+    held = last.groupBy("channel_key").agg(F.array_sort(F.collect_list(F.struct("_interval", "r"))).alias("held"))
+    until = F.coalesce(F.get(F.col("held._interval"), F.col("place") + 1), F.size(ordered))
+    spread = held.select("channel_key", "held", F.posexplode("held").alias("place", "entry"))
+    spread = spread.select("channel_key", F.col("entry.r").alias("r"), F.explode(F.sequence(F.col("entry._interval"), until - 1)).alias("release"))
+    return spread.select(F.get(ordered["release_id"], F.col("release")).alias("release_id"), "channel_key", "r.*")
+
+
 def metadata_as_of(readings: DataFrame, cutoff: Column) -> DataFrame:
     """The last reading of each channel at or before the cutoff; later ones belong to the next release.
 

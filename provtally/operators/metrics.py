@@ -47,24 +47,26 @@ def effective_state(video_id: Column, state: Column) -> Column:
     return F.when(~is_video_id(video_id), F.lit(INVALID)).otherwise(F.coalesce(known, F.lit(PENDING)))
 
 
-def one_per_video(resolutions: DataFrame) -> DataFrame:
-    """(video_id, state, channel_key): of several records of a video the first state in published
+def one_per_video(resolutions: DataFrame, *counts: Column) -> DataFrame:
+    """(video_id, state, channel_key, and aggregates ``counts``): of several records of a video the first state in published
     order stays, one without a known state being last; of a resolved video the least channel."""
     states = F.array(*[F.lit(s) for s in STATES])
     rank = F.nullif(F.coalesce(F.array_position(states, F.col("state")).cast("int"), F.lit(0)), F.lit(0))
     channel = F.when(F.col("state") == RESOLVED, F.col("channel_key"))
-    first = resolutions.groupBy("video_id").agg(F.min(rank).alias("_rank"), F.min(channel).alias("channel_key"))
-    return first.select("video_id", F.get(states, F.col("_rank") - 1).alias("state"), "channel_key")
+    first = resolutions.groupBy("video_id").agg(F.min(rank).alias("_rank"), F.min(channel).alias("channel_key"), *counts)
+    state = F.get(states, F.col("_rank") - 1).alias("state")
+    return first.withColumn("state", state).drop("_rank")
 
 
-def one_per_channel(channels: DataFrame) -> DataFrame:
+def one_per_channel(channels: DataFrame, *counts: Column) -> DataFrame:
     """Channel metadata with one row per key: the latest reading, of ties the greater values."""
     values = [c for c in ("last_observed_at", "display_name", "country") if c in channels.columns]
     return (
         channels.where(F.col("channel_key").isNotNull())
         .groupBy("channel_key")
-        .agg(F.max(F.struct(*values)).alias("_latest"))
-        .select("channel_key", "_latest.*")
+        .agg(F.max(F.struct(*values)).alias("_latest"), *counts)
+        .withColumns({v: F.col(f"_latest.{v}") for v in values})
+        .drop("_latest")
     )
 
 

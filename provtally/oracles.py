@@ -264,6 +264,11 @@ def _with(body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+# Rows and multiset digest of (dataset_id, video_id), written out per row.
+_MULTISET = """count(*) AS occurrences, CAST(count(*) AS VARCHAR) || '-' || CAST(sum(CAST('0x' || substr(md5(
+    length(dataset_id) || ':' || dataset_id || length(video_id) || ':' || video_id), 1, 15) AS BIGINT)) % 2305843009213693951 AS VARCHAR) AS digest"""
+
+
 def _hex_digit(path: str) -> str:
     return f"CAST('0x' || substr(md5({path}), 1, 1) AS INTEGER)"
 
@@ -355,6 +360,35 @@ _BODIES = {
             strftime(ts, '%b %-d, %Y, %-I:%M %p') AS read_label
         FROM events WHERE ts <= TIMESTAMP '2024-01-20 00:00:00'
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "release_asof": """WITH c(release_id, cutoff) AS (VALUES ('r1', TIMESTAMP '2024-01-08 10:00:00'),
+            ('r2', TIMESTAMP '2024-01-20 00:00:00'), ('r3', TIMESTAMP '2024-01-25 22:30:00'))
+        SELECT release_id, user_id AS channel_key, event_id AS observation_id, event_type AS display_name, value
+        FROM c JOIN events ON ts <= cutoff
+        QUALIFY row_number() OVER (PARTITION BY release_id, user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "snapshot_check": f"""WITH new AS (SELECT CASE dataset_id WHEN 'ds-ro' THEN 'ds-new' ELSE dataset_id END AS dataset_id,
+            CASE WHEN dataset_id = 'ds-nf' AND l_orderkey <= 40 THEN reverse(video_id) ELSE video_id END AS video_id
+            FROM obs, range(CASE WHEN l_orderkey > 40 THEN 1 WHEN dataset_id = 'ds-af' THEN 0
+                WHEN dataset_id = 'ds-ao' THEN 2 ELSE 1 END)),
+        was AS (SELECT dataset_id, {_MULTISET} FROM obs GROUP BY dataset_id),
+        now AS (SELECT dataset_id, {_MULTISET} FROM new GROUP BY dataset_id)
+        SELECT dataset_id, was.occurrences AS pinned_occurrences, now.occurrences, was.digest AS pinned_digest, now.digest,
+            CASE WHEN was.digest IS NULL THEN 'unpinned' WHEN now.digest IS NULL THEN 'missing'
+                 WHEN was.digest = now.digest THEN 'ok' WHEN now.occurrences < was.occurrences THEN 'lost'
+                 WHEN now.occurrences > was.occurrences THEN 'added' ELSE 'changed' END AS status
+        FROM was FULL JOIN now USING (dataset_id)""",
+    "input_checks": """SELECT 'foreign_dataset_rows' AS "check", count(*) AS violations FROM lineitem
+            WHERE l_orderkey % 90 = 0 OR l_orderkey % 91 = 0
+        UNION ALL SELECT 'unknown_state_rows', CAST(coalesce(sum(CASE WHEN o_custkey % 50 = 1 THEN 3 ELSE 1 END), 0) AS BIGINT)
+            FROM orders WHERE o_custkey % 70 = 0 OR o_custkey % 71 = 0
+        UNION ALL SELECT 'repeated_resolutions', 2 * count(*) FROM orders WHERE o_custkey % 50 = 1
+        UNION ALL SELECT 'repeated_channels', count(*) FROM customer WHERE c_custkey % 40 = 0 AND c_custkey % 33 <> 0
+        UNION ALL SELECT 'channels_without_key', CAST(sum(CASE WHEN c_custkey % 40 = 0 THEN 2 ELSE 1 END) AS BIGINT)
+            FROM customer WHERE c_custkey % 33 = 0""",
+    "removals_totals": """SELECT filter_key, state, CASE WHEN state = 'resolved' THEN coalesce(country, 'XX') END AS country,
+            count(DISTINCT CASE WHEN state = 'resolved' THEN channel_key END) AS creators, count(*) AS videos,
+            CAST(sum(n) AS BIGINT) AS occurrences
+        FROM vs LEFT JOIN ch USING (channel_key) WHERE NOT (state = 'resolved' AND channel_key % 50 = 0)
+        GROUP BY filter_key, state, CASE WHEN state = 'resolved' THEN coalesce(country, 'XX') END""",
     "metric_long": "SELECT * FROM ml",
     "quantile_breaks": "SELECT filter_key, metric, q, break_value FROM brk",
     "quantile_bins": "SELECT filter_key, metric, method, position, min, max, label, color, pattern FROM bins",

@@ -25,7 +25,7 @@ from provtally.operators.metrics import (
 from provtally.session import new_folder
 from provtally.sources.artifacts import write_artifacts
 from provtally.sources.catalog import Catalog, Dataset, PublishedFilter
-from provtally.sources.contracts import SCHEMA_VERSION
+from provtally.sources.contracts import SCHEMA_VERSION, instant
 
 POINTER_PATH = "active-release.json"
 
@@ -317,7 +317,7 @@ def release_tables(inputs: Inputs, settings: ReleaseSettings) -> Tables:
     catalog, observed = inputs.catalog, (inputs.observations, inputs.resolutions)
     channels = inputs.channels
     if inputs.readings is not None:
-        cutoff = F.lit(settings.enrichment_cutoff).cast("timestamp")
+        cutoff = instant(settings.enrichment_cutoff)
         channels = kept(cr.metadata_as_of(inputs.readings, cutoff), "channels")
     removals = inputs.removals if settings.removals_cover_totals else None
     counts = without_channels(kept(channel_counts(*observed, catalog), "counts"), removals)
@@ -341,6 +341,19 @@ def without_channels(rows: DataFrame, removals: DataFrame | None) -> DataFrame:
     return kept_rows.unionByName(rows.where(F.col("channel_key").isNull()))
 
 
+def removed_from_totals(cells: DataFrame, counts: DataFrame, channels: DataFrame, removals: DataFrame, catalog: Catalog) -> DataFrame:
+    """The cells of the next release when removals cover totals, from what the last release kept.
+
+    ``cells`` and ``counts`` are those of the last release. Channels count apart from each other, so the cells of the removed
+    ones alone are taken off; occurrences are not read again. Cells that nothing is left in go.
+    """
+    keys, values = ("filter_key", "state", "country"), ("creators", "videos", "occurrences")
+    gone = counts.where(F.col("channel_key").isNotNull()).join(removals.select("channel_key"), "channel_key", "left_semi")
+    less = cells_of(gone, channels, catalog).select(*keys, *[(-F.col(v)).alias(v) for v in values])
+    left = cells.select(*keys, *values).unionByName(less).groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
+    return left.where("videos > 0")
+
+
 def _refuse_beyond_manifest(counts: DataFrame) -> None:
     """Stop before any page is laid out when the manifest could not list them all."""
     pages = counts.agg(F.coalesce(F.sum("page_count"), F.lit(0))).first()[0]

@@ -17,10 +17,12 @@ from provtally.operators import metrics as mt
 from provtally.operators import scale as sc
 from provtally.operators import selection as sel
 from provtally.plans import audit as au
+from provtally.plans import checks as ck
 from provtally.plans import release as rl
 from provtally.plans import report as rp
 from provtally.session import new_folder, prepare
 from provtally.sources import contracts as ct
+from provtally.sources import snapshots as sn
 from provtally.sources.boundaries import parse_boundaries
 from provtally.sources.catalog import Catalog, standard_filters
 
@@ -209,6 +211,37 @@ def metadata_asof(spark: SparkSession, sf: str) -> DataFrame:
     return latest.select("channel_key", "observation_id", "display_name", "value", instant_label(raw).alias("read_label"))
 
 
+@query
+def release_asof(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings dealt to three releases, whose cutoffs are written in three of the ways that documents may use."""
+    cutoffs = [(name, ct.instant(text)) for name, text in fx.RELEASE_CUTOFFS]
+    latest = cr.metadata_as_of_each(fx.metadata_observations(spark, sf), cutoffs)
+    return latest.select("release_id", "channel_key", "observation_id", "display_name", "value")
+
+
+@query
+def snapshot_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Snapshots pinned to their rows, of which some lose, repeat or change the rows of one video."""
+    observed = fx.observations(spark, sf)
+    return sn.check_snapshots(fx.spoilt_observations(spark, sf), sn.snapshot_digests(observed))
+
+
+@query
+def input_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults put into the inputs, counted by the job that makes the totals."""
+    faulty = rl.Inputs(*fx.faulty_inputs(spark, sf), fx.removals(spark, sf), fx.catalog())
+    return ck.checked_cells(faulty)[1]
+
+
+@query
+def removals_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of the next release after removals, from the counts and cells that the last one kept."""
+    observed, catalog, channels = _inputs(spark, sf)[:2], fx.catalog(), fx.channels(spark, sf)
+    counts = rl.kept(mt.channel_counts(*observed, catalog), "counts")
+    cells = rl.kept(mt.cells_of(counts, channels, catalog), "cells")
+    return rl.removed_from_totals(cells, counts, channels, fx.removals(spark, sf), catalog)
+
+
 # ---- scale, map, tables ---------------------------------------------------------------------
 
 

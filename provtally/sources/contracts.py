@@ -317,6 +317,11 @@ def _instant(text: str) -> str:
     return f"unix_micros(try_cast({local} as timestamp)) - if({part(1)} = '-', -60000000L, 60000000L) * {minutes}"
 
 
+def instant(text: str) -> Column:
+    """The timestamp of an instant as documents write it: seconds may be left out, an offset may be of any size."""
+    return F.timestamp_micros(F.expr(_instant(quote(text))))
+
+
 def _cutoff_first(doc: str, path: str | None) -> str:
     late = f"{_instant(text_at(doc, 'enrichmentCutoff'))} > {_instant(text_at(doc, 'generatedAt'))}"
     message = "'enrichmentCutoff must not be later than generatedAt'"

@@ -46,7 +46,7 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
+    return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents")).drop("spans")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,6 +167,7 @@ from q
 """
 
 ORACLES = {
+    "op5_suffix_dedup": _REPEATS,
     "op6_substring_dedup": _REPEATS,
     "op8_exact_dedup": _COPIES,
     "op9_mixing": _MIX,

@@ -174,6 +174,12 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# What links are held to where their release is not the one at hand, and a raw id of the tables.
+OTHER_RELEASES = ("fixture-2", "fixture-3")
+ONE_CLASS = ("Candidate",)
+PLANTED_ID = "V0000000001"
+
+
 def page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests for creator pages: existing ones, pages past the end, and an order nobody publishes."""
     e, u = F.col("event_id"), F.col("user_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ CURSOR = r"\A[A-Za-z0-9_-]{1,512}\z"
 VIEWS = ("map", "table")
 REASONS = {
     "release": "not a valid release identifier",
+    "release known": "release is not available",
     "dataset shape": "not a valid dataset identifier",
     "dataset": "dataset is not in this release",
     "class": "unknown corpus class",
@@ -76,11 +79,15 @@ def _if(condition: str, rejection: str) -> str:
     return f"if({condition}, {rejection}, null)"
 
 
-def parse_links(links: DataFrame, catalog: Catalog, countries: DataFrame, url_col: str = "url") -> DataFrame:
+def parse_links(
+    links: DataFrame, catalog: Catalog, countries: DataFrame, url_col: str = "url",
+    known_releases: Sequence[str] | None = None, corpus_classes: Sequence[str] = CORPUS_CLASSES,
+) -> DataFrame:
     """Add the normalised selection and ``corrections`` to each link.
 
     ``countries`` holds the codes the release has data for (column ``country``); being two-letter
-    codes there are few of them. Rejected values fall back to the default of their field.
+    codes there are few of them. Rejected values fall back to the default of their field. A release that is
+    not among ``known_releases``, where those are given, is rejected, as is a class not in ``corpus_classes``.
     """
     # Two-letter codes only, so never more than MAX_COUNTRY_BUCKETS rows.
     known = countries.select(F.col("country").alias("_known")).where(F.col("_known").rlike(ALPHA2)).distinct()
@@ -101,7 +108,9 @@ def parse_links(links: DataFrame, catalog: Catalog, countries: DataFrame, url_co
         .withColumn("_place", F.expr("if(_code_ok and _known is not null, _code, null)"))
     )
     in_release = f"array_contains({text_array(catalog.dataset_ids)}, d)"
-    classes, metrics, views, sorts = (text_list(v) for v in (CORPUS_CLASSES, METRICS, VIEWS, SORT_ORDERS))
+    metrics, views, sorts = (text_list(v) for v in (METRICS, VIEWS, SORT_ORDERS))
+    known_class = f"array_contains({text_array(corpus_classes)}, c)"
+    available = "true" if known_releases is None else f"array_contains({text_array(known_releases)}, _release)"
     dataset_issue = (
         f"case when not rlike(d, {quote(DATASET)}) then"
         f" {_rejection('datasets', 'd', 'dataset shape')}"
@@ -122,16 +131,19 @@ def parse_links(links: DataFrame, catalog: Catalog, countries: DataFrame, url_co
             _rejection("cursor", "_cursor", "cursor"),
         ),
     ]
-    release_issue = _if("not _release_ok", _rejection("release", "_release", "release"))
+    release_issue = (
+        f"case when not _release_ok then {_rejection('release', '_release', 'release')}"
+        f" when not {available} then {_rejection('release', '_release', 'release known')} end"
+    )
     corrections = (
         f"array_compact(concat(array({release_issue}), transform(_ds, d -> {dataset_issue}),"
-        f" transform(filter(_cc, c -> c not in ({classes})), c -> {class_issue}), array({', '.join(single)})))"
+        f" transform(filter(_cc, c -> not {known_class}), c -> {class_issue}), array({', '.join(single)})))"
     )
     return base.selectExpr(
         *links.columns,
-        "if(_release_ok, _release, null) as release",
+        f"if(_release_ok and {available}, _release, null) as release",
         f"array_sort(array_distinct(filter(_ds, d -> rlike(d, {quote(DATASET)}) and {in_release}))) as datasets",
-        f"array_sort(array_distinct(filter(_cc, c -> c in ({classes})))) as corpus_classes",
+        f"array_sort(array_distinct(filter(_cc, c -> {known_class}))) as corpus_classes",
         "_place as country",
         f"if(_metric in ({metrics}), _metric, '{DEFAULT_METRIC}') as metric",
         f"if(_view in ({views}), _view, '{DEFAULT_VIEW}') as view",

@@ -440,6 +440,13 @@ _BODIES = {
                 WHEN page < 0 OR page >= page_count THEN 'page ' || (page + 1) ||
                 ' does not exist; this country has ' || page_count END AS message
         FROM req LEFT JOIN pc USING (country, sort_order)""",
+    "page_content": f"""WITH req AS (SELECT event_id AS request_id, ({[*fx.NATION_CODES, 'XX']})[user_id % 26 + 1] AS country,
+            CASE WHEN event_id % 10 = 9 THEN 'newest' WHEN event_id % 2 = 0 THEN 'displayNameAsc'
+                ELSE 'representedVideoCountDesc' END AS sort_order, event_id % 7 - 1 AS page FROM events)
+        SELECT request_id, country, sort_order, page, CASE WHEN rank IS NULL THEN 'not-found' ELSE 'ok' END AS status,
+            CAST((rank - 1) % {fx.PAGE_SIZE} AS INTEGER) AS position, public_channel_key, represented_video_count,
+            CASE WHEN (page + 1) * {fx.PAGE_SIZE} < total_rows THEN CAST(page + 1 AS VARCHAR) END AS next_cursor, total_rows
+        FROM req LEFT JOIN ranked USING (country, sort_order, page)""",
     "filter_options": """SELECT CAST(position AS INTEGER) AS position, f.filter_key,
             CASE band WHEN 0 THEN 'All datasets' WHEN 1 THEN corpus_classes[1] || ' corpora' ELSE d.display_name END
                 AS option_label,
@@ -476,6 +483,11 @@ _BODIES = {
             coalesce(n, 0) > 0 AS used_fallback
         FROM sel LEFT JOIN (SELECT event_id, count(*) AS n FROM corr GROUP BY event_id) USING (event_id)""",
     "selection_corrections": """SELECT field, rejected, reason, count(*) AS links FROM corr GROUP BY ALL""",
+    "selection_releases": f"""SELECT field, rejected, reason, count(*) AS links FROM (
+            SELECT event_id, field, rejected, reason FROM corr
+            UNION ALL SELECT event_id, 'release', '{fx.RELEASE_ID}', 'release is not available' FROM events WHERE event_id % 7 = 0
+            UNION ALL SELECT event_id, 'corpusClasses', 'Comparison', 'unknown corpus class' FROM events WHERE user_id % 4 = 1)
+        GROUP BY ALL""",
     "selection_canonical": """SELECT CASE WHEN q = '' THEN '/' ELSE '/?' || q END AS canonical, count(*) AS links FROM (
             SELECT concat_ws('&', 'release=' || release,
                 CASE WHEN len(datasets) > 0 THEN 'datasets=' || array_to_string(datasets, ',') END,
@@ -488,6 +500,14 @@ _BODIES = {
     "overview_json": "SELECT path, body FROM ovj",
     "country_shard": "SELECT path, body FROM shj",
     "manifest_digests": "SELECT path, 'sha256:' || sha256(body) AS digest FROM docs",
+    "release_leaks": f"""WITH planted AS (SELECT path, CASE WHEN {_hex_digit('path')} = 6
+                THEN body || ' {fx.PLANTED_ID} x{fx.PLANTED_ID} {fx.PLANTED_ID}' ELSE body END AS body FROM docs),
+        raw AS (SELECT DISTINCT video_id AS token FROM (SELECT CASE WHEN l_orderkey % 97 <> 0 THEN
+            'V' || lpad(CAST(l_orderkey AS VARCHAR), 10, '0') END AS video_id FROM lineitem
+            UNION ALL SELECT CASE WHEN o_orderkey % 97 <> 0 THEN 'V' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') END FROM orders))
+        SELECT 'video' AS kind, token, path, count(*) AS occurrences
+        FROM (SELECT path, unnest(string_split_regex(body, '[^A-Za-z0-9_-]+')) AS token FROM planted) SEMI JOIN raw USING (token)
+        GROUP BY token, path""",
     "release_audit": f"""WITH f AS (SELECT path, kind, {_hex_digit('path')} AS fault,
             regexp_extract(path, 'countries/(.*)[.]json', 1) AS country,
             {_hex_digit(f"'releases/{fx.RELEASE_ID}/overview.json'")} AS overview_fault FROM docs)

@@ -35,8 +35,12 @@ _BY_KIND = {"overview": ct.OVERVIEW, "shard": ct.COUNTRY_SHARD, "page": ct.CREAT
 
 def parsed(content: Column) -> Column:
     """A document's bytes as a variant; null when they are not JSON."""
-    text = F.make_valid_utf8(content.cast("string"))
-    return parsed_text(F.regexp_replace(text, "\\A\\x{FEFF}", ""))
+    return parsed_text(text_of(content))
+
+
+def text_of(content: Column) -> Column:
+    """A document's bytes as text, without a mark of byte order."""
+    return F.regexp_replace(F.make_valid_utf8(content.cast("string")), "\\A\\x{FEFF}", "")
 
 
 def parsed_text(text: Column) -> Column:
@@ -76,10 +80,11 @@ def _single(spark: SparkSession, root: str, path: str, contract: ct.Record, *val
 def _verified(files: DataFrame, digests: DataFrame, contract: ct.Record) -> DataFrame:
     """Files that are listed, intact and fit their contract, as (path, v)."""
     return (
-        files.withColumn("v", parsed(F.col("content")))
+        files.withColumn("text", text_of(F.col("content")))
+        .withColumn("v", parsed_text(F.col("text")))
         .withColumn("found", digest_of(F.col("content")))
         .join(digests, "path")
-        .where((F.col("found") == F.col("digest")) & (F.size(ct.issues(contract, "v")) == 0))
+        .where((F.col("found") == F.col("digest")) & (F.size(_issues(contract)) == 0))
         .select("path", "v")
     )
 
@@ -221,7 +226,7 @@ def _audit_listed(spark: SparkSession, root: str, manifest_at: str, release_id:
         .otherwise("page"),
     )
     # Everything read from a file is reduced here, so no content is shuffled.
-    checked = typed.withColumn("v", parsed(F.col("content"))).select(
+    checked = typed.withColumn("text", text_of(F.col("content"))).withColumn("v", parsed_text(F.col("text"))).select(
         "path",
         "kind",
         digest_of(F.col("content")).alias("found"),
@@ -277,10 +282,15 @@ def _audit_listed(spark: SparkSession, root: str, manifest_at: str, release_id:
     return joined.select("path", kind.alias("kind"), status.alias("status"), detail.alias("detail"))
 
 
+def _issues(contract: ct.Record) -> Column:
+    """The violations of the document in ``text`` and ``v``; only one that its types do not clear is walked."""
+    return F.expr(f"if({ct.sound_sql(contract, 'text')}, cast(array() as array<{ct.ISSUE}>), {ct.issues_sql(contract, 'v')})")
+
+
 def _issues_by_kind() -> Column:
     result = None
     for kind, contract in _BY_KIND.items():
-        condition, value = F.col("kind") == kind, ct.issues(contract, "v")
+        condition, value = F.col("kind") == kind, _issues(contract)
         result = F.when(condition, value) if result is None else result.when(condition, value)
     return result
 
@@ -288,7 +298,8 @@ def _issues_by_kind() -> Column:
 def document_issues(documents: DataFrame, contract: ct.Record, key: str, body: str = "body") -> DataFrame:
     """(key, path, rule, message): every violation in a table of JSON documents."""
     prepare(documents.sparkSession)
-    checked = documents.select(F.col(key), parsed_text(F.col(body)).alias("v"))
+    doubtful = documents.select(F.col(key), F.col(body).alias("text")).where(~F.coalesce(ct.sound(contract, "text"), F.lit(False)))
+    checked = doubtful.select(key, parsed_text(F.col("text")).alias("v"))
     not_json = F.array(
         F.struct(
             F.lit("").alias("path"), F.lit("not_json").alias("rule"), F.lit("not JSON").alias("message"),

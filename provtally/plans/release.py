@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provtally.functions.identifiers import digest_of
+from provtally.functions.identifiers import CHANNEL_TOKEN_LENGTH, VIDEO_TOKEN_LENGTH, digest_of, leaked_tokens
+from provtally.functions.sql import exploded
 from provtally.operators import creators as cr
 from provtally.operators.metrics import (
     RESOLVED,
@@ -34,6 +36,9 @@ POINTER_PATH = "active-release.json"
 # release of more artifacts is refused, and larger pages make fewer of them.
 MAX_MANIFEST_ENTRIES = 500_000
 
+# Documents named by the error that refuses a release with raw identifiers in it.
+SHOWN_LEAKS = 5
+
 
 @dataclass(frozen=True)
 class ReleaseSettings:
@@ -294,6 +299,32 @@ def stored_page(spark: SparkSession, path: str, country: str, sort_order: str, p
     return found.select(F.posexplode("document.rows").alias("position", "row")).select("position", "row.*")
 
 
+def page_content(requests: DataFrame, counts: DataFrame, path: str, release_id: str) -> DataFrame:
+    """The rows of every requested page out of stored pages: one row per request and row of its page.
+
+    Columns are those of ``page_fetch`` but the path, then next_cursor, total_rows, position and the creator's
+    columns; a request without a page has one row that says why. ``counts`` are the pages published, ``path`` is
+    where ``store_pages`` put them. Folders of countries and orders that nobody asks for are pruned at run time,
+    files by the least and the largest page asked for, and each page is read once however often it is asked for.
+    """
+    place = ["country", "sort_order", "page"]
+    answered = cr.page_fetch(requests, counts, release_id).drop("path")
+    asked = kept(answered.where("status = 'ok'").select(*place).distinct(), "asked")
+    low, high = asked.agg(F.min("page"), F.max("page")).first()
+    # Two-letter codes times sort orders.
+    folders = asked.where("page >= 0").select("country", "sort_order").distinct()
+    stored = requests.sparkSession.read.parquet(path).where(F.col("page").between(low, high))
+    found = stored.join(F.broadcast(folders), ["country", "sort_order"], "left_semi").join(asked, place, "left_semi")
+    shown = answered.join(found.select(*place, "document"), place, "left")
+    held = F.col("document")
+    return shown.select(
+        "request_id", *place, "status", "message", held["nextCursor"].alias("next_cursor"),
+        held["totalRows"].alias("total_rows"), F.posexplode_outer(held["rows"]).alias("position", "row"),
+    ).withColumn("row", F.col("row").dropFields("country")).select(
+        "request_id", *place, "status", "message", "next_cursor", "total_rows", "position", "row.*"
+    )
+
+
 def shard_documents(shards: DataFrame, release_id: str) -> DataFrame:
     return shards.select(
         shard_path(release_id, F.col("country")).alias("path"),
@@ -458,17 +489,50 @@ def pointer_document(manifest: DataFrame, settings: ReleaseSettings) -> DataFram
     )
 
 
+def raw_identifiers(inputs: Inputs) -> DataFrame:
+    """(token): the raw video and channel ids that a release is made from, repeats kept."""
+    tables = [inputs.observations.select("video_id"), inputs.resolutions.select("video_id")]
+    tables += [t.select("channel_key") for t in (inputs.resolutions, inputs.channels, inputs.removals)]
+    ids = [t.select(F.col(t.columns[0]).cast("string").alias("token")) for t in tables]
+    lengths = F.length("token").isin(VIDEO_TOKEN_LENGTH, CHANNEL_TOKEN_LENGTH)
+    return reduce(DataFrame.unionByName, [t.where(lengths) for t in ids])
+
+
+def release_leaks(documents: DataFrame, raw: DataFrame) -> DataFrame:
+    """(kind, token, path, occurrences): raw ids standing free in the bodies of (path, body) documents.
+
+    Texts hold few words of an id's shape, so the raw ids are held against the distinct ones: by a broadcast where
+    their stored size is below Spark's threshold, else behind Spark's runtime Bloom filter, so that of the raw
+    ids hardly more than leaked ones are shuffled. A word that is an id by chance counts as one.
+    """
+    tokens = exploded(documents, leaked_tokens(F.col("body")), "token", "path")
+    tokens = kept(tokens.groupBy("token", "path").agg(F.count("*").alias("occurrences")), "tokens")
+    words = kept(tokens.select("token").distinct(), "words").where(F.length("token") >= VIDEO_TOKEN_LENGTH)
+    found = kept(raw.join(words, "token").select("token").distinct(), "found")
+    kind = F.when(F.length("token") == VIDEO_TOKEN_LENGTH, "video").otherwise("channel")
+    return tokens.join(found, "token").select(kind.alias("kind"), "token", "path", "occurrences")
+
+
+def _refuse_leaks(documents: DataFrame, raw: DataFrame) -> None:
+    leaks = release_leaks(documents, raw)
+    paths = [r["path"] for r in leaks.select("path").distinct().orderBy("path").limit(SHOWN_LEAKS).collect()]
+    if paths:
+        raise ValueError(f"raw identifiers in {', '.join(paths)}; nothing was published")
+
+
 def publish(
-    documents: DataFrame, catalog: Catalog, settings: ReleaseSettings, root: str
+    documents: DataFrame, catalog: Catalog, settings: ReleaseSettings, root: str, raw: DataFrame | None = None
 ) -> DataFrame:
     """Write (path, body, digest) documents, then the manifest, then the pointer.
 
-    Until the pointer is written the previous release stays the active one. Returns the documents
-    as kept in the shared folder.
+    Until the pointer is written the previous release stays the active one. With ``raw`` ids given, a release
+    that holds one of them is refused before anything is written. Returns the documents as kept in the shared folder.
     """
     held = kept(documents, "documents")
-    write_artifacts(held, root)
     manifest = kept(manifest_document(held.select("path", "digest"), catalog, settings), "manifest")
+    if raw is not None:
+        _refuse_leaks(held.select("path", "body").unionByName(manifest.select("path", "body")), raw)
+    write_artifacts(held, root)
     write_artifacts(manifest, root)
     write_artifacts(pointer_document(manifest, settings), root)
     return held
@@ -476,4 +540,4 @@ def publish(
 
 def build_release(inputs: Inputs, settings: ReleaseSettings, root: str) -> DataFrame:
     documents = with_digest(release_documents(inputs, settings))
-    return publish(documents, inputs.catalog, settings, root)
+    return publish(documents, inputs.catalog, settings, root, raw_identifiers(inputs))

@@ -351,6 +351,20 @@ def page_fetch(spark: SparkSession, sf: str) -> DataFrame:
     return cr.page_fetch(fx.page_requests(spark, sf), counts, fx.RELEASE_ID)
 
 
+@query
+def page_content(spark: SparkSession, sf: str) -> DataFrame:
+    """The creators on each requested page, read from stored pages."""
+    listing = rl.kept(_listing(spark, sf), "listing")
+    counts = rl.kept(cr.page_counts(listing, fx.PAGE_SIZE), "counts")
+    at = new_folder(spark, "pages")
+    rl.store_pages(rl.page_rows(cr.paged(listing, fx.PAGE_SIZE), fx.PAGE_SIZE), at)
+    content = rl.page_content(fx.page_requests(spark, sf), counts, at, fx.RELEASE_ID)
+    return content.select(
+        "request_id", "country", "sort_order", "page", "status", "position", F.col("publicChannelKey").alias("public_channel_key"),
+        F.col("representedVideoCount").alias("represented_video_count"), "next_cursor", "total_rows",
+    )
+
+
 @query
 def page_lines(spark: SparkSession, sf: str) -> DataFrame:
     counts = cr.page_counts(_listing(spark, sf), fx.PAGE_SIZE)
@@ -421,6 +435,16 @@ def selection_corrections(spark: SparkSession, sf: str) -> DataFrame:
     return sel.correction_counts(_parsed_links(spark, sf))
 
 
+@query
+def selection_releases(spark: SparkSession, sf: str) -> DataFrame:
+    """Corrections of links where another release and one corpus class are all there is."""
+    parsed = sel.parse_links(
+        fx.links(spark, sf), fx.catalog(), _countries(spark, sf, "all"), known_releases=fx.OTHER_RELEASES,
+        corpus_classes=fx.ONE_CLASS,
+    )
+    return sel.correction_counts(parsed)
+
+
 @query
 def selection_canonical(spark: SparkSession, sf: str) -> DataFrame:
     return sel.canonical_counts(_parsed_links(spark, sf))
@@ -471,6 +495,14 @@ def _with_other_totals() -> Column:
     return F.when((F.col("kind") == "shard") & (_fault("path") == 5), spoilt).otherwise(F.col("body"))
 
 
+@query
+def release_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw video ids in a release's documents, some of whose bodies had one put in."""
+    planted = F.concat("body", F.lit(f" {fx.PLANTED_ID} x{fx.PLANTED_ID} {fx.PLANTED_ID}"))
+    documents = _documents(spark, sf).select("path", F.when(_fault("path") == 6, planted).otherwise(F.col("body")).alias("body"))
+    return rl.release_leaks(documents, rl.raw_identifiers(_release_inputs(spark, sf)))
+
+
 @query
 def release_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Audit of a release with faults put into a part of its artifacts.

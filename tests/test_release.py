@@ -314,6 +314,152 @@ def test_stored_pages_are_pruned(spark, sf, tmp_path):
     assert "PartitionFilters: [isnotnull(country" in plan and "EqualTo(page,0)" in plan
 
 
+def _requests(spark, rows):
+    schema = "request_id long, country string, sort_order string, page long"
+    return spark.createDataFrame(rows, schema)
+
+
+def test_requests_read_only_the_folders_they_ask_for(spark, sf, tmp_path):
+    from provtally.operators import creators as cr
+    from provtally.queries import _listing
+
+    listing = rl.kept(_listing(spark, sf), "listing")
+    counts = rl.kept(cr.page_counts(listing, 5), "counts")
+    pages = rl.kept(rl.page_rows(cr.paged(listing, 5), 5), "pages")
+    path = tmp_path / "pages"
+    rl.store_pages(pages, str(path))
+    asked = [(1, "US", cr.BY_NAME, 0), (2, "US", cr.BY_NAME, 0), (3, "US", cr.BY_NAME, -1), (4, "US", "newest", 0),
+             (5, "QQ", cr.BY_NAME, 0), (6, "US", cr.BY_NAME, None), (7, None, None, 0)]
+    content = rl.page_content(_requests(spark, asked), counts, str(path), fx.RELEASE_ID)
+    assert "dynamicpruning" in content._jdf.queryExecution().executedPlan().toString()
+    # From here on, whoever opens another folder fails.
+    for folder in path.glob("country=*/sort_order=*"):
+        if folder.parent.name != "country=US" or folder.name != f"sort_order={cr.BY_NAME}":
+            for file in folder.glob("*.parquet"):
+                file.write_bytes(b"spoilt")
+                (folder / f".{file.name}.crc").unlink(missing_ok=True)
+    rows = content.collect()
+    want = pages.where(f"country = 'US' and sort_order = '{cr.BY_NAME}' and page = 0").first()["document"]
+    for request in (1, 2):
+        got = sorted((r for r in rows if r["request_id"] == request), key=lambda r: r["position"])
+        assert [r["publicChannelKey"] for r in got] == [r["publicChannelKey"] for r in want["rows"]]
+        assert {(r["status"], r["next_cursor"], r["total_rows"]) for r in got} == {("ok", want["nextCursor"], want["totalRows"])}
+    others = [r for r in rows if r["request_id"] > 2]
+    assert sorted(r["request_id"] for r in others) == [3, 4, 5, 6, 7]
+    assert {(r["status"], r["publicChannelKey"], r["position"]) for r in others} == {("not-found", None, None)}
+
+
+def test_requests_for_nothing(spark, sf, tmp_path):
+    from provtally.operators import creators as cr
+    from provtally.queries import _listing
+
+    listing = rl.kept(_listing(spark, sf), "listing")
+    path = str(tmp_path / "pages")
+    rl.store_pages(rl.page_rows(cr.paged(listing, 5), 5), path)
+    counts = cr.page_counts(listing, 5)
+    assert rl.page_content(_requests(spark, []), counts, path, fx.RELEASE_ID).count() == 0
+    assert [r["status"] for r in rl.page_content(_requests(spark, [(1, "QQ", cr.BY_NAME, 0)]), counts, path, fx.RELEASE_ID).collect()] == ["not-found"]
+
+
+_CHANNEL = "UC" + "abcdefghijk" * 2
+
+
+def _leak_tables(spark):
+    bodies = [
+        ("a.json", f'{{"name":"{_CHANNEL} and V0000000001","more":"V0000000001"}}'),
+        ("b.json", '{"name":"xV0000000001 V0000000001x V0000000009"}'),
+        ("c.json", ""), ("d.json", None),
+    ]
+    documents = spark.createDataFrame(bodies, "path string, body string")
+    ids = [("V0000000001",), ("V0000000001",), ("V0000000002",), (_CHANNEL,), ("name",), (None,)]
+    return documents, spark.createDataFrame(ids, "token string")
+
+
+def test_raw_identifiers_are_found_where_they_stand_free(spark):
+    found = rl.release_leaks(*_leak_tables(spark)).collect()
+    assert {tuple(r) for r in found} == {("video", "V0000000001", "a.json", 2), ("channel", _CHANNEL, "a.json", 1)}
+    documents, raw = _leak_tables(spark)
+    assert rl.release_leaks(documents, raw.limit(0)).count() == 0
+    assert rl.release_leaks(documents.limit(0), raw).count() == 0
+
+
+def test_many_raw_identifiers_are_thinned_by_a_bloom_filter(spark, tmp_path):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    documents, raw = _leak_tables(spark)
+    raw.write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    words = rl.kept(documents.select(F.explode(F.split("body", " ")).alias("token")).distinct(), "words")
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        joined = raw.join(words.where("length(token) >= 11"), "token").select("token").distinct()
+        assert "might_contain" in joined._jdf.queryExecution().optimizedPlan().toString()
+        assert rl.release_leaks(documents, raw).count() == 2
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_release_with_raw_identifiers_is_not_published(spark, tmp_path):
+    documents, raw = _leak_tables(spark)
+    documents = rl.with_digest(documents.where("path <> 'd.json'"))
+    with pytest.raises(ValueError, match="raw identifiers in a.json"):
+        rl.publish(documents, fx.catalog(), SETTINGS, str(tmp_path / "out"), raw)
+    assert not list(tmp_path.rglob("*.json"))
+    rl.publish(documents, fx.catalog(), SETTINGS, str(tmp_path / "out"), raw.where("token = 'V0000000002'"))
+    assert (tmp_path / "out" / rl.POINTER_PATH).exists()
+
+
+def _walked(spark, contract, texts):
+    """(cleared by types, issues of the full walk) of each text."""
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, body string")
+    checked = frame.select("i", ct.sound(contract, "body").alias("sound"), au.parsed_text(F.col("body")).alias("v"))
+    rows = checked.select("i", "sound", F.col("v").isNotNull().alias("json"), ct.issues(contract, "v").alias("issues")).collect()
+    return [(r["sound"], r["json"] and not r["issues"]) for r in sorted(rows, key=lambda r: r["i"])]
+
+
+def _spoilt(value, odd):
+    """Copies of a document with one value replaced, left out or joined by another."""
+    if isinstance(value, dict):
+        for k in value:
+            yield {a: b for a, b in value.items() if a != k}
+            yield from ({**value, k: o} for o in odd)
+            yield from ({**value, k: v} for v in _spoilt(value[k], odd))
+        yield {**value, "extra": 1}
+    if isinstance(value, list):
+        yield []
+        yield value + value
+        for i, item in enumerate(value[:1]):
+            yield from (value[:i] + [v] + value[i + 1 :] for v in _spoilt(item, odd))
+
+
+@pytest.mark.parametrize("name", ["manifest", "overview", "shard", "page"])
+def test_types_clear_only_what_the_walk_clears(spark, release, name):
+    paths = {"manifest": f"{BASE}/manifest.json", "overview": f"{BASE}/overview.json",
+             "shard": f"{BASE}/countries/US.json", "page": f"{BASE}/creators/US/displayNameAsc/page-0.json"}
+    contract = {"manifest": ct.MANIFEST, "overview": ct.OVERVIEW, "shard": ct.COUNTRY_SHARD, "page": ct.CREATOR_PAGE}[name]
+    text = (release / paths[name]).read_text()
+    body = json.loads(text)
+    for key in ("artifactDigests", "pageIndex"):
+        if key in body:
+            body[key] = dict(list(body[key].items())[:2])
+    texts = [text, text + " ", " " + text, text + "{}", text[:-1], "", "null", "[]", text.replace(":", " :", 1), json.dumps(body)]
+    odd = (None, "", "x", -1, 0, 1.5, 2**70, True, [], {}, [1], "2024-02-30T00:00:00Z")
+    made = [json.dumps(d, separators=(",", ":"), ensure_ascii=False) for d in _spoilt(body, odd)]
+    texts += made if len(made) < 1500 else made[:: len(made) // 1500 + 1]
+    result = _walked(spark, contract, texts)
+    assert result[0] == (True, True)
+    assert not [t for t, (sound, fits) in zip(texts, result, strict=True) if sound and not fits]
+    # Written the same way, a document without a fault is cleared, unless a number is out of a long's range.
+    missed = [t for t, (sound, fits) in zip(texts[10:], result[10:], strict=True) if fits and not sound]
+    assert all(str(2**70) in t or "1.5" in t or ".0" in t for t in missed)
+
+
 def test_removals_may_cover_the_totals(spark, sf):
     from dataclasses import replace
 

@@ -187,3 +187,19 @@ def test_selection_keys_name_the_published_filter(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == [
         ("Candidate~ds-a+ds-b", "ab", 1), ("~ds-a", None, 1)
     ]
+
+
+def test_releases_and_classes_of_the_caller(spark):
+    links = spark.createDataFrame(
+        [(1, "/?release=r1&corpus=Other,Candidate"), (2, "/?release=r2"), (3, "/?release=a b"), (4, "/?corpus=Other"), (5, None)],
+        "event_id int, url string",
+    )
+    known = spark.createDataFrame([("DE",)], "country string")
+    parsed = sel.parse_links(links, _catalog(FILTERS), known, known_releases=["r1"], corpus_classes=["Other"])
+    got = {r["event_id"]: (r["release"], r["corpus_classes"], [tuple(c) for c in r["corrections"]]) for r in parsed.collect()}
+    assert got[1] == ("r1", ["Other"], [("corpusClasses", "Candidate", "unknown corpus class")])
+    assert got[2] == (None, [], [("release", "r2", "release is not available")])
+    assert got[3] == (None, [], [("release", "a b", "not a valid release identifier")])
+    assert got[4] == (None, ["Other"], [])
+    none_known = sel.parse_links(links, _catalog(FILTERS), known, known_releases=[]).where("event_id = 1").first()
+    assert none_known["release"] is None

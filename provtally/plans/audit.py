@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from provtally.functions.documents import parsed, parsed_text, text_of
 from provtally.functions.identifiers import digest_of
 from provtally.functions.sql import exploded
-from provtally.plans.release import POINTER_PATH, kept, overview_path
-from provtally.session import prepare
+from provtally.plans.manifests import Manifest, read_manifest
+from provtally.plans.release import POINTER_PATH, overview_path
+from provtally.session import kept, prepare
 from provtally.sources import contracts as ct
 from provtally.sources.artifacts import read_artifacts
 
@@ -33,28 +35,6 @@ _RESULT = "path string, kind string, status string, detail string"
 _BY_KIND = {"overview": ct.OVERVIEW, "shard": ct.COUNTRY_SHARD, "page": ct.CREATOR_PAGE}
 
 
-def parsed(content: Column) -> Column:
-    """A document's bytes as a variant; null when they are not JSON."""
-    return parsed_text(text_of(content))
-
-
-def text_of(content: Column) -> Column:
-    """A document's bytes as text, without a mark of byte order."""
-    return F.regexp_replace(F.make_valid_utf8(content.cast("string")), "\\A\\x{FEFF}", "")
-
-
-def parsed_text(text: Column) -> Column:
-    """A text as a variant; null unless it is one JSON value and nothing else.
-
-    The parser stops after the first value, so what follows it is caught by wrapping the text:
-    a rest would have to close or continue a list and an object alike. The wrapped texts are only
-    scanned, not built up.
-    """
-    in_list = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
-    in_object = F.json_object_keys(F.concat(F.lit('{"value":'), text, F.lit("}")))
-    return F.when((in_list == 1) & in_object.isNotNull(), F.try_parse_json(text))
-
-
 def _first_message(column: str) -> Column:
     return F.get(F.col(column), F.lit(0))["message"]
 
@@ -89,24 +69,14 @@ def _verified(files: DataFrame, digests: DataFrame, contract: ct.Record) -> Data
     )
 
 
-def _wanted(spark: SparkSession, root: str, release_id: str, manifest: DataFrame, digests: DataFrame) -> DataFrame:
+def _wanted(spark: SparkSession, root: str, release_id: str, manifest: Manifest, digests: DataFrame) -> DataFrame:
     """(path, wanted_kind, want_country, want_sort, want_totals) of every artifact the release's own documents refer to.
 
     The manifest names the overviews, the release's overview the countries and their totals, each shard its pages.
     References are followed only out of documents that are themselves in order.
     """
     default_at = overview_path(release_id)
-    overviews = manifest.select(
-        F.explode(
-            F.array_union(
-                F.expr(
-                    "transform(try_variant_get(v, '$.filters', 'array<variant>'),"
-                    " f -> try_variant_get(f, '$.path', 'string'))"
-                ),
-                F.array(F.lit(default_at)),
-            )
-        ).alias("path")
-    )
+    overviews = manifest.paths().unionByName(spark.createDataFrame([(default_at,)], "path string")).distinct()
     countries = (
         _verified(read_artifacts(spark, root, default_at), digests, ct.OVERVIEW)
         .where(F.expr(ct.text_at("v", "releaseId")) == release_id)
@@ -179,44 +149,31 @@ def audit_release(spark: SparkSession, root: str) -> DataFrame:
     pointer_row = (POINTER_PATH, "pointer", OK, None)
     listed_at, release_id = pointer["manifestPath"], pointer["releaseId"]
 
-    manifest = _single(spark, root, listed_at, ct.MANIFEST, "releaseId")
+    manifest = read_manifest(spark, root, listed_at)
     if manifest is None:
         fault = (NOT_FOUND, "absent")
-    elif manifest["digest"] != pointer["manifestDigest"]:
+    elif manifest.digest != pointer["manifestDigest"]:
         fault = (DIGEST_MISMATCH, "digest mismatch")
-    elif not manifest["is_json"]:
+    elif not manifest.is_json:
         fault = (SCHEMA_INVALID, "not JSON")
-    elif not manifest["valid"]:
-        fault = (SCHEMA_INVALID, manifest["message"])
-    elif manifest["releaseId"] != release_id:
-        fault = (MIXED_RELEASE, OTHER_MANIFEST.format(release_id, manifest["releaseId"]))
+    elif manifest.message is not None:
+        fault = (SCHEMA_INVALID, manifest.message)
+    elif manifest.value("releaseId") != release_id:
+        fault = (MIXED_RELEASE, OTHER_MANIFEST.format(release_id, manifest.value("releaseId")))
     else:
         fault = (OK, None)
     heads = report(pointer_row, (listed_at, "manifest", *fault))
     if fault[0] != OK:
         return heads
-    return heads.unionByName(_audit_listed(spark, root, listed_at, release_id))
+    return heads.unionByName(_audit_listed(spark, root, manifest, listed_at, release_id))
 
 
-def _audit_listed(spark: SparkSession, root: str, manifest_at: str, release_id: str) -> DataFrame:
-    manifest = read_artifacts(spark, root, manifest_at).select(parsed(F.col("content")).alias("v"))
-    # Joined four times, so the manifest is parsed for it once.
-    digests = kept(
-        manifest.select(
-            F.explode(F.expr("try_variant_get(v, '$.artifactDigests', 'map<string,string>')")).alias("path", "digest")
-        ),
-        "digests",
-    )
+def _audit_listed(spark: SparkSession, root: str, manifest: Manifest, manifest_at: str, release_id: str) -> DataFrame:
+    # Joined four times, so the list is read for it once.
+    digests = kept(manifest.listed, "digests")
     page = r"\Areleases/" + release_id.replace(".", r"\.") + r"/creators/([^/]*)/([^/]*)/page-\d+\.json\z"
     shard = r"\Areleases/" + release_id.replace(".", r"\.") + r"/countries/(.*)\.json\z"
-    named = manifest.select(
-        F.explode(
-            F.expr(
-                "transform(try_variant_get(v, '$.filters', 'array<variant>'),"
-                " f -> try_variant_get(f, '$.path', 'string'))"
-            )
-        ).alias("path")
-    ).distinct().withColumn("named", F.lit(True))
+    named = manifest.paths().distinct().withColumn("named", F.lit(True))
     files = read_artifacts(spark, root).where(~F.col("path").isin(POINTER_PATH, manifest_at))
     # One row per published filter.
     typed = files.join(F.broadcast(named), "path", "left").withColumn(

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from provtally.functions.identifiers import digest_of
 from provtally.operators.selection import filter_lookup
 from provtally.plans import audit as au
+from provtally.plans.manifests import read_manifest
 from provtally.plans.release import POINTER_PATH, overview_path
-from provtally.session import prepare
+from provtally.session import kept, prepare
 from provtally.sources import contracts as ct
 from provtally.sources.artifacts import read_artifacts
 from provtally.sources.catalog import Catalog, Dataset, PublishedFilter
@@ -56,6 +57,15 @@ class ArtifactError(Exception):
         self.path = path
 
 
+def _refuse(path: str, intact: bool, is_json: bool, message: str | None) -> None:
+    if not intact:
+        raise ArtifactError(au.DIGEST_MISMATCH, path, f"digest mismatch for {path}")
+    if not is_json:
+        raise ArtifactError(au.SCHEMA_INVALID, path, f"{path} is not JSON")
+    if message is not None:
+        raise ArtifactError(au.SCHEMA_INVALID, path, f"{path} does not match its schema: {message}")
+
+
 def _checked(spark: SparkSession, root: str, path: str, digest: str, contract: ct.Record, schema: str) -> DataFrame:
     """One row of a document that is there, intact and in its contract's form."""
     document = read_artifacts(spark, root, path)
@@ -66,12 +76,7 @@ def _checked(spark: SparkSession, root: str, path: str, digest: str, contract: c
     ).first()
     if state is None:
         raise ArtifactError(au.NOT_FOUND, path, f"artifact not found: {path}")
-    if state["found"] != digest:
-        raise ArtifactError(au.DIGEST_MISMATCH, path, f"digest mismatch for {path}")
-    if not state["is_json"]:
-        raise ArtifactError(au.SCHEMA_INVALID, path, f"{path} is not JSON")
-    if state["message"] is not None:
-        raise ArtifactError(au.SCHEMA_INVALID, path, f"{path} does not match its schema: {state['message']}")
+    _refuse(path, state["found"] == digest, state["is_json"], state["message"])
     return document.select(F.from_json(F.col("content").cast("string"), schema).alias("d")).select("d.*")
 
 
@@ -86,12 +91,12 @@ class OpenRelease:
     generated_at: str
     enrichment_cutoff: str
     catalog: Catalog
+    listed: DataFrame
 
     def _digest(self, path: str) -> str | None:
         """The listed digest of one path; the list itself stays with Spark."""
-        manifest = read_artifacts(self.spark, self.root, self.manifest_at)
-        listed = F.from_json(F.col("content").cast("string"), "artifactDigests map<string,string>")["artifactDigests"]
-        return manifest.select(F.try_element_at(listed, F.lit(path))).first()[0]
+        found = self.listed.where(F.col("path") == path).first()
+        return found["digest"] if found else None
 
     def overview(self, datasets: list[str] = (), classes: list[str] = ()) -> tuple[DataFrame, bool]:
         """The overview of the filter a selection resolves to, and whether it is that exact selection's."""
@@ -184,7 +189,11 @@ def open_release(spark: SparkSession, root: str) -> OpenRelease:
     if not pointer["valid"]:
         raise ArtifactError(au.POINTER_REFRESH, POINTER_PATH, au.POINTER_SCHEMA)
     path, release_id = pointer["manifestPath"], pointer["releaseId"]
-    head = _checked(spark, root, path, pointer["manifestDigest"], ct.MANIFEST, _MANIFEST).first()
+    manifest = read_manifest(spark, root, path)
+    if manifest is None:
+        raise ArtifactError(au.NOT_FOUND, path, f"artifact not found: {path}")
+    _refuse(path, manifest.digest == pointer["manifestDigest"], manifest.is_json, manifest.message)
+    head = manifest.document.select(F.from_json(F.to_json("v"), _MANIFEST).alias("d")).select("d.*").first()
     if head["releaseId"] != release_id:
         raise ArtifactError(au.MIXED_RELEASE, path, au.OTHER_MANIFEST.format(release_id, head["releaseId"]))
     datasets = tuple(
@@ -197,5 +206,6 @@ def open_release(spark: SparkSession, root: str) -> OpenRelease:
         for f in head["filters"]
     )
     return OpenRelease(
-        spark, root, release_id, path, head["generatedAt"], head["enrichmentCutoff"], Catalog(datasets, filters)
+        spark, root, release_id, path, head["generatedAt"], head["enrichmentCutoff"], Catalog(datasets, filters),
+        kept(manifest.listed, "listed"),
     )

@@ -24,17 +24,17 @@ from provtally.operators.metrics import (
     positions,
     with_country,
 )
-from provtally.session import new_folder
+from provtally.plans.manifests import entry_lines, write_manifest
+from provtally.session import kept
 from provtally.sources.artifacts import write_artifacts
 from provtally.sources.catalog import Catalog, Dataset, PublishedFilter
 from provtally.sources.contracts import SCHEMA_VERSION, instant
 
 POINTER_PATH = "active-release.json"
 
-# A manifest lists every artifact in one document, which its readers load whole, and a shard lists its
-# pages likewise. Beyond this many entries that is no document any reader can load (some 80 MB); a
-# release of more artifacts is refused, and larger pages make fewer of them.
-MAX_MANIFEST_ENTRIES = 500_000
+# A shard lists all pages of its country in one document, which its readers load whole. Beyond this many
+# pages that is no document any reader can load; such a country needs larger pages.
+MAX_SHARD_PAGES = 500_000
 
 # Documents named by the error that refuses a release with raw identifiers in it.
 SHOWN_LEAKS = 5
@@ -67,13 +67,6 @@ class Inputs:
     readings: DataFrame | None = None
 
 
-def kept(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and go on from there, so that no job recomputes it."""
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def manifest_path(release_id: str) -> str:
     return f"releases/{release_id}/manifest.json"
 
@@ -359,7 +352,7 @@ def release_tables(inputs: Inputs, settings: ReleaseSettings) -> Tables:
     listing = kept(
         cr.published(creators, inputs.removals, settings.disclosure_threshold, settings.key_salt), "listing"
     )
-    _refuse_beyond_manifest(cr.page_counts(listing, settings.page_size))
+    _refuse_beyond_shard(cr.page_counts(listing, settings.page_size))
     return Tables(cells, creators, listing, breakdown)
 
 
@@ -385,15 +378,11 @@ def removed_from_totals(cells: DataFrame, counts: DataFrame, channels: DataFrame
     return left.where("videos > 0")
 
 
-def _refuse_beyond_manifest(counts: DataFrame) -> None:
-    """Stop before any page is laid out when the manifest could not list them all."""
-    pages = counts.agg(F.coalesce(F.sum("page_count"), F.lit(0))).first()[0]
-    _check_entries(pages)
-
-
-def _check_entries(n: int) -> None:
-    if n > MAX_MANIFEST_ENTRIES:
-        raise ValueError(f"{n} artifacts do not fit one manifest document; use a larger page size")
+def _refuse_beyond_shard(counts: DataFrame) -> None:
+    """Stop before any page is laid out when a shard could not list all pages of its country."""
+    pages = counts.groupBy("country").agg(F.sum("page_count").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    if pages > MAX_SHARD_PAGES:
+        raise ValueError(f"{pages} pages of a country do not fit one shard; use a larger page size")
 
 
 def shard_documents_of(tables: Tables, catalog: Catalog, settings: ReleaseSettings, pages: DataFrame) -> DataFrame:
@@ -446,13 +435,8 @@ def _filter_literal(f: PublishedFilter) -> Column:
     )
 
 
-def manifest_document(digests: DataFrame, catalog: Catalog, settings: ReleaseSettings) -> DataFrame:
-    """(path, kind, body) of the manifest: every path with its digest, in path order."""
-    _check_entries(digests.count())
-    # The contract's map lives in one document; the count above bounds it.
-    listed = digests.groupBy().agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("path", "digest")))).alias("digests")
-    )
+def manifest_body(spark: SparkSession, catalog: Catalog, settings: ReleaseSettings) -> str:
+    """The manifest's text with an empty list of artifacts."""
     default = catalog.default
     document = F.struct(
         F.lit(SCHEMA_VERSION).alias("schemaVersion"),
@@ -464,31 +448,37 @@ def manifest_document(digests: DataFrame, catalog: Catalog, settings: ReleaseSet
             _texts(sorted(default.corpus_classes)).alias("corpusClasses"),
         ).alias("defaultFilter"),
         F.array(*[_dataset_literal(d) for d in catalog.datasets]).alias("datasets"),
-        F.col("digests").alias("artifactDigests"),
+        F.expr("cast(map() as map<string,string>)").alias("artifactDigests"),
         F.lit(settings.methodology_version).alias("methodologyVersion"),
         F.lit(settings.disclosure_policy_version).alias("disclosurePolicyVersion"),
         F.struct(*[F.lit(v).alias(k) for k, v in settings.boundary_metadata.items()]).alias("boundaryMetadata"),
         F.array(*[_filter_literal(f) for f in catalog.filters]).alias("filters"),
     )
-    return listed.select(
-        F.lit(manifest_path(settings.release_id)).alias("path"),
-        F.lit("manifest").alias("kind"),
-        _json(document).alias("body"),
-    )
+    return spark.range(1).select(_json(document)).first()[0]
 
 
-def pointer_document(manifest: DataFrame, settings: ReleaseSettings) -> DataFrame:
+def pointer_document(spark: SparkSession, digest: str, settings: ReleaseSettings) -> DataFrame:
+    """(path, kind, body) of the pointer to the manifest with this digest."""
     document = F.struct(
         F.lit(SCHEMA_VERSION).alias("schemaVersion"),
         F.lit(settings.release_id).alias("releaseId"),
-        F.col("path").alias("manifestPath"),
-        digest_of(F.encode("body", "UTF-8")).alias("manifestDigest"),
+        F.lit(manifest_path(settings.release_id)).alias("manifestPath"),
+        F.lit(digest).alias("manifestDigest"),
     )
-    return manifest.select(
+    return spark.range(1).select(
         F.lit(POINTER_PATH).alias("path"), F.lit("pointer").alias("kind"), _json(document).alias("body")
     )
 
 
+def publish_listing(digests: DataFrame, catalog: Catalog, settings: ReleaseSettings, root: str) -> str:
+    """Write the manifest of (path, digest) rows, then the pointer to it; returns the manifest's digest."""
+    spark = digests.sparkSession
+    body = manifest_body(spark, catalog, settings)
+    digest = write_manifest(entry_lines(digests), body, root, manifest_path(settings.release_id))
+    write_artifacts(pointer_document(spark, digest, settings), root)
+    return digest
+
+
 def raw_identifiers(inputs: Inputs) -> DataFrame:
     """(token): the raw video and channel ids that a release is made from, repeats kept."""
     tables = [inputs.observations.select("video_id"), inputs.resolutions.select("video_id")]
@@ -529,12 +519,13 @@ def publish(
     that holds one of them is refused before anything is written. Returns the documents as kept in the shared folder.
     """
     held = kept(documents, "documents")
-    manifest = kept(manifest_document(held.select("path", "digest"), catalog, settings), "manifest")
     if raw is not None:
-        _refuse_leaks(held.select("path", "body").unionByName(manifest.select("path", "body")), raw)
+        # The manifest holds the paths, and the catalogue's texts.
+        at = F.lit(manifest_path(settings.release_id)).alias("path")
+        body = held.sparkSession.range(1).select(at, F.lit(manifest_body(held.sparkSession, catalog, settings)).alias("body"))
+        _refuse_leaks(held.select("path", "body").unionByName(held.select(at, F.col("path").alias("body"))).unionByName(body), raw)
     write_artifacts(held, root)
-    write_artifacts(manifest, root)
-    write_artifacts(pointer_document(manifest, settings), root)
+    publish_listing(held.select("path", "digest"), catalog, settings, root)
     return held
 
 

@@ -20,6 +20,7 @@ from provtally.plans import audit as au
 from provtally.plans import checks as ck
 from provtally.plans import release as rl
 from provtally.plans import report as rp
+from provtally.plans.manifests import read_manifest
 from provtally.session import new_folder, prepare
 from provtally.sources import contracts as ct
 from provtally.sources import snapshots as sn
@@ -471,9 +472,9 @@ def country_shard(spark: SparkSession, sf: str) -> DataFrame:
 def manifest_digests(spark: SparkSession, sf: str) -> DataFrame:
     """Every artifact with its digest, read back out of the manifest that lists them."""
     documents = rl.with_digest(_documents(spark, sf))
-    manifest = rl.manifest_document(rl.kept(documents.select("path", "digest"), "digests"), fx.catalog(), SETTINGS)
-    listing = F.from_json("body", "artifactDigests map<string,string>")["artifactDigests"]
-    return manifest.select(F.explode(listing).alias("path", "digest"))
+    root = new_folder(spark, "listing")
+    rl.publish_listing(documents.select("path", "digest"), fx.catalog(), SETTINGS, root)
+    return read_manifest(spark, root, rl.manifest_path(fx.RELEASE_ID)).listed
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -528,9 +529,7 @@ def release_audit(spark: SparkSession, sf: str) -> DataFrame:
     )
     rl.write_artifacts(written, root)
     listed = held.where(fault != 2).select("path", "digest")
-    manifest = rl.kept(rl.manifest_document(listed, _read_catalog(spark, sf), SETTINGS), "manifest")
-    rl.write_artifacts(manifest, root)
-    rl.write_artifacts(rl.pointer_document(manifest, SETTINGS), root)
+    rl.publish_listing(listed, _read_catalog(spark, sf), SETTINGS, root)
     return au.audit_release(spark, root)
 
 

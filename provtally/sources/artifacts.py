@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Bytes of a file that a task holds at a time.
+BLOCK = 8 << 20
+
 
 def _uri(root: str) -> str:
     return root if "://" in root or root.startswith("file:") else f"file://{root}"
@@ -67,3 +70,66 @@ def write_artifacts(documents: DataFrame, root: str) -> int:
 
     counts = documents.select("path", "body").mapInArrow(write_batches, "written bigint")
     return counts.agg(F.coalesce(F.sum("written"), F.lit(0))).first()[0]
+
+
+def digest_file(spark: SparkSession, root: str, path: str) -> str:
+    """Digest of one file below a root, read in blocks by a task."""
+    at, block_size = f"{_uri(root.rstrip('/'))}/{path}", BLOCK
+
+    def digest(batches):
+        import hashlib
+
+        import pyarrow as pa
+        from pyarrow import fs as pafs
+
+        for _ in batches:
+            filesystem, name = pafs.FileSystem.from_uri(at)
+            hashed = hashlib.sha256()
+            with filesystem.open_input_stream(name) as source:
+                while block := source.read(block_size):
+                    hashed.update(block)
+            yield pa.RecordBatch.from_pydict({"digest": [hashed.hexdigest()]})
+
+    return "sha256:" + spark.range(0, 1, 1, 1).mapInArrow(digest, "digest string").first()[0]
+
+
+def join_fragments(spark: SparkSession, folder: str, root: str, path: str, head: str, tail: str, skip: int = 0) -> str:
+    """Write head, the text files of a folder in the order of their names, and tail as one file; returns its digest.
+
+    A task copies block by block, under a temporary name until all is written. The first ``skip`` bytes of the
+    files are left out.
+    """
+    source_at, target, block_size = _uri(folder), _uri(root.rstrip("/")), BLOCK
+
+    def join(batches):
+        import hashlib
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs as pafs
+
+        for _ in batches:
+            filesystem, base = pafs.FileSystem.from_uri(target)
+            sources, named = pafs.FileSystem.from_uri(source_at)
+            final = f"{base}/{path}"
+            within = final.rsplit("/", 1)[0]
+            filesystem.create_dir(within, recursive=True)
+            draft, hashed, left = f"{within}/.{uuid.uuid4().hex}", hashlib.sha256(), skip
+            files = sorted(f.path for f in sources.get_file_info(pafs.FileSelector(named)) if f.base_name.startswith("part-"))
+            with filesystem.open_output_stream(draft) as out:
+
+                def put(block):
+                    out.write(block)
+                    hashed.update(block)
+
+                put(head.encode("utf-8"))
+                for name in files:
+                    with sources.open_input_stream(name) as source:
+                        while block := source.read(block_size):
+                            put(block[left:])
+                            left = max(0, left - len(block))
+                put(tail.encode("utf-8"))
+            filesystem.move(draft, final)
+            yield pa.RecordBatch.from_pydict({"digest": [hashed.hexdigest()]})
+
+    return "sha256:" + spark.range(0, 1, 1, 1).mapInArrow(join, "digest string").first()[0]

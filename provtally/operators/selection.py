@@ -63,7 +63,7 @@ def _pairs(url: str) -> str:
 
 def _first(name: str) -> str:
     """First value of a parameter, null when the link does not have it."""
-    return f"get(filter(_pairs, p -> p.name = {quote(name)}), 0).value"
+    return f"get(_pairs.value, cast(array_position(_pairs.name, {quote(name)}) as int) - 1)"
 
 
 def _items(value: str) -> str:

@@ -158,7 +158,15 @@ def paged(listing: DataFrame, page_size: int) -> DataFrame:
 
 
 def first_page(listing: DataFrame, page_size: int, sort_order: str = BY_VIDEOS) -> DataFrame:
-    """Top rows of each country. Each task keeps its own top rows before the shuffle."""
+    """Top rows of each country.
+
+    Each task keeps its own top rows before the shuffle where Spark limits groups, below its threshold of rows;
+    longer pages come out of the ranks, so that no task sorts a country.
+    """
+    limited = int(listing.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if page_size >= limited:
+        ranks = creator_ranks(listing, sort_order).where(F.col("rank") <= page_size)
+        return ranks.select(*listing.columns, "rank")
     w = W.partitionBy("country").orderBy(*sort_columns(sort_order))
     top = listing.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= page_size)
     return top.withColumn("rank", F.col("rank").cast("long"))

@@ -117,3 +117,22 @@ def test_disclosure_and_removal(spark):
     out = cr.published(rows, removals, 3, "salt").collect()
     assert [r["display_name"] for r in out] == ["b"]
     assert "channel_key" not in out[0].asDict()
+
+
+def test_long_first_pages_come_out_of_ranks(spark):
+    rows = spark.range(12_000).selectExpr(
+        "concat('pk_', lpad(id, 8, '0')) as public_channel_key", "concat('n', id % 97) as display_name",
+        "if(id % 3 = 0, 'DE', if(id = 1, 'FR', 'US')) as country", "id % 50 as represented_video_count",
+    )
+    for size in (999, 1000, 5000):
+        top = cr.first_page(rows, size)
+        plan = top._jdf.queryExecution().executedPlan().toString()
+        assert ("WindowGroupLimit" in plan) == (size < 1000) and (size < 1000 or "row_number" not in plan)
+        assert dict(top.dtypes)["rank"] == "bigint" and top.columns == [*rows.columns, "rank"]
+        got = [tuple(r) for r in top.collect()]
+        want = []
+        for country in ("DE", "FR", "US"):
+            held = rows.where(f"country = '{country}'").collect()
+            held.sort(key=lambda r: (-r["represented_video_count"], r["display_name"], r["public_channel_key"]))
+            want += [(*r, i + 1) for i, r in enumerate(held[:size])]
+        assert sorted(got) == sorted(want), size

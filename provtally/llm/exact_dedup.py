@@ -2,7 +2,8 @@
 
 The index is a table bucketed and sorted by digest, one row per distinct text ever seen, with the
 id that stays. A batch is reduced to one row per digest map-side, anti-joined to the index by
-sort-merge (the index side is neither shuffled nor sorted again) and what is new is appended.
+sort-merge (the index side is not shuffled again; each append adds files to its buckets, so Spark sorts
+it there once more) and what is new is appended.
 """
 
 from __future__ import annotations

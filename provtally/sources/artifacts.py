@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 BLOCK = 8 << 20
 
 
-def _uri(root: str) -> str:
-    return root if "://" in root or root.startswith("file:") else f"file://{root}"
+def _uri(spark: SparkSession, root: str) -> str:
+    """Where the session's file systems place a root, so that tasks write where readers look."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root.rstrip("/"))
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
+    scheme, _, rest = whole.partition(":")
+    # Local names come with one slash, and object stores under their connector's scheme.
+    return f"file://{rest}" if scheme == "file" and not rest.startswith("//") else f"{scheme.replace('s3a', 's3')}:{rest}"
 
 
 def read_artifacts(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
@@ -42,7 +47,7 @@ def write_artifacts(documents: DataFrame, root: str) -> int:
     Tasks write their own files under a temporary name and rename them, so a task that is run
     again after a lost executor leaves the same files behind.
     """
-    target = _uri(root.rstrip("/"))
+    target = _uri(documents.sparkSession, root)
 
     # Defined here, so that it travels to the executors by value.
     def write_batches(batches):
@@ -74,7 +79,7 @@ def write_artifacts(documents: DataFrame, root: str) -> int:
 
 def digest_file(spark: SparkSession, root: str, path: str) -> str:
     """Digest of one file below a root, read in blocks by a task."""
-    at, block_size = f"{_uri(root.rstrip('/'))}/{path}", BLOCK
+    target, block_size = _uri(spark, root), BLOCK
 
     def digest(batches):
         import hashlib
@@ -83,9 +88,9 @@ def digest_file(spark: SparkSession, root: str, path: str) -> str:
         from pyarrow import fs as pafs
 
         for _ in batches:
-            filesystem, name = pafs.FileSystem.from_uri(at)
+            filesystem, base = pafs.FileSystem.from_uri(target)
             hashed = hashlib.sha256()
-            with filesystem.open_input_stream(name) as source:
+            with filesystem.open_input_stream(f"{base}/{path}") as source:
                 while block := source.read(block_size):
                     hashed.update(block)
             yield pa.RecordBatch.from_pydict({"digest": [hashed.hexdigest()]})
@@ -99,7 +104,7 @@ def join_fragments(spark: SparkSession, folder: str, root: str, path: str, head:
     A task copies block by block, under a temporary name until all is written. The first ``skip`` bytes of the
     files are left out.
     """
-    source_at, target, block_size = _uri(folder), _uri(root.rstrip("/")), BLOCK
+    source_at, target, block_size = _uri(spark, folder), _uri(spark, root), BLOCK
 
     def join(batches):
         import hashlib

@@ -15,7 +15,7 @@ from provtally.plans import explore as ex
 from provtally.plans import release as rl
 from provtally.queries import SETTINGS
 from provtally.sources import contracts as ct
-from provtally.sources.artifacts import read_artifacts, write_artifacts
+from provtally.sources.artifacts import digest_file, read_artifacts, write_artifacts
 from provtally.sources.boundaries import read_boundaries
 
 BASE = f"releases/{fx.RELEASE_ID}"
@@ -250,6 +250,15 @@ def test_artifacts_round_trip(spark, tmp_path):
     assert read_artifacts(spark, str(tmp_path / "r"), "z/*").count() == 0
 
 
+def test_roots_by_scheme_and_with_blanks(spark, tmp_path):
+    docs = spark.createDataFrame([("a/b c.json", "{}")], "path string, body string")
+    for root in (f"file://{tmp_path}/one", f"file:{tmp_path}/two", f"{tmp_path}/th ree/"):
+        assert write_artifacts(docs, root) == 1
+        assert [r["path"] for r in read_artifacts(spark, root).collect()] == ["a/b c.json"]
+        assert digest_file(spark, root, "a/b c.json") == "sha256:" + hashlib.sha256(b"{}").hexdigest()
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["one", "th ree", "two"]
+
+
 def test_boundary_file(spark, tmp_path):
     doc = {"type": "FeatureCollection", "metadata": {"datasetName": "n"}, "features": [
         {"type": "Feature", "properties": {"iso": "DE", "name": "Germany"}, "geometry": {"type": "Point"}},

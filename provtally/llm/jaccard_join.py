@@ -5,7 +5,7 @@ recursively on shared tokens: at a node each set follows the tokens whose hash,
 is below branch / (threshold * size). Two sets of at least the threshold follow a common token with
 probability 1 - exp(-branch) or more, so independent runs are repeated until the target recall,
 what splits below lose included. Small nodes are compared by brute force. A large node is divided by
-size, then judged by counts of its tokens: where its sets share most of their tokens on average it is
+size, then judged by its tokens, counted in blocks of its sets: where they share most of them on average it is
 compared in blocks dealt over tasks, otherwise it is split on the tokens that less than about half of it holds.
 A set's tokens that most of its node holds, such as a common line, say nothing about a pair, so they are
 left out, and the others followed the more often; sets of little else meet in a child of their own. Nodes
@@ -36,11 +36,11 @@ NODE_TOKENS = 1_500_000
 BRANCH_ROOT, BRANCH_BELOW = 1.0, 4.0
 #: A token that this share of a node's sets holds is common there.
 COMMON = 0.4
+#: The share of a block of such a node, some NODE sets, that it holds by all odds.
+OFTEN = 0.3
 #: Two sets of the threshold differ in at most (1 - t) / t of either; this much more has to be uncommon for a split.
 MARGIN = 0.1
 DEPTH = 6
-#: Counts that a task holds before it hands them on.
-HELD = 1 << 20
 
 
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,35 +144,50 @@ def _looked_at(tokens: np.ndarray, key: np.uint64, threshold: float) -> tuple[np
     return tokens[seen], hashed[seen]
 
 
-def _counter(threshold: float) -> Callable:
-    """(node, child, n): how many sets of a node hold the token of a child, summed in the task."""
+def _looker(threshold: float) -> Callable:
+    """(node, block, held): per set the children that the tokens looked at lead to."""
 
-    def added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-        node, child, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((child, node))
-        node, child, n = node[order], child[order], n[order]
-        new = np.flatnonzero(np.concatenate(([True], (node[1:] != node[:-1]) | (child[1:] != child[:-1])))) if len(node) else np.zeros(0, int)
-        return node[new], child[new], np.add.reduceat(n, new) if len(new) else n
-
-    def out(held: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(signed(held[0])), pa.array(signed(held[1])), pa.array(held[2])], names=["node", "child", "n"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, sets = unsigned(batch.column("node").to_numpy()), batch.column("tokens")
             at, flat = sets.offsets.to_numpy(), unsigned(sets.values.to_numpy())
             keys = mix(node ^ mixed(7))
-            parts = [] if held is None else [held]
-            for i in range(len(node)):
-                tokens, _ = _looked_at(flat[at[i] : at[i + 1]], keys[i], threshold)
-                parts.append((np.full(len(tokens), node[i]), mix(tokens + keys[i]), np.ones(len(tokens), dtype=np.int64)))
-            held = added(parts) if parts else held
-            if held is not None and len(held[0]) > HELD:
-                yield out(held)
-                held = None
-        if held is not None:
-            yield out(held)
+            held = [mix(_looked_at(flat[at[i] : at[i + 1]], keys[i], threshold)[0] + keys[i]) for i in range(len(node))]
+            if held:
+                children = lists(pa.array(signed(np.concatenate(held))), np.array([len(x) for x in held]))
+                yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("block"), children], names=["node", "block", "held"])
+
+    return look
+
+
+def _counter() -> Callable:
+    """(node, pairs, possible, common, n): what the sets of a block of a node share, one row per block.
+
+    pairs of possible: how often a token looked at is held by another set of the block; common: the children of tokens
+    that a share of OFTEN holds there, at most so many as a set looks at over that share, each held by n sets.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ("node", "block")):
+            node, block, sets = table.column("node").to_numpy(), table.column("block").to_numpy(), table.column("held").combine_chunks()
+            row, flat = _flat(sets)
+            edge = np.flatnonzero(np.concatenate(([True], (node[1:] != node[:-1]) | (block[1:] != block[:-1]))))
+            pairs, possible, common, counts = [], [], [], []
+            for low, high in zip(edge, np.append(edge[1:], len(node)), strict=True):
+                child, n = np.unique(flat[slice(*np.searchsorted(row, [low, high]))], return_counts=True)
+                pairs.append(float((n * (n - 1.0)).sum()))
+                possible.append(float(n.sum()) * (high - low - 1))
+                often = n >= OFTEN * (high - low)
+                common.append(child[often])
+                counts.append(n[often].astype(np.int64))
+            held = np.array([len(x) for x in common])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(node[edge]), pa.array(pairs), pa.array(possible),
+                    lists(pa.array(signed(np.concatenate(common))), held), lists(pa.array(np.concatenate(counts)), held),
+                ],
+                names=["node", "pairs", "possible", "common", "n"],
+            )
 
     return count
 
@@ -314,9 +329,13 @@ def _by_size(large: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _counts(nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(node, child, n): sets of a node that hold a token, of the tokens that a split may follow."""
-    held = nodes.select("node", "rep").join(sets.select("rep", "tokens"), "rep").select("node", "tokens")
-    return held.mapInArrow(_counter(threshold), "node long, child long, n long").groupBy("node", "child").agg(F.sum("n").alias("n"))
+    """(node, pairs, possible, common, n): one row per block of at most some NODE sets of a node, dealt by hash."""
+    blocks = F.ceil(F.col("n") / F.lit(NODE)).cast("int")
+    block = F.pmod(F.xxhash64(F.lit("count"), "rep", "node"), blocks).cast("int").alias("block")
+    held = nodes.select("node", "rep", block).join(sets.select("rep", "tokens"), "rep").select("node", "block", "tokens")
+    held = held.mapInArrow(_looker(threshold), "node long, block int, held array<long>")
+    held = held.repartition("node", "block").sortWithinPartitions("node", "block")
+    return held.mapInArrow(_counter(), "node long, pairs double, possible double, common array<long>, n array<long>")
 
 
 def _final_nodes(sets: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
@@ -334,18 +353,19 @@ def _final_nodes(sets: DataFrame, members: DataFrame, threshold: float) -> DataF
     for _ in range(DEPTH):
         if large.isEmpty():
             return final
-        totals = large.groupBy("node").agg(F.max("n").alias("sets"))
-        held = _counts(large, sets, threshold).groupBy("node").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs"), F.sum("n").alias("all"))
-        # Of a set's tokens, the share that another set of the node holds, on average.
-        alike = F.col("pairs") >= (1 - _spare(threshold) - MARGIN) * F.col("sets") * F.col("all")
-        judged = stored(totals.join(held, "node").select("node", alike.alias("alike")), "judged")
+        # Of a set's tokens, the share that another set of the node holds, on average over blocks.
+        alike = F.sum("pairs") >= (1 - _spare(threshold) - MARGIN) * F.sum("possible")
+        judged = stored(_counts(large, sets, threshold).groupBy("node").agg(alike.alias("alike")), "judged")
         known = stored(large.join(judged, "node"), "known")
         final = final.unionByName(known.where("alike").select(*brief))
         unlike = stored(known.where("not alike").select(F.explode("same").alias("node"), "rep", "n"), "unlike")
         if unlike.isEmpty():
             return final
+        # Of a token that a share of COMMON holds, hardly a block holds less than OFTEN.
+        held = _counts(unlike, sets, threshold).select("node", F.explode(F.arrays_zip("common", "n")).alias("held"))
+        held = held.groupBy("node", F.col("held.common").alias("child")).agg(F.sum("held.n").alias("n"))
         totals = unlike.groupBy("node").agg(F.max("n").alias("sets"))
-        common = _counts(unlike, sets, threshold).join(totals, "node").where(F.col("n") >= COMMON * F.col("sets"))
+        common = held.join(totals, "node").where(F.col("n") >= COMMON * F.col("sets"))
         common = stored(common.groupBy("node").agg(F.collect_list("child").alias("common")), "common")
         nothing = F.coalesce("common", F.array().cast("array<long>")).alias("common")
         split = unlike.join(common, "node", "left").join(sets.select("rep", "tokens"), "rep").select("node", "rep", nothing, "tokens")

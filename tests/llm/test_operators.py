@@ -416,3 +416,22 @@ def test_recall_on_a_given_table(spark):
     ends = sum(n for _, n in want.values())
     assert sum(n for _, n in got.values()) >= 0.999 * ends and all(got[i][1] <= n for i, (_, n) in want.items())
     assert ends > 100 and sum(got[i] != w for i, w in want.items()) <= 0.001 * ends
+
+
+def test_token_counts_leave_a_task_as_one_row_per_block(spark, monkeypatch):
+    """Tokens of one set are not handed on, so what is shuffled grows with the sets and not with their tokens."""
+    monkeypatch.setattr(jaccard_join, "NODE", 64)
+    rnd = np.random.default_rng(3)
+    shared = rnd.integers(1, 1 << 62, 30)
+    sets = [(rep, [*shared.tolist(), *rnd.integers(1, 1 << 62, 20).tolist()]) for rep in range(640)]
+    nodes = spark.createDataFrame([(5, rep, len(sets)) for rep, _ in sets], "node long, rep long, n long")
+    found = jaccard_join._counts(nodes, spark.createDataFrame(sets, "rep long, tokens array<long>"), 0.8).collect()
+    assert len(found) == 10
+    # A set of so few tokens is looked at in full.
+    assert sum(r["pairs"] for r in found) / sum(r["possible"] for r in found) == pytest.approx(0.6)
+    held = {}
+    for r in found:
+        for child, n in zip(r["common"], r["n"], strict=True):
+            held[child] = held.get(child, 0) + n
+    key = jaccard_join.mix(np.array([5], dtype=np.uint64) ^ jaccard_join.mixed(7))[0]
+    assert held == dict.fromkeys(jaccard_join.signed(jaccard_join.mix(shared.astype(np.uint64) + key)).tolist(), len(sets))

@@ -255,15 +255,16 @@ def _issues_by_kind() -> Column:
 def document_issues(documents: DataFrame, contract: ct.Record, key: str, body: str = "body") -> DataFrame:
     """(key, path, rule, message): every violation in a table of JSON documents."""
     prepare(documents.sparkSession)
-    doubtful = documents.select(F.col(key), F.col(body).alias("text")).where(~F.coalesce(ct.sound(contract, "text"), F.lit(False)))
-    checked = doubtful.select(key, parsed_text(F.col("text")).alias("v"))
+    # A filter would be moved below a repartition of the documents, to the few tasks that read them.
+    tested = documents.select(F.col(key), F.col(body).alias("text"), ct.sound(contract, body).alias("cleared"))
+    checked = tested.select(key, "cleared", F.when(~F.col("cleared"), parsed_text(F.col("text"))).alias("v"))
     not_json = F.array(
         F.struct(
             F.lit("").alias("path"), F.lit("not_json").alias("rule"), F.lit("not JSON").alias("message"),
             F.lit(True).alias("fatal"),
         )
     )
-    found = F.when(F.col("v").isNull(), not_json).otherwise(ct.issues(contract, "v"))
+    found = F.when(F.col("cleared"), F.array().cast(f"array<{ct.ISSUE}>")).when(F.col("v").isNull(), not_json).otherwise(ct.issues(contract, "v"))
     return exploded(checked, found, "i", key).select(key, "i.path", "i.rule", "i.message")
 
 

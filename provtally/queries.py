@@ -695,9 +695,8 @@ def validate_countries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    """Narrow rows over all cores before costly work on each, where their files make fewer splits than there are cores."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    """Narrow rows over all cores before costly work on each: files make few splits, and splits within one row group are empty."""
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()))
 
 
 @query

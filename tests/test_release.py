@@ -571,3 +571,25 @@ def test_offsets_are_subtracted_as_minutes(spark, cutoff, generated, late):
 
     table = spark.createDataFrame([(cutoff, generated)], "c string, g string")
     assert table.selectExpr(f"{_instant('c')} > {_instant('g')} as late").first()[0] is late
+
+
+def test_documents_are_checked_where_they_are_dealt_to(spark, tmp_path):
+    """Neither step of a check moves below a repartition, to the one task that reads a file of one row group."""
+    from provtally.queries import _dealt
+
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+    dealt = _dealt(spark.read.parquet(str(tmp_path / "one"))).select("id", F.lit("{}").alias("body"))
+    body = F.concat(F.lit('{"id":'), F.col("id").cast("string"), F.lit("}"))
+    found = au.document_issues(dealt.withColumn("body", body), ct.PARTITION, "id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    above, below = plan[: plan.index("Exchange")], plan[plan.index("Exchange") :]
+    assert "from_json" in above and "from_json" not in below
+    assert found.count() == 600
+
+
+def test_rows_are_dealt_however_many_splits_their_files_make(spark):
+    from provtally.queries import _dealt
+
+    many = spark.range(0, 100, 1, spark.sparkContext.defaultParallelism + 3)
+    plan = _dealt(many)._jdf.queryExecution().executedPlan().toString()
+    assert f"RoundRobinPartitioning({spark.sparkContext.defaultParallelism + 3})" in plan

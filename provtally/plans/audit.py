@@ -32,6 +32,8 @@ OTHER_TOTALS = "the country detail disagrees with the overview totals"
 OTHER_PAGE = "the creator page does not match the requested country and sort order"
 
 _RESULT = "path string, kind string, status string, detail string"
+#: Splits of small files that one task reads; each task sets up the contracts' checks anew.
+SPLITS = 16
 _BY_KIND = {"overview": ct.OVERVIEW, "shard": ct.COUNTRY_SHARD, "page": ct.CREATOR_PAGE}
 
 
@@ -168,13 +170,19 @@ def audit_release(spark: SparkSession, root: str) -> DataFrame:
     return heads.unionByName(_audit_listed(spark, root, manifest, listed_at, release_id))
 
 
+def _gathered(files: DataFrame) -> DataFrame:
+    """Files in fewer tasks than Spark's splits of some 32 small files, but in two per core at least where there are as many."""
+    splits, cores = files.rdd.getNumPartitions(), files.sparkSession.sparkContext.defaultParallelism
+    return files.coalesce(max(1, splits // SPLITS, min(splits, 2 * cores)))
+
+
 def _audit_listed(spark: SparkSession, root: str, manifest: Manifest, manifest_at: str, release_id: str) -> DataFrame:
     # Joined four times, so the list is read for it once.
     digests = kept(manifest.listed, "digests")
     page = r"\Areleases/" + release_id.replace(".", r"\.") + r"/creators/([^/]*)/([^/]*)/page-\d+\.json\z"
     shard = r"\Areleases/" + release_id.replace(".", r"\.") + r"/countries/(.*)\.json\z"
     named = manifest.paths().distinct().withColumn("named", F.lit(True))
-    files = read_artifacts(spark, root).where(~F.col("path").isin(POINTER_PATH, manifest_at))
+    files = _gathered(read_artifacts(spark, root)).where(~F.col("path").isin(POINTER_PATH, manifest_at))
     # One row per published filter.
     typed = files.join(F.broadcast(named), "path", "left").withColumn(
         "kind",

@@ -593,3 +593,10 @@ def test_rows_are_dealt_however_many_splits_their_files_make(spark):
     many = spark.range(0, 100, 1, spark.sparkContext.defaultParallelism + 3)
     plan = _dealt(many)._jdf.queryExecution().executedPlan().toString()
     assert f"RoundRobinPartitioning({spark.sparkContext.defaultParallelism + 3})" in plan
+
+
+def test_an_audit_reads_many_small_splits_in_one_task(spark):
+    cores = spark.sparkContext.defaultParallelism
+    parts = lambda n: au._gathered(spark.range(0, 10 * n, 1, n)).rdd.getNumPartitions()
+    assert [parts(1), parts(cores), parts(2 * cores), parts(10 * cores)] == [1, cores, 2 * cores, 2 * cores]
+    assert parts(64 * cores) == 64 * cores // au.SPLITS

@@ -393,8 +393,12 @@ def shard_documents_of(tables: Tables, catalog: Catalog, settings: ReleaseSettin
 
 def release_documents(inputs: Inputs, settings: ReleaseSettings) -> DataFrame:
     """(path, kind, body) of every artifact but the manifest and the pointer."""
-    catalog, rid, size = inputs.catalog, settings.release_id, settings.page_size
-    tables = release_tables(inputs, settings)
+    return documents_of(release_tables(inputs, settings), inputs.catalog, settings)
+
+
+def documents_of(tables: Tables, catalog: Catalog, settings: ReleaseSettings) -> DataFrame:
+    """The same out of ``release_tables``."""
+    rid, size = settings.release_id, settings.page_size
     pages = kept(page_rows(cr.paged(tables.listing, size), size), "pages")
     return (
         overview_documents(tables.cells, catalog, rid)

@@ -536,12 +536,16 @@ def release_audit(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def shard_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     """Written shards, some with altered totals, against the overviews' country rows."""
-    documents = _documents(spark, sf).where(F.col("kind") == "shard").withColumn("body", _with_other_totals())
+    inputs = _release_inputs(spark, sf)
+    tables = rl.release_tables(inputs, SETTINGS)
+    documents = rl.documents_of(tables, inputs.catalog, SETTINGS)
+    documents = documents.where(F.col("kind") == "shard").withColumn("body", _with_other_totals())
     root = new_folder(spark, "shards")
     rl.write_artifacts(rl.kept(documents, "shards"), root)
     shards = au.shard_totals(spark, root, fx.RELEASE_ID)
-    overview = _countries(spark, sf)
-    return au.reconcile_shards(shards, overview, [f.key for f in fx.catalog().filters])
+    # The cells are those of the release, so the occurrences are counted once.
+    overview = mt.country_rows(tables.cells)
+    return au.reconcile_shards(shards, overview, [f.key for f in inputs.catalog.filters])
 
 
 # ---- contract checks over documents made of the tables ---------------------------------------

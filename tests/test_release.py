@@ -600,3 +600,12 @@ def test_an_audit_reads_many_small_splits_in_one_task(spark):
     parts = lambda n: au._gathered(spark.range(0, 10 * n, 1, n)).rdd.getNumPartitions()
     assert [parts(1), parts(cores), parts(2 * cores), parts(10 * cores)] == [1, cores, 2 * cores, 2 * cores]
     assert parts(64 * cores) == 64 * cores // au.SPLITS
+
+
+def test_shards_are_reconciled_with_occurrences_counted_once(spark, sf, monkeypatch):
+    from provtally import queries
+
+    calls, counted = [], mt.channel_counts
+    for module in (mt, rl):
+        monkeypatch.setattr(module, "channel_counts", lambda *args: calls.append(1) or counted(*args))
+    assert queries.QUERIES["shard_reconcile"](spark, sf).count() > 0 and len(calls) == 1

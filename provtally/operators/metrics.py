@@ -76,10 +76,9 @@ def words(catalog: Catalog) -> list[str]:
 
 
 def positions(*sets: str) -> str:
-    """SQL for the places of the datasets in a set, given its words as SQL."""
-    bits = f"sequence(0, {WORD_BITS - 1})"
+    """SQL for the places of the datasets in a set, given its words as SQL; only bits up to a word's highest are looked at."""
     parts = [
-        f"transform(filter({bits}, b -> ({word} & shiftleft(1L, b)) <> 0), b -> b + {i * WORD_BITS})"
+        f"transform(filter(sequence(0, coalesce(length(bin({word})), 1) - 1), b -> ({word} & shiftleft(1L, b)) <> 0), b -> b + {i * WORD_BITS})"
         for i, word in enumerate(sets)
     ]
     return f"concat({', '.join(parts)})"

@@ -232,3 +232,11 @@ def test_rows_without_a_channel_are_dealt_over_tasks(spark):
     located = mt.with_country(rows, channels)
     assert located.where("country = 'XX'").count() == 2000
     assert "_deal" not in located.columns
+
+
+def test_places_of_a_set_are_looked_for_up_to_its_highest_bit(spark):
+    rows = spark.createDataFrame([(0, 5), (5, 0), (1 << 61, 1), (None, 3)], "w0 long, w1 long")
+    places = mt.positions("w0", "w1")
+    assert [r[0] for r in rows.selectExpr(places).collect()] == [[62, 64], [0, 2], [61, 62], [62, 63]]
+    # The bits of a word are no list of fixed length, walked in full for each row.
+    assert f"sequence(0, {mt.WORD_BITS - 1})" not in places

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from provtally.functions.countries import country_bucket
 from provtally.functions.identifiers import public_channel_key
 from provtally.functions.labels import date_label
-from provtally.operators.metrics import channel_counts, dataset_at, kept_words, one_per_channel, positions
+from provtally.functions.sql import quote
+from provtally.operators.metrics import COLUMNS, channel_counts, dataset_at, kept_words, one_per_channel, positions
 from provtally.session import work_root
 from provtally.sources.catalog import Catalog, PublishedFilter
 
@@ -32,10 +33,17 @@ def creator_rows(
 
 def creator_rows_of(counts: DataFrame, channels: DataFrame, catalog: Catalog, flt: PublishedFilter) -> DataFrame:
     """The same out of ``channel_counts``."""
-    kept = positions(*kept_words(catalog, catalog.members(flt)))
-    per_channel = (
-        counts.where("channel_key is not null and videos > 0")
-        .selectExpr("channel_key", "videos", f"{kept} as kept")
+    of_channels = counts.where("channel_key is not null and videos > 0")
+    members = list(dict.fromkeys(catalog.members(flt)))
+    per_channel = _in_columns(of_channels, catalog, members) if 0 < len(members) <= COLUMNS else _in_lists(of_channels, catalog, members)
+    return _with_metadata(per_channel, channels)
+
+
+def _in_lists(counts: DataFrame, catalog: Catalog, members: list[str]) -> DataFrame:
+    """(channel_key, represented_video_count, dataset_breakdown) of channels with videos in these datasets."""
+    kept = positions(*kept_words(catalog, members))
+    return (
+        counts.selectExpr("channel_key", "videos", f"{kept} as kept")
         .where("size(kept) > 0")
         # The entry without a dataset counts the channel's videos once each.
         .selectExpr("channel_key", "videos", "explode_outer(array_append(kept, null)) as place")
@@ -54,7 +62,18 @@ def creator_rows_of(counts: DataFrame, channels: DataFrame, catalog: Catalog, fl
         )
         .withColumnRenamed("total", "represented_video_count")
     )
-    return _with_metadata(per_channel, channels)
+
+
+def _in_columns(counts: DataFrame, catalog: Catalog, members: list[str]) -> DataFrame:
+    """The same with a column of counts per dataset, which takes one shuffle of one row per task and channel."""
+    words = [(d, w) for d in members for w in kept_words(catalog, [d]) if not w.endswith("& 0L)")]
+    any_kept = " or ".join(f"{w} <> 0" for w in kept_words(catalog, members))
+    each = [F.expr(f"sum(if({w} <> 0, videos, null)) as n{i}") for i, (_, w) in enumerate(words)]
+    entries = ", ".join(
+        f"if(n{i} is null, null, named_struct('dataset_id', {quote(d)}, 'represented_video_count', n{i}))" for i, (d, _) in enumerate(words)
+    )
+    summed = counts.where(any_kept).groupBy("channel_key").agg(F.sum("videos").alias("represented_video_count"), *each)
+    return summed.selectExpr("channel_key", "represented_video_count", f"array_sort(array_compact(array({entries}))) as dataset_breakdown")
 
 
 def _with_metadata(per_channel: DataFrame, channels: DataFrame) -> DataFrame:

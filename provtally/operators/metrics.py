@@ -37,6 +37,8 @@ RESOLVED = "resolved"
 PENDING = "retryableOrPending"
 INVALID = "invalid"
 
+#: Datasets of a catalogue up to which a video's occurrences are counted in one column each.
+COLUMNS = 16
 #: Datasets, or filters, in a word; the sign stays clear.
 WORD_BITS = 62
 
@@ -121,13 +123,9 @@ def set_counts(observations: DataFrame, catalog: Catalog) -> DataFrame:
     return sets.groupBy(*words(catalog)).agg(F.count("*").alias("videos"))
 
 
-def _counted(observations: DataFrame, resolutions: DataFrame, catalog: Catalog, *keys: str) -> DataFrame:
-    """(*keys, w0, w1, ...) with videos and occurrences.
-
-    A video counts under its dataset set, its occurrences under the sets of one dataset each.
-    """
-    recorded = one_per_video(resolutions)
-    videos = (
+def _in_lists(observations: DataFrame, catalog: Catalog) -> DataFrame:
+    """(video_id, w0, w1, ..., members): each video's dataset set, and its occurrences n by dataset."""
+    return (
         _marked(observations, catalog)
         .groupBy("video_id", "word", "bit")
         .agg(F.count("*").alias("n"))
@@ -135,6 +133,28 @@ def _counted(observations: DataFrame, resolutions: DataFrame, catalog: Catalog,
         # At most one entry per dataset of the catalogue.
         .agg(*_union(catalog), F.collect_list(F.struct("word", "bit", "n")).alias("members"))
     )
+
+
+def _in_columns(observations: DataFrame, catalog: Catalog) -> DataFrame:
+    """The same with a column of counts per dataset, which takes one shuffle of one row per task and video."""
+    place = {d: (f"n{i}", i // WORD_BITS, 1 << i % WORD_BITS) for i, d in enumerate(catalog.dataset_ids)}
+    listed = observations.where(f"dataset_id in ({text_list(place)})")
+    counts = listed.groupBy("video_id").agg(*[F.count_if(F.col("dataset_id") == d).alias(n) for d, (n, _, _) in place.items()])
+    sets = [
+        " | ".join(["0L", *[f"if({n} > 0, {bit}L, 0L)" for n, at, bit in place.values() if at == i]]) + f" as {w}"
+        for i, w in enumerate(words(catalog))
+    ]
+    each = ", ".join(f"if({n} > 0, named_struct('word', {at}, 'bit', {bit}L, 'n', {n}), null)" for n, at, bit in place.values())
+    return counts.selectExpr("video_id", *sets, f"array_compact(array({each})) as members")
+
+
+def _counted(observations: DataFrame, resolutions: DataFrame, catalog: Catalog, *keys: str) -> DataFrame:
+    """(*keys, w0, w1, ...) with videos and occurrences.
+
+    A video counts under its dataset set, its occurrences under the sets of one dataset each.
+    """
+    recorded = one_per_video(resolutions)
+    videos = _in_columns(observations, catalog) if len(catalog.datasets) <= COLUMNS else _in_lists(observations, catalog)
     joined = videos.join(recorded, "video_id", "left").withColumn(
         "state", effective_state(F.col("video_id"), F.col("state"))
     )

@@ -240,3 +240,22 @@ def test_places_of_a_set_are_looked_for_up_to_its_highest_bit(spark):
     assert [r[0] for r in rows.selectExpr(places).collect()] == [[62, 64], [0, 2], [61, 62], [62, 63]]
     # The bits of a word are no list of fixed length, walked in full for each row.
     assert f"sequence(0, {mt.WORD_BITS - 1})" not in places
+
+
+def test_counts_in_columns_are_those_in_lists(spark, sf, monkeypatch):
+    catalog = fx.catalog()
+    tables = (fx.observations(spark, sf), fx.resolutions(spark, sf))
+    flt = next(f for f in catalog.filters if f.key == "candidate")
+
+    def counted():
+        counts = mt.channel_counts(*tables, catalog)
+        return counts, cr.creator_rows_of(counts, fx.channels(spark, sf), catalog, flt)
+
+    columns = counted()
+    # One shuffle of a video's occurrences, and one of a channel's rows; nothing is collected in lists.
+    assert all("collect_list" not in df._jdf.queryExecution().optimizedPlan().toString() for df in columns)
+    monkeypatch.setattr(mt, "COLUMNS", 0)
+    monkeypatch.setattr(cr, "COLUMNS", 0)
+    for one, two in zip(columns, counted(), strict=True):
+        assert one.columns == two.columns and one.count() > 0
+        assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))

@@ -11,6 +11,8 @@ from provtally.session import new_folder
 WORD = r"[^\x20\x09-\x0D]+"
 #: Groups of at least one row in so many are hot, so there are never more hot groups than this.
 HOT_SHARE = 1000
+#: Buckets of fewer bytes are written by one task each, as files are then dearer than a shuffle.
+BUCKET_BYTES = 1 << 20
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -21,12 +23,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
-    """Like stored, in one bucket of ``key`` per shuffle partition, so that joins on it do not shuffle the table again."""
+def bucketed(df: DataFrame, key: str, label: str, size: int) -> DataFrame:
+    """Like stored, in one bucket of ``key`` per shuffle partition, so that joins on it do not shuffle the table again; of about size bytes."""
     spark = df.sparkSession
     path = new_folder(spark, label)
     name = f"{label}_{path.rpartition('-')[2]}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if size < buckets * BUCKET_BYTES:
+        df = df.repartition(buckets, key)
     writer = df.write.format("parquet").option("path", path).option("compression", "zstd")
     writer.bucketBy(buckets, key).saveAsTable(name)
     return spark.table(name)

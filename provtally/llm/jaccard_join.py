@@ -12,6 +12,10 @@ left out, and the others followed the more often; sets of little else meet in a
 of the same members travel as one, but are split by the key of each, so that their losses stay independent.
 Nothing is capped: every pair in a final node is compared exactly, and each similar pair is
 counted in the least final node that both sets share.
+
+A line of many texts would make nodes of all of them at the root. Such tokens are looked for in a sample of texts; which
+ones it finds costs no pair. A set that mostly holds others does not follow them, but its others the more often, as if
+it had no more; one that they make up half of follows all its tokens as they are, and those between follow both.
 """
 
 from __future__ import annotations
@@ -41,6 +45,10 @@ OFTEN = 0.3
 #: Two sets of the threshold differ in at most (1 - t) / t of either; this much more has to be uncommon for a split.
 MARGIN = 0.1
 DEPTH = 6
+#: Texts that are looked at for tokens of many texts, the groups they are counted in, and the share of texts that is many.
+SAMPLE, SAMPLE_GROUPS, WIDESPREAD = 4096, 8, 0.02
+#: Share of a set's tokens, not widespread, that similar sets share at least if they leave the widespread ones alone.
+OTHERS = 0.3
 
 
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +67,7 @@ def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return row[new], value[new]
 
 
-def _below(branch: float, threshold: float, size: np.ndarray) -> np.ndarray:
+def _below(branch: float, threshold: float | np.ndarray, size: np.ndarray) -> np.ndarray:
     """Hash bound for following a token of a set of so many."""
     return (np.minimum(1.0, branch / (threshold * np.maximum(size, 1))) * float(2**64 - 2**12)).astype(np.uint64)
 
@@ -72,7 +80,78 @@ def _runs(recall: float) -> int:
     return math.ceil(math.log(1 - recall) / (-BRANCH_ROOT * (1 - lost)))
 
 
-def _scanner(n: int, threshold: float, runs: int, seed: int) -> Callable:
+def _is_in(value: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among the known ones, which are sorted."""
+    return known[np.minimum(np.searchsorted(known, value), len(known) - 1)] == value if len(known) else np.zeros(len(value), dtype=bool)
+
+
+def _edges(threshold: float) -> tuple[float, float]:
+    """Shares of a set's tokens that are not widespread: those from which it follows them alone, and below which it follows all.
+
+    Of a set A whose similar sets lack 1 - t of it at most, they hold the share of others less 1 - t. If A is below the
+    first edge e, a similar set of I + y tokens, I of them in A's I + x, x + y <= (1 - t) / t * I, has at most e (I + x) + y
+    others, so is below the second edge: of two similar sets both follow the others, or both follow all.
+    """
+    low = 1 - threshold + OTHERS
+    return low, max(low / threshold, threshold * low + 1 - threshold)
+
+
+def _bounds(row: np.ndarray, value: np.ndarray, size: np.ndarray, widespread: np.ndarray, threshold: float) -> np.ndarray:
+    """Hash bound for following each token at the root."""
+    known = _is_in(value, widespread)
+    others = np.bincount(row[~known], minlength=len(size)) / np.maximum(size, 1)
+    low, high = _edges(threshold)
+    everything = np.where(others < high + 1e-9, _below(BRANCH_ROOT, threshold, size), 0).astype(np.uint64)
+    shared = np.maximum(others - (1 - threshold), OTHERS)
+    alone = np.where(others >= low - 1e-9, _below(BRANCH_ROOT, shared, size), 0).astype(np.uint64)
+    return np.where(known, everything[row], np.maximum(everything, alone)[row])
+
+
+def _sampled(n: int, share: float) -> Callable:
+    """(token, texts, common): of a group of sampled texts, tokens that half the share of them holds, and how much of their holders is such tokens."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ("part",)):
+            part = table.column("part").to_numpy()
+            edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+            for low, high in zip(edges, edges[1:], strict=False):
+                raw, at = buffers(table.column("text").slice(low, high - low))
+                found = [shingles(Words(raw, at, first, last), n) + (first,) for first, last in chunks(at)]
+                row = np.concatenate([r + first for r, _, first in found])
+                token, place, texts = np.unique(np.concatenate([v for _, v, _ in found]), return_inverse=True, return_counts=True)
+                often = texts >= max(2, share / 2 * (high - low))
+                size = np.bincount(row, minlength=high - low)
+                common = np.bincount(row, weights=often[place], minlength=high - low) / np.maximum(size, 1)
+                summed = np.bincount(place, weights=common[row], minlength=len(token))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(token[often])), pa.array(texts[often].astype(np.int64)), pa.array(summed[often])],
+                    names=["token", "texts", "common"],
+                )
+
+    return count
+
+
+def _widespread(source: DataFrame, n: int, threshold: float) -> np.ndarray:
+    """Sorted tokens that more than NODE texts hold by a sample of some SAMPLE texts, unless they make up most of those.
+
+    Any tokens would do, so what the sample misses only costs time. At most the mean set over WIDESPREAD come to the driver.
+    """
+    total = source.count()
+    if total <= NODE:
+        return np.zeros(0, dtype=np.uint64)
+    rate = min(1.0, SAMPLE / total)
+    share = max(WIDESPREAD, NODE / total)
+    place = F.pmod(F.xxhash64(F.lit("sample"), "text_hash"), F.lit(1 << 30))
+    texts = source.where(F.col("text").isNotNull() & (place < int(rate * (1 << 30)))).groupBy("text_hash").agg(F.any_value("text").alias("text"))
+    dealt = texts.select("text", F.pmod("text_hash", F.lit(SAMPLE_GROUPS)).cast("int").alias("part"))
+    dealt = dealt.repartition(SAMPLE_GROUPS, "part").sortWithinPartitions("part")
+    counts = dealt.mapInArrow(_sampled(n, share), "token long, texts long, common double")
+    held = counts.groupBy("token").agg(F.sum("texts").alias("texts"), F.sum("common").alias("common"))
+    often = held.where((F.col("texts") >= share * rate * total) & (F.col("common") <= (1 - _edges(threshold)[0]) * F.col("texts")))
+    return np.sort(unsigned(np.array([r["token"] for r in often.select("token").collect()], dtype=np.int64)))
+
+
+def _scanner(n: int, threshold: float, runs: int, seed: int, widespread: np.ndarray) -> Callable:
     keys_of_run = [mixed(seed * 1000 + r + 1) for r in range(runs)]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,7 +161,7 @@ def _scanner(n: int, threshold: float, runs: int, seed: int) -> Callable:
                 words = Words(raw, at, first, last)
                 row, value = shingles(words, n)
                 size = np.bincount(row, minlength=last - first)
-                bound = _below(BRANCH_ROOT, threshold, size)[row]
+                bound = _bounds(row, value, size, widespread, threshold)
                 rows, keys = [], []
                 for key in keys_of_run:
                     chosen = mix(value ^ key)
@@ -398,7 +477,8 @@ def near_duplicates(
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     source = source.withColumn("text_hash", F.xxhash64("text"))
     schema = "doc_id long, text_hash long, size long, digest string, nodes array<long>"
-    rows = stored(source.mapInArrow(_scanner(shingle, threshold, runs, seed), schema), "rows")
+    widespread = _widespread(source, shingle, threshold)
+    rows = stored(source.mapInArrow(_scanner(shingle, threshold, runs, seed, widespread), schema), "rows")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("least")
     classes = rows.where("size > 0").groupBy("digest").agg(
         least, F.count(F.lit(1)).alias("copies"), F.max("size").alias("size"), F.any_value("nodes").alias("nodes")
@@ -417,11 +497,12 @@ def near_duplicates(
     entries = classes.select("rep", F.explode(F.array_distinct("nodes")).alias("node"))
     members = _folded(entries)
     place = F.xxhash64("doc_id", "text_hash").alias("place")
-    wanted = members.select("rep").distinct().join(classes.select("rep", "copies", F.col("first").alias("doc_id"), "text_hash"), "rep")
-    wanted = stored(wanted.select("rep", "copies", place), "wanted")
-    texts = source.select("text", place).join(wanted.hint("shuffle_hash"), "place")
+    wanted = members.select("rep").distinct().join(classes.select("rep", "copies", "size", F.col("first").alias("doc_id"), "text_hash"), "rep")
+    wanted = stored(wanted.select("rep", "copies", "size", place), "wanted")
+    tokens = wanted.agg(F.sum("size")).first()[0] or 0
+    texts = source.select("text", place).join(wanted.drop("size").hint("shuffle_hash"), "place")
     texts = texts.groupBy("place").agg(*[F.any_value(c).alias(c) for c in ("rep", "copies", "text")])
-    sets = bucketed(texts.mapInArrow(_setter(shingle), "rep long, copies long, size long, tokens array<long>"), "rep", "sets")
+    sets = bucketed(texts.mapInArrow(_setter(shingle), "rep long, copies long, size long, tokens array<long>"), "rep", "sets", 8 * tokens)
     final = stored(_final_nodes(sets, members, threshold), "final")
     own = final.groupBy("rep").agg(F.collect_set("node").alias("nodes"))
     weights = final.join(classes.select("rep", "size"), "rep").groupBy("node").agg(F.sum("size").alias("weight"), F.count(F.lit(1)).alias("sets"))

@@ -435,3 +435,63 @@ def test_token_counts_leave_a_task_as_one_row_per_block(spark, monkeypatch):
             held[child] = held.get(child, 0) + n
     key = jaccard_join.mix(np.array([5], dtype=np.uint64) ^ jaccard_join.mixed(7))[0]
     assert held == dict.fromkeys(jaccard_join.signed(jaccard_join.mix(shared.astype(np.uint64) + key)).tolist(), len(sets))
+
+
+def _lined(n, seed=4):
+    """Texts of sixty words of their own and a line of ten that all hold."""
+    rnd = np.random.default_rng(seed)
+    line = " ".join(f"licence{x}" for x in range(10))
+    return [(i, " ".join(f"w{x}" for x in rnd.integers(0, 1 << 60, 60)) + " " + line) for i in range(n)]
+
+
+@pytest.mark.parametrize("sample", [400, 4096])
+def test_a_line_of_many_texts_makes_no_large_node(sample, spark, monkeypatch):
+    # Before, every text that followed a token of the line was counted and split, with some six children each.
+    monkeypatch.setattr(jaccard_join, "NODE", 64)
+    monkeypatch.setattr(jaccard_join, "SAMPLE", sample)
+    judged, counts = [], jaccard_join._counts
+    monkeypatch.setattr(jaccard_join, "_counts", lambda nodes, *args: judged.append(nodes.count()) or counts(nodes, *args))
+    for n in (1000, 2000):
+        docs = spark.createDataFrame(_lined(n), "doc_id long, text string").repartition(8)
+        assert jaccard_join.near_duplicates(docs).agg({"n_links": "sum"}).first()[0] == 0
+    assert sum(judged) == 0
+
+
+def test_widespread_tokens_are_those_of_lines_not_of_copies(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "NODE", 64)
+    body = " ".join(f"b{x}" for x in range(60))
+    copies = [(1000 + i, f"{body} tail{i}") for i in range(300)]
+    source = spark.createDataFrame(_lined(700) + copies + [(5000, None), (5001, "")], "doc_id long, text string").selectExpr("doc_id", "text", "xxhash64(text) text_hash")
+    line = jaccard_join.Words(*jaccard_join.buffers(jaccard_join.pa.array([" ".join(f"licence{x}" for x in range(10))])), 0, 1)
+    assert jaccard_join._widespread(source, 5, 0.8).tolist() == sorted(jaccard_join.shingles(line, 5)[1].tolist())
+    monkeypatch.setattr(jaccard_join, "NODE", 2000)
+    assert not len(jaccard_join._widespread(source, 5, 0.8))
+
+
+def test_links_of_texts_of_any_share_of_widespread_tokens(spark, monkeypatch):
+    # Pairs whose texts hold between 5 and 80 of 100 words of a passage; any tokens may be widespread, here all of it.
+    monkeypatch.setattr(jaccard_join, "NODE", 32)
+    rnd, rows = np.random.default_rng(9), []
+    for k in range(400):
+        common = 5 + (k * 75) // 399
+        own = [f"w{x}" for x in rnd.integers(0, 1 << 60, 100 - common)]
+        text = [f"passage{x}" for x in range(common)] + own
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join([*text[:-1], "changed"] + [f"more{k}"] * (k % 3)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    passage = jaccard_join.Words(*jaccard_join.buffers(jaccard_join.pa.array([" ".join(f"passage{x}" for x in range(80))])), 0, 1)
+    monkeypatch.setattr(jaccard_join, "_widespread", lambda *_: np.sort(jaccard_join.shingles(passage, 5)[1]))
+    got = sorted((tuple(r)[:4] for r in jaccard_join.near_duplicates(docs).collect()), key=repr)
+    assert got == _links(rows)
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.95])
+def test_two_similar_sets_follow_the_same_kind_of_tokens(threshold):
+    rnd, (low, high) = np.random.default_rng(2), jaccard_join._edges(threshold)
+    shared = rnd.integers(1, 400, 200_000)
+    lack = np.floor(shared * (1 - threshold) / threshold * rnd.random(len(shared)))
+    x = np.floor(lack * rnd.choice([0, 0.3, 1], len(shared)))
+    y = lack - x
+    # Tokens that are not widespread: of those shared, and of those of one set alone.
+    a, b, c = (np.floor(n * rnd.choice([0, 0.4, 0.5, 0.7, 1], len(shared))) for n in (shared, x, y))
+    one, two = (a + b) / (shared + x), (a + c) / (shared + y)
+    assert (((one >= low) & (two >= low)) | ((one < high + 1e-9) & (two < high + 1e-9))).all()
